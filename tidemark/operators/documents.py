@@ -103,7 +103,7 @@ def follow_attachment(
         .withColumn("doc_url", F.col("attachment"))
         .withColumn("doc_type", doc_type("attachment"))
     )
-    once = dedup_first(moved, order, key=("doc_url",)).join(
+    once = dedup_first(moved, order, key=("doc_url",), blanks=False).join(
         requested.where(F.col("doc_url").isNotNull()).select("doc_url"), "doc_url", "left_anti"
     )
     return resolve(once.select(*columns), fetches).withColumn(

@@ -20,11 +20,14 @@ def _any_blank(df: DataFrame, key: Sequence[str]) -> Column:
     return reduce(lambda left, right: left | right, tests)
 
 
-def dedup_first(records: DataFrame, order: Sequence[str], key: Sequence[str] = KEY) -> DataFrame:
+def dedup_first(
+    records: DataFrame, order: Sequence[str], key: Sequence[str] = KEY, blanks: bool = True
+) -> DataFrame:
     """Keep the first record of each key in `order`; blank keys name nothing and all stay.
 
     `row_number() = 1` as a filter lets Spark cut every key to one row per task before
     the shuffle, so a key holding a third of the rows reaches its reducer as a handful.
+    Blank keys take a second scan of `records`; say `blanks=False` where there are none.
     """
     first = Window.partitionBy(*key).orderBy(*order)
     blank = _any_blank(records, key)
@@ -34,7 +37,7 @@ def dedup_first(records: DataFrame, order: Sequence[str], key: Sequence[str] = K
         .where(F.col("_rank") == 1)
         .drop("_rank")
     )
-    return named.unionByName(records.where(blank))
+    return named.unionByName(records.where(blank)) if blanks else named
 
 
 def mark_stored(records: DataFrame, stored: DataFrame, key: Sequence[str] = KEY) -> DataFrame:

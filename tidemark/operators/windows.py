@@ -39,13 +39,13 @@ def partition_windows(requests: DataFrame, months: int = 1) -> DataFrame:
 
     first_month = F.trunc("start", "MM")
     steps = F.floor(F.months_between(F.trunc("end", "MM"), first_month) / months).cast("int")
-    month_starts = F.transform(
-        F.sequence(F.lit(0), F.when(F.col("start") < F.col("end"), steps + 1)),
-        lambda k: F.add_months(first_month, k * months),
-    )
+    numbers = F.sequence(F.lit(0), F.when(F.col("start") < F.col("end"), steps + 1))
 
     def first_with(days: int) -> Column:
-        return F.get(F.filter("_months", lambda m: F.day(F.last_day(m)) == days), F.lit(0))
+        # Only a start day beyond `days` can be cut to it, so most rows skip the search.
+        month_starts = F.transform(numbers, lambda k: F.add_months(first_month, k * months))
+        found = F.filter(month_starts, lambda m: F.day(F.last_day(m)) == days)
+        return F.when(F.day("start") > days, F.get(found, F.lit(0)))
 
     def window_start(month: Column) -> Column:
         shortest = (
@@ -58,12 +58,11 @@ def partition_windows(requests: DataFrame, months: int = 1) -> DataFrame:
 
     following = window_start(F.add_months(F.col("_month"), months))
     return (
-        requests.withColumn("_months", month_starts)
-        .withColumn("_first28", first_with(28))
-        .withColumn("_first29", first_with(29))
-        .withColumn("_first30", first_with(30))
-        .select(*keys, "start", "end", "_first28", "_first29", "_first30",
-                F.explode("_months").alias("_month"))
+        requests.select(
+            *keys, "start", "end", *(first_with(d).alias(f"_first{d}") for d in (28, 29, 30))
+        )
+        .select("*", F.explode(numbers).alias("_k"))
+        .withColumn("_month", F.add_months(first_month, F.col("_k") * months))
         .withColumn("window_start", window_start(F.col("_month")))
         .where(F.col("window_start") < F.col("end"))
         .select(
@@ -101,12 +100,8 @@ def assign(records: DataFrame, on: str, start: date, end: date, months: int = 1)
 
 def span(windows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """First from, last to and number of windows, per group."""
-    return (
-        with_params(windows)
-        .groupBy(*by)
-        .agg(
-            F.min_by("from_param", "window_start").alias("first_from"),
-            F.max_by("to_param", "window_start").alias("last_to"),
-            F.count("*").alias("windows"),
-        )
+    return windows.groupBy(*by).agg(
+        day_param(F.min("window_start")).alias("first_from"),
+        day_param(F.max("window_end")).alias("last_to"),
+        F.count("*").alias("windows"),
     )

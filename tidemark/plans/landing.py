@@ -66,13 +66,13 @@ def build(
     stored: DataFrame,
     run_id: str,
     run_ts: Column,
-    mode: str = "skip",
-    stage: Callable[[DataFrame, str], DataFrame] = lambda rows, _: rows,
+    mode: str,
+    stage: Callable[[DataFrame, str], DataFrame],
 ) -> DataFrame:
     """All record outcomes of a run: 'scraped' or 'failed', attachments followed.
 
-    `stage(rows, name)` may store an intermediate result and return it as read back;
-    `run` does, so that documents are joined, parsed and hashed exactly once.
+    `stage(rows, name)` stores an intermediate result and returns it as read back, with
+    or without `content`, so that documents are joined, parsed and hashed exactly once.
     """
     wanted = stage(requests(cards, stored, mode), "requests")
     pages = documents.mark_shells(documents.resolve(wanted, fetches))

@@ -53,7 +53,8 @@ SITE_SQL = f"""
             listing // {CELLS} + 1 AS page, (page_id % {CARDS_PER_PAGE})::int AS position,
             CASE WHEN unlinked AND lang = 'fr' THEN NULL WHEN padded AND lang = 'es' THEN ''
                 ELSE upper(lang) || ' ' || num END AS identifier,
-            regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS description,
+            trim(regexp_replace(replace(replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1),
+                '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;?', '&', 'g')) AS description,
             CASE WHEN NOT unlinked THEN url END AS doc_url,
             CASE WHEN NOT unlinked THEN 'html' END AS doc_type,
             regexp_extract(url, '^(https?://[^/]+)', 1) || '/files/' || lang || num || '.pdf' AS attachment

@@ -15,6 +15,7 @@ from tidemark.queries import site
 from tidemark.queries.registry import load, query
 from tidemark.queries.site import SITE_SQL
 from tidemark.schemas import LANDING_METADATA
+from tidemark.sources.staging import staged
 
 
 def _stamp() -> Column:
@@ -191,7 +192,7 @@ def shell_reroute(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = load(spark, sf_dir, "pages")
     items = site.records(pages).select("page_id", "doc_url", "doc_type")
     fetches = site.fetches(pages)
-    shells = documents.mark_shells(documents.resolve(items, fetches)).drop("content")
+    shells = staged(documents.mark_shells(documents.resolve(items, fetches)).drop("content"))
     followed = documents.follow_attachment(shells, fetches, items, ("page_id",))
     return followed.select(
         "page_id", "doc_url", "doc_type", "status", keys.file_hash("content").alias("file_hash")
@@ -225,7 +226,7 @@ def _cards(pages: DataFrame) -> DataFrame:
 
 def _landing(pages: DataFrame) -> DataFrame:
     """A landing run over the site; records described with A to E are stored already."""
-    cards = _cards(pages)
+    cards = staged(_cards(pages))
     early = site.records(pages).where(F.col("description") < "F").select("identifier").distinct()
     stored = early.select(
         *(
@@ -233,7 +234,10 @@ def _landing(pages: DataFrame) -> DataFrame:
             for f in LANDING_METADATA.fields
         )
     )
-    return landing.build(cards, site.fetches(pages), stored, "run", _stamp())
+    return landing.build(
+        cards, site.fetches(pages), stored, "run", _stamp(), "skip",
+        lambda rows, _: staged(rows.drop("content")),
+    )
 
 
 @query(
@@ -361,7 +365,7 @@ def zone_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def audit_zone_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = load(spark, sf_dir, "pages")
     metadata, files = _zones(pages)
-    clean = _clean(pages).where(F.col("error").isNull())
+    clean = staged(_clean(pages).where(F.col("error").isNull()).select("page_id", "size"))
     return audit.zone_parity(metadata, clean, files, clean, key="page_id")
 
 
