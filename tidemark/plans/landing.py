@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import keys
+from tidemark.functions.dates import day_param
 from tidemark.functions.urls import result_total
 from tidemark.operators import documents, listing, reconcile, upsert
 from tidemark.schemas import FILE_FIELDS, LANDING_METADATA, POINTER_FIELDS
@@ -169,27 +170,55 @@ def run(
     tables.write_metadata(metadata(stored, records), zone)
 
     summary = keep(account(grid, pages, cards, records), "summary")
-    tables.append_events(reconcile.events(summary, stamp).unionByName(
-        failures(pages, records, stamp), allowMissingColumns=True
-    ), f"{zone}/events")
+    told = run_started(grid, months, stamp)
+    for more in (
+        partition_found(first_pages, stamp),
+        failures(pages, records, stamp),
+        reconcile.events(summary, stamp),
+    ):
+        told = told.unionByName(more, allowMissingColumns=True)
+    tables.append_events(told, f"{zone}/events")
     return summary
 
 
-def failures(pages: DataFrame, records: DataFrame, run_ts: Column) -> DataFrame:
-    """Warning events for listing pages and documents that could not be had."""
-    day = F.col("partition_date").cast("string").alias("partition")
+def _event(run_ts: Column, level: str, name: str) -> list[Column]:
+    return [run_ts.alias("timestamp"), F.lit(level).alias("level"), F.lit(name).alias("event")]
+
+
+def _day() -> Column:
+    return F.col("partition_date").cast("string").alias("partition")
+
+
+def run_started(grid: DataFrame, months: int, run_ts: Column) -> DataFrame:
+    """The span actually read, so that a lost day shows."""
+    return grid.agg(
+        day_param(F.min("window_start")).alias("start"),
+        day_param(F.max("window_end")).alias("end"),
+        F.count_distinct("window_start").alias("windows"),
+        F.sort_array(F.collect_set("body")).alias("bodies"),
+    ).select(
+        *_event(run_ts, "info", "run_started"), "start", "end", "windows",
+        F.lit(months).alias("partition_months"), "bodies",
+    )
+
+
+def partition_found(first_pages: DataFrame, run_ts: Column) -> DataFrame:
+    listed = first_pages.where(F.col("status") == "scraped")
+    return listed.select(
+        *_event(run_ts, "info", "partition_found"), _day(), "body", F.col("total").alias("found")
+    )
 
-    def event(name: str) -> list[Column]:
-        return [run_ts.alias("timestamp"), F.lit("warning").alias("level"), F.lit(name).alias("event")]
 
+def failures(pages: DataFrame, records: DataFrame, run_ts: Column) -> DataFrame:
+    """Warning events for listing pages and documents that could not be had."""
     lost_pages = pages.where((F.col("status") == "failed") | F.col("listing_error").isNotNull())
     lost_records = records.where(F.col("status") == "failed")
     return lost_pages.select(
-        *event("listing_failed"), day, "body", F.col("search_url").alias("url"),
+        *_event(run_ts, "warning", "listing_failed"), _day(), "body", F.col("search_url").alias("url"),
         F.col("listing_error").alias("error"),
     ).unionByName(
         lost_records.select(
-            *event("download_failed"), day, "body", "identifier", F.col("doc_url").alias("url"),
+            *_event(run_ts, "warning", "download_failed"), _day(), "body", "identifier", F.col("doc_url").alias("url"),
             F.col("parse_error").alias("error"),
         ),
         allowMissingColumns=True,
