@@ -21,7 +21,7 @@ def parse_date_arg(value: str | None, name: str) -> date:
 def parse_date(value: Column | str) -> Column:
     """The same rule for a column: DATE, or NULL where the argument is rejected."""
     column = F.col(value) if isinstance(value, str) else value
-    well_formed = column.rlike(r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z")
+    well_formed = column.rlike(r"\A(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z")
     return F.when(well_formed, F.try_to_date(column, "yyyy-M-d"))
 
 

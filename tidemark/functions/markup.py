@@ -11,7 +11,7 @@ import re
 from functools import lru_cache
 from html import unescape
 
-_ATTRIBUTES = r"""(?:[^>=]++|=\s*(?:"[^"]*"|'[^']*'|[^\s>]*))*+"""
+_ATTRIBUTES = r"""(?:[^<>=]++|=\s*(?:"[^"]*"|'[^']*'|[^\s>]*))*+"""
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 _RAW_END = {
     name: re.compile(rf"</{name}[^>]*>", re.IGNORECASE) for name in ("script", "style")
