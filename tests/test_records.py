@@ -251,3 +251,16 @@ def test_audits(spark):
     same = audit.zone_parity(frame, frame, sizes, sizes.limit(1)).first()
     assert (same["landing_only"], same["landing_files"], same["clean_bytes"], same["parity"]) == (0, 2, 10, False)
     assert audit.zone_parity(frame, frame, sizes, sizes).first()["parity"]
+
+
+def test_blank_keys_do_not_share_a_join_task(spark, cards):
+    stored = cards.select("identifier")
+    _, skipped = upsert.split_stored(cards, stored)
+    assert skipped.where("coalesce(identifier, '') = ''").count() == 0
+    salted = upsert._salted(cards, ("identifier",))
+    assert salted.where("identifier IS NULL").select("_salt").distinct().count() > 30
+    assert salted.where("identifier = 'hot'").select("_salt").distinct().count() == 1
+    new = cards.select("identifier", "file_hash", F.concat("identifier", F.lit(".html")).alias("file_path"))
+    kept = upsert.classify_changes(new, new.dropDuplicates(["identifier"]))
+    assert kept.count() == cards.count()
+    assert kept.where("change = 'new'").count() == 0

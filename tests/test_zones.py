@@ -243,3 +243,13 @@ def test_range_scan_prunes_partitions(spark, landed):
     plan = scan._jdf.queryExecution().executedPlan().toString()
     filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
     assert "partition_date" in filters.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_files_are_pruned_to_the_partitions_pointed_into(spark, landed):
+    zone, _ = landed
+    metadata = tables.read_metadata(spark, zone, LANDING_METADATA)
+    selected = transform.select_range(metadata, D(2024, 1, 1), D(2024, 2, 1))
+    attached = transform.attach_content(selected, tables.read_files(spark, zone))
+    plan = attached._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "BroadcastHashJoin" in plan
+    assert attached.where("content IS NOT NULL").count() == 5

@@ -48,19 +48,22 @@ def resolve(items: DataFrame, fetches: DataFrame) -> DataFrame:
     are joined once: broadcast when the records are few, else one shuffle.
     """
     columns = items.columns
-    latest = latest_fetches(fetches, items.where(F.col("doc_url").isNotNull()).select("doc_url"))
-    located = items.join(latest, "doc_url", "left")
+    linked = items.where(F.col("doc_url").isNotNull())
+    latest = latest_fetches(fetches, linked.select("doc_url"))
+    located = linked.join(latest, "doc_url", "left")
     bodies = _versions(fetches).where(fetched("status")).select(
         "doc_url", "_version", F.col("body").alias("content")
     )
     delivered = located.where(fetched("_status")).join(bodies, ["doc_url", "_version"])
-    others = located.where(~fetched("_status"))
-    return delivered.select(*columns, "content", F.lit("scraped").alias("status")).unionByName(
-        others.select(
-            *columns,
-            F.lit(None).cast("binary").alias("content"),
-            F.when(F.col("doc_url").isNull(), "scraped").otherwise("failed").alias("status"),
-        )
+
+    def without(rows: DataFrame, status: str) -> DataFrame:
+        nothing = F.lit(None).cast("binary").alias("content")
+        return rows.select(*columns, nothing, F.lit(status).alias("status"))
+
+    return (
+        delivered.select(*columns, "content", F.lit("scraped").alias("status"))
+        .unionByName(without(located.where(~fetched("_status")), "failed"))
+        .unionByName(without(items.where(F.col("doc_url").isNull()), "scraped"))
     )
 
 

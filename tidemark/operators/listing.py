@@ -18,8 +18,11 @@ PAGES_PER_BLOCK = 4096
 
 def bodies(spark: SparkSession) -> DataFrame:
     """The body dimension in crawl order."""
-    rows = [(key, name, order) for order, (key, name) in enumerate(BODIES.items())]
-    return spark.createDataFrame(rows, "body_id string, body string, body_order int")
+    rows = [
+        F.struct(F.lit(key).alias("body_id"), F.lit(name).alias("body"), F.lit(order).alias("body_order"))
+        for order, (key, name) in enumerate(BODIES.items())
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def select_bodies(dimension: DataFrame, wanted: str | None = None) -> DataFrame:

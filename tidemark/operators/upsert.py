@@ -14,12 +14,27 @@ from tidemark.schemas import FILE_FIELDS
 KEY = ("identifier",)
 
 
+# Over how many join keys the records without a key are spread.
+SALTS = 64
+
+
 def _any_blank(df: DataFrame, key: Sequence[str]) -> Column:
     strings = [name for name, kind in df.dtypes if name in key and kind == "string"]
     tests = [is_blank(c) if c in strings else F.col(c).isNull() for c in key]
     return reduce(lambda left, right: left | right, tests)
 
 
+def _salted(records: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Add `_salt`: 0 for a keyed record, 1..SALTS for a blank one.
+
+    Records without a key may be a third of all; joined on the key alone they would
+    share one task.
+    """
+    hashable = [n for n, kind in records.dtypes if kind != "binary" and not kind.startswith("map")]
+    spread = F.pmod(F.xxhash64(*hashable), F.lit(SALTS)).cast("int") + 1
+    return records.withColumn("_salt", F.when(_any_blank(records, key), spread).otherwise(0))
+
+
 def dedup_first(
     records: DataFrame, order: Sequence[str], key: Sequence[str] = KEY, blanks: bool = True
 ) -> DataFrame:
@@ -43,23 +58,27 @@ def dedup_first(
 def mark_stored(records: DataFrame, stored: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """Add `already_stored`: the key is in `stored` and not blank.
 
-    Only the distinct key columns of `stored` take part. Plain equality leaves NULL
-    keys unmatched, as wanted; the empty string is exempted explicitly.
+    Only the distinct key columns of `stored` take part.
     """
-    keys = stored.select(*key).where(~_any_blank(stored, key)).distinct()
-    return records.join(keys.withColumn("_stored", F.lit(True)), list(key), "left").select(
+    keys = _stored_keys(stored, key).distinct().withColumn("_stored", F.lit(True))
+    return _salted(records, key).join(keys, [*key, "_salt"], "left").select(
         *records.columns, F.coalesce("_stored", F.lit(False)).alias("already_stored")
     )
 
 
+def _stored_keys(stored: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Keys that a record can be skipped for; salt 0, so that no blank one matches."""
+    return stored.select(*key).where(~_any_blank(stored, key)).withColumn("_salt", F.lit(0))
+
+
 def split_stored(
     records: DataFrame, stored: DataFrame, key: Sequence[str] = KEY
 ) -> tuple[DataFrame, DataFrame]:
     """(new, skipped): records to fetch, and those an earlier run has stored."""
-    keys = stored.select(*key).where(~_any_blank(stored, key))
+    keys, salted, on = _stored_keys(stored, key), _salted(records, key), [*key, "_salt"]
     return (
-        records.join(keys, list(key), "left_anti"),
-        records.join(keys, list(key), "left_semi"),
+        salted.join(keys, on, "left_anti").select(*records.columns),
+        salted.join(keys, on, "left_semi").select(*records.columns),
     )
 
 
@@ -73,20 +92,25 @@ def classify_changes(
     returned as `stored_<name>`. `stored` holds one row per key.
     """
     columns = list(dict.fromkeys(["file_hash", "file_path", *carry]))
+    # The few stored rows with a blank key are repeated per salt to meet their records.
+    every_salt = F.when(_any_blank(stored, key), F.sequence(F.lit(1), F.lit(SALTS)))
     old = stored.select(
         *(F.col(c).alias(f"_key_{c}") for c in key),
         *(F.col(c).alias(f"stored_{c}") for c in columns),
         F.lit(True).alias("_found"),
+        F.explode(F.coalesce(every_salt, F.array(F.lit(0)))).alias("_stored_salt"),
     )
+    salted = _salted(new, key)
     same_key = reduce(
         lambda left, right: left & right,
-        [new[c].eqNullSafe(old[f"_key_{c}"]) for c in key],
+        [salted[c].eqNullSafe(old[f"_key_{c}"]) for c in key],
+        salted["_salt"] == old["_stored_salt"],
     )
     same_hash = F.col("file_hash").eqNullSafe(F.col("stored_file_hash"))
     same_path = F.col("file_path").eqNullSafe(F.col("stored_file_path"))
     has_file = F.col("file_hash").isNotNull()
     return (
-        new.join(old, same_key, "left")
+        salted.join(old, same_key, "left")
         .withColumn(
             "change",
             F.when(F.col("_found").isNull(), "new").when(same_hash, "unchanged").otherwise("changed"),

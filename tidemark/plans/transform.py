@@ -125,9 +125,15 @@ def run(
     check_range(start, end, 1)
     stamp = F.lit(run_ts) if run_ts else F.current_timestamp()
     selected = select_range(tables.read_metadata(spark, landing, LANDING_METADATA), start, end)
-    rows = clean_records(
-        attach_content(selected, tables.read_files(spark, landing)), stamp, tag, css_class
-    ).withColumns(
+    # The day in a path is the partition its bytes lie in: joined on as well, it lets the
+    # scan of the files skip every partition that no selected record points into.
+    day = F.try_to_date(F.regexp_extract("file_path", r"/(\d{4}-\d{2}-\d{2})/", 1), "yyyy-MM-dd")
+    attached = attach_content(
+        selected.withColumn("_file_day", day),
+        tables.read_files(spark, landing),
+        on={**POINTER, "_file_day": "partition_date"},
+    ).drop("_file_day")
+    rows = clean_records(attached, stamp, tag, css_class).withColumns(
         {"file_row": F.concat_ws("/", "file_run", "file_row"), "file_run": F.lit(run_id)}
     )
 
