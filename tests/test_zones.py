@@ -151,6 +151,12 @@ def test_second_run_skips_stored_records(spark, landed):
     assert set(by_id(metadata)) == before | {"ADJ8"}
 
 
+def test_a_finished_run_is_not_overwritten(spark, landed):
+    zone, _ = landed
+    with pytest.raises(ValueError, match="choose another run_id"):
+        landing.run(spark, as_table(spark, site()), zone, BASE, START, END, "r1", NOW)
+
+
 def test_refresh_rewrites_changed_bytes_only(spark, landed):
     zone, _ = landed
     changed = {**site(), HOST + "/d/3.pdf": b"%PDF\x00\x01three, amended"}

@@ -67,11 +67,11 @@ STRUCTURE = frozenset("div table thead tbody tfoot tr td th body".split())
 class Element:
     """One element; `inner`..`inner_end` is its content within `start`..`end`."""
 
-    __slots__ = ("name", "attributes", "start", "inner", "inner_end", "end", "parent")
+    __slots__ = ("name", "attributes", "start", "inner", "inner_end", "end", "parent", "_classes")
 
     def __init__(self, name, attributes, start, inner, parent):
         self.name, self.attributes, self.parent = name, attributes, parent
-        self.start = start
+        self.start, self._classes = start, None
         self.inner = self.inner_end = self.end = inner
 
     def attribute(self, name):
@@ -81,7 +81,11 @@ class Element:
         return None
 
     def is_a(self, name, css_class):
-        return (name is None or self.name == name) and css_class in (self.attribute("class") or "").split()
+        if name is not None and self.name != name:
+            return False
+        if self._classes is None:
+            self._classes = (self.attribute("class") or "").split()
+        return css_class in self._classes
 
     def inside(self, name, css_class):
         outer = self.parent

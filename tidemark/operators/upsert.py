@@ -55,70 +55,93 @@ def dedup_first(
     return named.unionByName(records.where(blank)) if blanks else named
 
 
-def mark_stored(records: DataFrame, stored: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    """Add `already_stored`: the key is in `stored` and not blank.
+def _known(stored: DataFrame, records: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Keys of `stored` that occur in `records` and are not blank.
 
-    Only the distinct key columns of `stored` take part.
+    Asked this way round, a small batch is broadcast to the scan of a large store,
+    which is then not shuffled at all; a batch too large for that is joined by a
+    shuffle of the key columns. Salt 0, so that no blank record matches.
     """
-    keys = _stored_keys(stored, key).distinct().withColumn("_stored", F.lit(True))
-    return _salted(records, key).join(keys, [*key, "_salt"], "left").select(
-        *records.columns, F.coalesce("_stored", F.lit(False)).alias("already_stored")
-    )
+    asked = records.select(*key).distinct()
+    keys = stored.select(*key).where(~_any_blank(stored, key))
+    return keys.join(asked, list(key), "left_semi").withColumn("_salt", F.lit(0))
 
 
-def _stored_keys(stored: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Keys that a record can be skipped for; salt 0, so that no blank one matches."""
-    return stored.select(*key).where(~_any_blank(stored, key)).withColumn("_salt", F.lit(0))
+def mark_stored(records: DataFrame, stored: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """Add `already_stored`: the key is in `stored` and not blank."""
+    known = _known(stored, records, key).distinct().withColumn("_stored", F.lit(True))
+    return _salted(records, key).join(known, [*key, "_salt"], "left").select(
+        *records.columns, F.coalesce("_stored", F.lit(False)).alias("already_stored")
+    )
 
 
 def split_stored(
     records: DataFrame, stored: DataFrame, key: Sequence[str] = KEY
 ) -> tuple[DataFrame, DataFrame]:
     """(new, skipped): records to fetch, and those an earlier run has stored."""
-    keys, salted, on = _stored_keys(stored, key), _salted(records, key), [*key, "_salt"]
+    known, salted, on = _known(stored, records, key), _salted(records, key), [*key, "_salt"]
     return (
-        salted.join(keys, on, "left_anti").select(*records.columns),
-        salted.join(keys, on, "left_semi").select(*records.columns),
+        salted.join(known, on, "left_anti").select(*records.columns),
+        salted.join(known, on, "left_semi").select(*records.columns),
     )
 
 
-def classify_changes(
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """NULL-safe equality of two lists of columns."""
+    pairs = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)]
+    return reduce(lambda x, y: x & y, pairs)
+
+
+def with_stored(
     new: DataFrame, stored: DataFrame, key: Sequence[str] = KEY, carry: Sequence[str] = ()
 ) -> DataFrame:
-    """Add `change` (new / changed / unchanged) and `write_file` against the stored row.
+    """Add what is stored under each record's key: `was_stored`, `stored_<name>`.
 
-    Bytes are written when the hash *or* the path differs, so that metadata never
-    points at a path that was not written. `carry` names further stored columns,
-    returned as `stored_<name>`. `stored` holds one row per key.
+    A narrow lookup, meant to run before any bytes are attached; NULL is a key too.
+    `stored` holds one row per key. As in the skip, the store is first cut to the keys
+    asked for; its few blank keys are repeated per salt to meet their many records.
     """
     columns = list(dict.fromkeys(["file_hash", "file_path", *carry]))
-    # The few stored rows with a blank key are repeated per salt to meet their records.
+    keys = [f"_key_{c}" for c in key]
+    asked = new.select(*(F.col(c).alias(k) for c, k in zip(key, keys))).distinct()
     every_salt = F.when(_any_blank(stored, key), F.sequence(F.lit(1), F.lit(SALTS)))
-    old = stored.select(
-        *(F.col(c).alias(f"_key_{c}") for c in key),
+    old = stored.join(asked, _same(key, keys), "left_semi").select(
+        *(F.col(c).alias(k) for c, k in zip(key, keys)),
         *(F.col(c).alias(f"stored_{c}") for c in columns),
-        F.lit(True).alias("_found"),
         F.explode(F.coalesce(every_salt, F.array(F.lit(0)))).alias("_stored_salt"),
+        F.lit(True).alias("_found"),
     )
-    salted = _salted(new, key)
-    same_key = reduce(
-        lambda left, right: left & right,
-        [salted[c].eqNullSafe(old[f"_key_{c}"]) for c in key],
-        salted["_salt"] == old["_stored_salt"],
+    on = _same([*key, "_salt"], [*keys, "_stored_salt"])
+    return (
+        _salted(new, key)
+        .join(old, on, "left")
+        .withColumn("was_stored", F.coalesce("_found", F.lit(False)))
+        .drop("_salt", "_stored_salt", "_found", *keys)
     )
+
+
+def change() -> Column:
+    """'new', 'changed' or 'unchanged' of a record that knows its stored hash."""
     same_hash = F.col("file_hash").eqNullSafe(F.col("stored_file_hash"))
-    same_path = F.col("file_path").eqNullSafe(F.col("stored_file_path"))
-    has_file = F.col("file_hash").isNotNull()
     return (
-        salted.join(old, same_key, "left")
-        .withColumn(
-            "change",
-            F.when(F.col("_found").isNull(), "new").when(same_hash, "unchanged").otherwise("changed"),
-        )
-        .withColumn(
-            "write_file", has_file & (F.col("_found").isNull() | ~same_hash | ~same_path)
-        )
-        .select(*new.columns, *(f"stored_{c}" for c in carry), "change", "write_file")
+        F.when(~F.col("was_stored"), "new").when(same_hash, "unchanged").otherwise("changed")
+    )
+
+
+def write_file() -> Column:
+    """Whether the bytes are to be written: the hash *or* the path differs.
+
+    With the hash alone, metadata could point at a path that was never written.
+    """
+    same_hash = F.col("file_hash").eqNullSafe(F.col("stored_file_hash"))
+    same_path = F.col("file_path").eqNullSafe(F.col("stored_file_path"))
+    return F.col("file_hash").isNotNull() & (~F.col("was_stored") | ~same_hash | ~same_path)
+
+
+def classify_changes(new: DataFrame, stored: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """Add `change` and `write_file` to hashed records, against the stored ones."""
+    return with_stored(new, stored, key).select(
+        *new.columns, change().alias("change"), write_file().alias("write_file")
     )
 
 
@@ -133,31 +156,41 @@ def merge_set(
     """Field-wise upsert of a batch, in `order`, into one row per key (NULL is a key too).
 
     Present fields overwrite, also with NULL; the `sticky` ones are present only where
-    `has_content`, and otherwise keep their last value. Both rules are "latest wins",
-    so stored and new rows fold in one aggregation: it combines before the shuffle,
-    and a hot key (all blank ones share one) costs each task a single row.
+    `has_content`, and otherwise keep their last value.
+
+    The batch is folded to one row per key first, combining before the shuffle, so a
+    hot key (all NULL ones share one) costs each task a single row. The fold then meets
+    the store in plain joins that never need the store on the build side: it is
+    broadcast when small, and the store is scanned without a shuffle.
     """
     columns = stored.columns
     plain = [c for c in columns if c not in (*key, *sticky)]
-    sequence = [F.col(f"_order_{i}") for i in range(len(order))]
-
-    def ranked(df: DataFrame, generation: int, keys: list[Column], content: Column) -> DataFrame:
-        return df.select(
-            *columns,
-            F.lit(generation).alias("_generation"),
-            *(k.alias(f"_order_{i}") for i, k in enumerate(keys)),
-            content.alias("_has_content"),
-        )
-
-    types = dict(batch.dtypes)
-    no_order = [F.lit(None).cast(types[c]) for c in order]
-    rows = ranked(stored, 0, no_order, F.lit(True)).unionByName(
-        ranked(batch, 1, [F.col(c) for c in order], F.coalesce(F.col(has_content), F.lit(False)))
-    )
-    when = F.struct("_generation", *sequence)
-    folded = rows.groupBy(*key).agg(
+    keys = [f"_key_{c}" for c in key]
+    when = F.struct(*order)
+    content = F.coalesce(F.col(has_content), F.lit(False))
+    folded = batch.groupBy(*(F.col(c).alias(k) for c, k in zip(key, keys))).agg(
         F.max_by(F.struct(*plain), when).alias("_plain"),
-        F.max_by(F.struct(*sticky), F.when(F.col("_has_content"), when)).alias("_sticky"),
+        F.max_by(F.struct(*sticky), F.when(content, when)).alias("_sticky"),
+    )
+
+    def new(c: str) -> Column:
+        return F.col(f"_plain.{c}" if c in plain else f"_sticky.{c}")
+
+    def merged(c: str) -> Column:
+        if c in key:
+            return F.col(c)
+        present = F.col("_plain" if c in plain else "_sticky").isNotNull()
+        return F.when(present, new(c)).otherwise(F.col(c)).alias(c)
+
+    updated = stored.join(folded, _same(key, keys), "left").select(*(merged(c) for c in columns))
+    hits = [f"_hit_{c}" for c in key]
+    matched = (
+        stored.select(*key)
+        .join(folded.select(*keys), _same(key, keys), "left_semi")
+        .select(*(F.col(c).alias(h) for c, h in zip(key, hits)))
     )
-    source = {**{c: f"_plain.{c}" for c in plain}, **{c: f"_sticky.{c}" for c in sticky}}
-    return folded.select(*(F.col(source.get(c, c)).alias(c) for c in columns))
+    inserted = folded.join(matched, _same(keys, hits), "left_anti").select(
+        *((F.col(k) if c in key else new(c)).alias(c)
+          for c, k in ((c, f"_key_{c}") for c in columns))
+    )
+    return updated.unionByName(inserted)

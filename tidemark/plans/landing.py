@@ -31,11 +31,15 @@ def requests(cards: DataFrame, stored: DataFrame, mode: str = "skip") -> DataFra
     if mode == "skip":
         wanted, _ = upsert.split_stored(wanted, stored)
     row = F.concat_ws("-", "body_order", "partition_date", "page", "position")
-    return documents.unique_requests(wanted, ORDER).withColumn("file_row", row)
+    once = documents.unique_requests(wanted, ORDER).withColumn("file_row", row)
+    return upsert.with_stored(once, stored, carry=POINTER_FIELDS)
 
 
-def as_records(resolved: DataFrame, stored: DataFrame, run_id: str, run_ts: Column) -> DataFrame:
-    """Keys, hash and change against the stored row; bytes stay only where to be written."""
+def as_records(resolved: DataFrame, run_id: str, run_ts: Column) -> DataFrame:
+    """Keys, hash and change against the stored row; bytes stay only where to be written.
+
+    A projection: what is stored came along with the request, so no join sees the bytes.
+    """
     has_content = F.col("content").isNotNull()
     named = resolved.withColumns(
         {
@@ -48,7 +52,7 @@ def as_records(resolved: DataFrame, stored: DataFrame, run_id: str, run_ts: Colu
             "has_content": has_content,
         }
     )
-    compared = upsert.classify_changes(named, stored, carry=POINTER_FIELDS)
+    compared = named.withColumns({"change": upsert.change(), "write_file": upsert.write_file()})
     write = F.col("write_file")
     return compared.withColumns(
         {
@@ -58,7 +62,7 @@ def as_records(resolved: DataFrame, stored: DataFrame, run_id: str, run_ts: Colu
                 F.col("stored_file_row")
             ),
         }
-    ).drop("stored_file_run", "stored_file_row")
+    )
 
 
 def build(
@@ -77,11 +81,11 @@ def build(
     """
     wanted = stage(requests(cards, stored, mode), "requests")
     pages = documents.mark_shells(documents.resolve(wanted, fetches))
-    direct = stage(as_records(pages, stored, run_id, run_ts), run_id)
+    direct = stage(as_records(pages, run_id, run_ts), run_id)
     shells = direct.where(F.col("status") == "rerouted").select(*wanted.columns, "status", "attachment")
     followed = documents.follow_attachment(shells, fetches, wanted, ORDER)
     attached_run = f"{run_id}.attached"
-    attached = stage(as_records(followed, stored, attached_run, run_ts), attached_run)
+    attached = stage(as_records(followed, attached_run, run_ts), attached_run)
     return direct.where(F.col("status") != "rerouted").unionByName(attached)
 
 
@@ -139,6 +143,8 @@ def run(
     """
     stamp = F.lit(run_ts) if run_ts else F.current_timestamp()
     work = f"{zone}/runs/{run_id}"
+    stored = tables.read_metadata(spark, zone, LANDING_METADATA)
+    tables.refuse_used_run(stored, (run_id, f"{run_id}.attached"))
 
     def keep(rows: DataFrame, name: str) -> DataFrame:
         rows.write.mode("overwrite").parquet(f"{work}/{name}")
@@ -165,7 +171,6 @@ def run(
         "search_url", "status", "total", "window_start", "window_end", "from_param", "to_param"
     )
 
-    stored = tables.read_metadata(spark, zone, LANDING_METADATA)
     records = build(cards, fetches, stored, run_id, stamp, mode, stage)
     tables.write_metadata(metadata(stored, records), zone)
 

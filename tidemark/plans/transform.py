@@ -124,6 +124,8 @@ def run(
     """
     check_range(start, end, 1)
     stamp = F.lit(run_ts) if run_ts else F.current_timestamp()
+    stored = tables.read_metadata(spark, clean, CLEAN_METADATA)
+    tables.refuse_used_run(stored, (run_id,))
     selected = select_range(tables.read_metadata(spark, landing, LANDING_METADATA), start, end)
     # The day in a path is the partition its bytes lie in: joined on as well, it lets the
     # scan of the files skip every partition that no selected record points into.
@@ -140,7 +142,6 @@ def run(
     path = f"{clean}/files/run_id={run_id}"
     tables.write_files(rows, path, rebalance=False)
     written = spark.read.schema(rows.schema).parquet(path).drop("content")
-    stored = tables.read_metadata(spark, clean, CLEAN_METADATA)
     tables.write_metadata(metadata(stored, written), clean)
 
     counts = stats(written)

@@ -12,6 +12,8 @@ has left its `_SUCCESS` file, and is never the path that is being read.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,6 +71,12 @@ def read_metadata(spark: SparkSession, zone: str, schema: T.StructType) -> DataF
     return spark.read.schema(schema).parquet(f"{zone}/metadata/v={versions[-1]}")
 
 
+def refuse_used_run(metadata: DataFrame, run_ids: Sequence[str]) -> None:
+    """Stop before a finished run's bytes, which metadata points at, are overwritten."""
+    if metadata.where(F.col("file_run").isin(list(run_ids))).limit(1).count():
+        raise ValueError(f"run {run_ids[0]!r} is part of the zone already, choose another run_id")
+
+
 def write_metadata(metadata: DataFrame, zone: str) -> int:
     """Write the next snapshot; a half-written one of an earlier attempt is replaced."""
     versions = _committed_versions(metadata.sparkSession, f"{zone}/metadata")
