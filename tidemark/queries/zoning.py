@@ -371,22 +371,23 @@ def audit_zone_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     SITE_SQL
-    + """, k AS (SELECT *, CASE WHEN length(description) % 2 = 0 THEN identifier
-            ELSE replace(identifier, ' ', '') END AS id FROM cards)
-    SELECT replace(lower(body), ' ', '-') || '/' || partition_date || '/' || upper(regexp_extract(url, '/([a-z][a-z])/', 1))
-        || '.' || coalesce(doc_type, 'html') AS clean_key, count(DISTINCT spaced) AS identifiers
-    FROM (SELECT *, CASE WHEN length(description) % 2 = 0 THEN upper(regexp_extract(url, '/([a-z][a-z])/', 1))
-            ELSE substr(upper(regexp_extract(url, '/([a-z][a-z])/', 1)), 1, 1) || ' '
-            || substr(upper(regexp_extract(url, '/([a-z][a-z])/', 1)), 2) END AS spaced FROM k)
-    GROUP BY 1 HAVING count(DISTINCT spaced) > 1"""
+    + """, k AS (
+        SELECT replace(lower(body), ' ', '-') || '/' || partition_date || '/' || upper(lang) || '.'
+            || coalesce(doc_type, 'html') AS clean_key,
+            CASE WHEN cards.url LIKE 'https:%' THEN upper(lang)
+                ELSE upper(lang[1]) || ' ' || upper(lang[2]) END AS identifier
+        FROM cards JOIN site USING (page_id)
+    )
+    SELECT clean_key, count(DISTINCT identifier) AS identifiers FROM k
+    GROUP BY clean_key HAVING count(DISTINCT identifier) > 1"""
 )
 def audit_key_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages as identifiers, written 'EN' or 'E N': the same key either way."""
     lang = F.upper(F.regexp_extract("url", "/([a-z][a-z])/", 1))
     spaced = F.concat(F.substr(lang, F.lit(1), F.lit(1)), F.lit(" "), F.substr(lang, F.lit(2)))
     rows = site.records(load(spark, sf_dir, "pages"))
-    even = F.length("description") % 2 == 0
-    return audit.key_collisions(rows.withColumn("identifier", F.when(even, lang).otherwise(spaced)))
+    secure = F.col("url").startswith("https:")
+    return audit.key_collisions(rows.withColumn("identifier", F.when(secure, lang).otherwise(spaced)))
 
 
 @query(
