@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.functions import markup
+from tidemark.functions.shipping import ship_package
 
 CARD = T.StructType(
     [
@@ -127,6 +128,7 @@ def clean_html(content: Column, tag: str = "div", css_class: str = "content") ->
     def clean(pages: pa.Array) -> pa.Array:
         return _by_row(lambda raw: clean_page(raw, tag, css_class), T.BinaryType(), pages)
 
+    ship_package()
     return clean(content.cast("binary"))
 
 
@@ -137,6 +139,7 @@ def _attachments(pages: pa.Array, urls: pa.Array) -> pa.Array:
 
 def shell_attachment(content: Column, url: Column) -> Column:
     """struct<value:string, error:string>: attachment of a shell page, else NULL."""
+    ship_package()
     return _attachments(content.cast("binary"), url)
 
 
@@ -147,4 +150,5 @@ def _cards(pages: pa.Array, urls: pa.Array) -> pa.Array:
 
 def cards(content: Column, url: Column) -> Column:
     """struct<value:array<card>, error:string> of a listing page."""
+    ship_package()
     return _cards(content.cast("binary"), url)
