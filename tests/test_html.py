@@ -101,6 +101,7 @@ def test_cards():
     <li class="other"><h2 class="title"><a href="/no">no</a></h2></li>
     <li class="each-item"><h2 class="title"><a href="d/2.pdf"></a></h2><div class="refNO"> R2 </div>
     <li class="each-item"><h2 class="title"><a>  </a></h2><span class="refNO">R3</span><p class="description"></p></li>
+    <li class="each-item"><h2 class="title"><a href="http://[bad">B<!-- c -->x</b>y</a></h2></li>
     <li class="each-item"><h2><a href="/x">not a title</a></h2></li>
     <li class="each-item"><h2 class="title"><a href=""><i>icon</i> T5 <!-- c -->tail</a></h2></li></ul>"""
     got = html.listing_cards(page.encode(), URL)
@@ -108,8 +109,9 @@ def test_cards():
         (0, "ADJ-1", "A & B", "05/01/2024", "https://x.example/d/1.html"),
         (1, "R2", "", "", "https://x.example/en/cases/d/2.pdf"),
         (2, "", "", "", None),
-        (3, None, "", "", None),
-        (4, "T5", "", "", None),
+        (3, "B", "", "", "http://[bad"),
+        (4, None, "", "", None),
+        (5, "T5", "", "", None),
     ]
 
 

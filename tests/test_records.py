@@ -236,7 +236,7 @@ def test_newest_response_decides(spark):
     )
     stored = fetches(spark, [
         ("u1", 200, b"old", T1), ("u1", 200, b"new", T2), ("u2", 200, b"ok", T1), ("u2", 500, b"no", T2),
-        ("u5", 200, b"", None), ("u6", 304, b"x", T1), ("other", 200, b"x", T1),
+        ("u5", 200, b"", None), ("u6", 304, b"x", T1), ("other", 200, b"x", T1), ("u1", 200, b"mew", T2),
     ])
     got = {r["n"]: (r["status"], None if r["content"] is None else bytes(r["content"]))
            for r in documents.resolve(items, stored).collect()}

@@ -100,10 +100,17 @@ def _card(page, within, base, position):
         "identifier": identifier.strip() if identifier else None,
         "description": (first_text(e for e in within if e.is_a("p", "description")) or "").strip(),
         "published_date": (first_text(e for e in within if e.is_a("span", "date")) or "").strip(),
-        "doc_url": urljoin(base, href) if href else None,
+        "doc_url": _joined(base, href) if href else None,
     }
 
 
+def _joined(base, href):
+    try:
+        return urljoin(base, href)
+    except ValueError:
+        return href  # no URL at all: the record fails by itself, its page's others do not
+
+
 def _by_row(function, value_type, *columns):
     results, errors = [], []
     for row in zip(*(column.to_pylist() for column in columns)):

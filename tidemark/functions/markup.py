@@ -23,6 +23,8 @@ _SCRIPTS = re.compile(
 _MARKUP = re.compile(
     rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?[a-z]{_ATTRIBUTES}>", re.DOTALL | re.IGNORECASE
 )
+_PARTING = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>", re.DOTALL)
+_STRAY_END = re.compile(r"</[a-z][^>]*>", re.IGNORECASE)
 _UNSEEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(script|style|template)(?=[\s/>]){_ATTRIBUTES}>.*?(?:</\1[^>]*>|\Z)"
     rf"|</?[a-z]{_ATTRIBUTES}>",
@@ -182,9 +184,10 @@ def direct_texts(html, element, found):
     position = element.inner
     for child in [*(e for e in found if e.parent is element), None]:
         stop = element.inner_end if child is None else child.start
-        for piece in _MARKUP.split(html[position:stop]):
-            if piece:
-                yield unescape(piece)
+        # Between children stand comments, which part text nodes, and stray end tags, which do not.
+        for piece in _PARTING.split(html[position:stop]):
+            if text := _STRAY_END.sub("", piece):
+                yield unescape(text)
         position = stop if child is None else child.end
 
 

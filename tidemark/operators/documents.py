@@ -19,14 +19,20 @@ def _versions(fetches: DataFrame) -> DataFrame:
 
 
 def latest_fetches(fetches: DataFrame, urls: DataFrame) -> DataFrame:
-    """(doc_url, _version, _status) of the newest response per wanted URL, without bodies."""
+    """(doc_url, _version, _copies) of the newest response per wanted URL.
+
+    `_copies` counts the successful responses of that moment, usually 1, or 0 where the
+    newest one is a failure. Bodies are not read.
+    """
     return (
         _versions(fetches)
         .select("doc_url", "_version", "status")
         .join(urls, "doc_url", "left_semi")
+        .groupBy("doc_url", "_version")
+        .agg(F.count_if(fetched("status")).alias("_copies"))
         .groupBy("doc_url")
-        .agg(F.max(F.struct("_version", "status")).alias("_latest"))
-        .select("doc_url", F.col("_latest._version").alias("_version"), F.col("_latest.status").alias("_status"))
+        .agg(F.max(F.struct("_version", "_copies")).alias("_newest"))
+        .select("doc_url", "_newest.*")
     )
 
 
@@ -54,15 +60,23 @@ def resolve(items: DataFrame, fetches: DataFrame) -> DataFrame:
     bodies = _versions(fetches).where(fetched("status")).select(
         "doc_url", "_version", F.col("body").alias("content")
     )
-    delivered = located.where(fetched("_status")).join(bodies, ["doc_url", "_version"])
+
+    def delivered(rows: DataFrame) -> DataFrame:
+        return rows.join(bodies, ["doc_url", "_version"]).select(*columns, "content")
+
+    # Responses stored twice for one moment are reduced to one; without any, Spark drops
+    # this branch as soon as it sees that no row asks for it.
+    several = delivered(located.where(F.col("_copies") > 1))
+    single = several.groupBy(*columns).agg(F.max("content").alias("content"))
+    found = delivered(located.where(F.col("_copies") == 1)).unionByName(single)
 
     def without(rows: DataFrame, status: str) -> DataFrame:
         nothing = F.lit(None).cast("binary").alias("content")
         return rows.select(*columns, nothing, F.lit(status).alias("status"))
 
     return (
-        delivered.select(*columns, "content", F.lit("scraped").alias("status"))
-        .unionByName(without(located.where(~fetched("_status")), "failed"))
+        found.select(*columns, "content", F.lit("scraped").alias("status"))
+        .unionByName(without(located.where(F.coalesce("_copies", F.lit(0)) == 0), "failed"))
         .unionByName(without(items.where(F.col("doc_url").isNull()), "scraped"))
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import keys
 from tidemark.functions.dates import day_param
+from tidemark.functions.text import is_blank
 from tidemark.functions.urls import result_total
 from tidemark.operators import documents, listing, reconcile, upsert
 from tidemark.schemas import FILE_FIELDS, LANDING_METADATA, POINTER_FIELDS
@@ -19,20 +20,24 @@ from tidemark.sources import tables
 ORDER = ("body_order", "partition_date", "page", "position")
 
 
-def requests(cards: DataFrame, stored: DataFrame, mode: str = "skip") -> DataFrame:
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def requests(cards: DataFrame, stored: DataFrame, mode: str, stage: Stage) -> DataFrame:
     """The records to fetch: first of its key, not stored yet, first of its URL.
 
-    Everything here is narrow and happens before any document is touched. `mode`
-    'refresh' fetches stored records again, for change detection.
+    Everything here is narrow and happens before any document is touched. One lookup in
+    the store serves both the skip and the later change detection. `mode` 'refresh'
+    fetches stored records again.
     """
     if mode not in ("skip", "refresh"):
         raise ValueError(f"mode must be skip or refresh, got {mode!r}")
-    wanted = upsert.dedup_first(cards, ORDER)
+    firsts = stage(upsert.dedup_first(cards, ORDER), "firsts")
+    wanted = upsert.with_stored(firsts, stored, carry=POINTER_FIELDS)
     if mode == "skip":
-        wanted, _ = upsert.split_stored(wanted, stored)
+        wanted = wanted.where(~F.col("was_stored") | is_blank("identifier"))
     row = F.concat_ws("-", "body_order", "partition_date", "page", "position")
-    once = documents.unique_requests(wanted, ORDER).withColumn("file_row", row)
-    return upsert.with_stored(once, stored, carry=POINTER_FIELDS)
+    return stage(documents.unique_requests(wanted, ORDER).withColumn("file_row", row), "requests")
 
 
 def as_records(resolved: DataFrame, run_id: str, run_ts: Column) -> DataFrame:
@@ -72,14 +77,14 @@ def build(
     run_id: str,
     run_ts: Column,
     mode: str,
-    stage: Callable[[DataFrame, str], DataFrame],
+    stage: Stage,
 ) -> DataFrame:
     """All record outcomes of a run: 'scraped' or 'failed', attachments followed.
 
     `stage(rows, name)` stores an intermediate result and returns it as read back, with
     or without `content`, so that documents are joined, parsed and hashed exactly once.
     """
-    wanted = stage(requests(cards, stored, mode), "requests")
+    wanted = requests(cards, stored, mode, stage)
     pages = documents.mark_shells(documents.resolve(wanted, fetches))
     direct = stage(as_records(pages, run_id, run_ts), run_id)
     shells = direct.where(F.col("status") == "rerouted").select(*wanted.columns, "status", "attachment")
@@ -116,9 +121,13 @@ def account(grid: DataFrame, pages: DataFrame, cards: DataFrame, records: DataFr
     return reconcile.by_partition(grid, found, counts)
 
 
-def read_listing(planned: DataFrame, fetches: DataFrame) -> DataFrame:
-    """Fetch and read planned listing pages; one row per page, also for failed ones."""
-    pages = documents.resolve(planned.withColumnRenamed("search_url", "doc_url"), fetches)
+def read_listing(planned: DataFrame, fetches: DataFrame, base_url: str) -> DataFrame:
+    """Fetch and read planned listing pages; one row per page, also for failed ones.
+
+    Only responses to searches take part: the prefix is pushed down to their scan.
+    """
+    searches = fetches.where(F.col("url").startswith(f"{base_url}?"))
+    pages = documents.resolve(planned.withColumnRenamed("search_url", "doc_url"), searches)
     totals = pages.withColumn("total", result_total(F.col("content").cast("string")))
     return listing.read_cards(totals, url="doc_url").withColumnRenamed("doc_url", "search_url")
 
@@ -151,7 +160,7 @@ def run(
         return spark.read.schema(rows.schema).parquet(f"{work}/{name}")
 
     def stage(rows: DataFrame, name: str) -> DataFrame:
-        if name == "requests":
+        if name in ("firsts", "requests"):
             return keep(rows, name)
         path = f"{zone}/files/run_id={name}"
         tables.write_files(rows, path, rebalance=True)
@@ -160,12 +169,13 @@ def run(
     dimension = listing.select_bodies(listing.bodies(spark), wanted)
     grid = listing.plan_grid(dimension, start, end, months)
     first = listing.with_search_url(grid.withColumn("page", F.lit(1).cast("bigint")), base_url)
-    first_pages = keep(read_listing(first, fetches), "listing_first")
+    first_pages = keep(read_listing(first, fetches, base_url), "listing_first")
     sized = first_pages.where(F.col("status") == "scraped").select(
         *grid.columns, "total", F.size("cards").alias("cards")
     )
     later = listing.plan_pages(sized).where(F.col("page") > 1).select(*grid.columns, "page")
-    later_pages = keep(read_listing(listing.with_search_url(later, base_url), fetches), "listing_rest")
+    later = listing.with_search_url(later, base_url)
+    later_pages = keep(read_listing(later, fetches, base_url), "listing_rest")
     pages = first_pages.unionByName(later_pages)
     cards = listing.parse_cards(pages).drop(
         "search_url", "status", "total", "window_start", "window_end", "from_param", "to_param"
