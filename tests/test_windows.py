@@ -1,6 +1,6 @@
-import calendar
 import datetime
 
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -14,15 +14,11 @@ D = datetime.date
 
 def one_by_one(start, end, months):
     """The rule as a loop: each start follows from the clamped start before it."""
-    found = []
-    while start < end:
-        month = start.month - 1 + months
-        year, month = start.year + month // 12, month % 12 + 1
-        following = D(year, month, min(start.day, calendar.monthrange(year, month)[1]))
-        following = min(following, end)
-        found.append((start, following - datetime.timedelta(days=1)))
-        start = following
-    return found
+    starts = [pd.Timestamp(start)]
+    while starts[-1].date() < end:
+        starts.append(min(starts[-1] + pd.DateOffset(months=months), pd.Timestamp(end)))
+    day = pd.Timedelta(days=1)
+    return [(a.date(), (b - day).date()) for a, b in zip(starts, starts[1:])]
 
 
 def cut(spark, start, end, months=1):

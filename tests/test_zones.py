@@ -7,10 +7,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import audit
+from tidemark.operators import audit, documents
 from tidemark.plans import landing, transform, zones
 from tidemark.schemas import CLEAN_METADATA, FETCHES, LANDING_METADATA
 from tidemark.sources import tables
+from tidemark.sources.fetches import as_fetches, read_fetches
 
 BASE = "https://search.example.org/find"
 D = datetime.date
@@ -259,3 +260,21 @@ def test_files_are_pruned_to_the_partitions_pointed_into(spark, landed):
     plan = attached._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan and "BroadcastHashJoin" in plan
     assert attached.where("content IS NOT NULL").count() == 5
+
+
+def test_pages_from_a_directory_as_responses(spark, tmp_path):
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    (tmp_path / "a" / "one.html").write_bytes(page("one").encode())
+    (tmp_path / "a" / "b" / "two.pdf").write_bytes(b"%PDF\x00")
+    files = tables.read_directory(spark, str(tmp_path / "a"))
+    assert sorted((r["file_path"].rsplit("/", 1)[1], r["size"]) for r in files.collect()) == [
+        ("one.html", len(page("one"))), ("two.pdf", 5),
+    ]
+    name = F.concat(F.lit("https://h.example/"), F.substring_index("file_path", "/", -1))
+    responses = as_fetches(files, name, F.col("content"))
+    items = spark.createDataFrame([("https://h.example/two.pdf",)], "doc_url string")
+    found = documents.resolve(items, responses).first()
+    assert bytes(found["content"]) == b"%PDF\x00" and found["status"] == "scraped"
+    stored = str(tmp_path / "fetches")
+    responses.write.parquet(stored)
+    assert read_fetches(spark, stored).schema == FETCHES

@@ -9,6 +9,7 @@ from tidemark.functions import keys
 from tidemark.functions.text import WHITESPACE, strip
 from tidemark.operators import audit, upsert
 from tidemark.queries.registry import load, query
+from tidemark.sources.staging import staged
 
 _BLANKS = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
 
@@ -81,8 +82,8 @@ def rerun_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     nothing = cards.drop("has_content").where(F.lit(False))
 
     def run(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
-        new, _ = upsert.split_stored(upsert.dedup_first(cards, order), stored)
-        return new, upsert.merge_set(stored, new, order, sticky=("published_on",))
+        new = staged(upsert.split_stored(upsert.dedup_first(cards, order), stored)[0])
+        return new, staged(upsert.merge_set(stored, new, order, sticky=("published_on",)))
 
     _, first = run(nothing)
     again, second = run(first)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import html, keys
 from tidemark.functions import urls as url_functions
-from tidemark.operators import audit, documents, listing, windows
+from tidemark.operators import audit, documents, listing
 from tidemark.plans import landing, transform
 from tidemark.queries import site
 from tidemark.queries.registry import load, query
