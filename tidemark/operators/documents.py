@@ -45,18 +45,31 @@ def unique_requests(items: DataFrame, order: Sequence[str]) -> DataFrame:
     return dedup_first(items, order, key=("doc_url",))
 
 
+def locate(items: DataFrame, fetches: DataFrame) -> DataFrame:
+    """Add which response holds each record's document (`_version`, `_copies`); narrow."""
+    linked = items.where(F.col("doc_url").isNotNull())
+    latest = latest_fetches(fetches, linked.select("doc_url"))
+    unlinked = items.where(F.col("doc_url").isNull())
+    return linked.join(latest, "doc_url", "left").unionByName(unlinked, allowMissingColumns=True)
+
+
 def resolve(items: DataFrame, fetches: DataFrame) -> DataFrame:
     """Attach the document of each record: `content`, and the `status` of the outcome.
 
     'scraped' with content; 'scraped' without, for a record that has no URL; 'failed'
     where the newest response is missing or not a success. `doc_url` must be unique
-    (unique_requests). A narrow lookup decides which rows take part, then the bodies
-    are joined once: broadcast when the records are few, else one shuffle.
+    (unique_requests).
     """
-    columns = items.columns
-    linked = items.where(F.col("doc_url").isNotNull())
-    latest = latest_fetches(fetches, linked.select("doc_url"))
-    located = linked.join(latest, "doc_url", "left")
+    return deliver(locate(items, fetches), fetches)
+
+
+def deliver(located: DataFrame, fetches: DataFrame) -> DataFrame:
+    """Second half of `resolve`: one join with the bodies.
+
+    Given located records that were stored in between, Spark knows their size when it
+    plans: few are broadcast to the scan of the bodies, many take one shuffle.
+    """
+    columns = [c for c in located.columns if c not in ("_version", "_copies")]
     bodies = _versions(fetches).where(fetched("status")).select(
         "doc_url", "_version", F.col("body").alias("content")
     )
@@ -66,9 +79,10 @@ def resolve(items: DataFrame, fetches: DataFrame) -> DataFrame:
 
     # Responses stored twice for one moment are reduced to one; without any, Spark drops
     # this branch as soon as it sees that no row asks for it.
-    several = delivered(located.where(F.col("_copies") > 1))
+    linked = located.where(F.col("doc_url").isNotNull())
+    several = delivered(linked.where(F.col("_copies") > 1))
     single = several.groupBy(*columns).agg(F.max("content").alias("content"))
-    found = delivered(located.where(F.col("_copies") == 1)).unionByName(single)
+    found = delivered(linked.where(F.col("_copies") == 1)).unionByName(single)
 
     def without(rows: DataFrame, status: str) -> DataFrame:
         nothing = F.lit(None).cast("binary").alias("content")
@@ -76,8 +90,8 @@ def resolve(items: DataFrame, fetches: DataFrame) -> DataFrame:
 
     return (
         found.select(*columns, "content", F.lit("scraped").alias("status"))
-        .unionByName(without(located.where(F.coalesce("_copies", F.lit(0)) == 0), "failed"))
-        .unionByName(without(items.where(F.col("doc_url").isNull()), "scraped"))
+        .unionByName(without(linked.where(F.coalesce("_copies", F.lit(0)) == 0), "failed"))
+        .unionByName(without(located.where(F.col("doc_url").isNull()), "scraped"))
     )
 
 
@@ -105,13 +119,11 @@ def mark_shells(resolved: DataFrame) -> DataFrame:
     )
 
 
-def follow_attachment(
-    shells: DataFrame, fetches: DataFrame, requested: DataFrame, order: Sequence[str]
-) -> DataFrame:
-    """Resolve the attachments of 'rerouted' records (given without their content).
+def attachments(shells: DataFrame, requested: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The 'rerouted' records (given without content), re-aimed at their attachment.
 
-    One hop only, as an attachment is never html. An attachment that an earlier shell
-    or any document link (`requested.doc_url`) already asked for is not fetched again.
+    One that an earlier shell or any document link (`requested.doc_url`) already asked
+    for is not asked for again.
     """
     columns = [c for c in shells.columns if c not in ("content", "status", "parse_error")]
     moved = (
@@ -123,6 +135,11 @@ def follow_attachment(
     once = dedup_first(moved, order, key=("doc_url",), blanks=False).join(
         requested.where(F.col("doc_url").isNotNull()).select("doc_url"), "doc_url", "left_anti"
     )
-    return resolve(once.select(*columns), fetches).withColumn(
-        "parse_error", F.lit(None).cast("string")
-    )
+    return once.select(*columns)
+
+
+def follow_attachment(
+    shells: DataFrame, fetches: DataFrame, requested: DataFrame, order: Sequence[str]
+) -> DataFrame:
+    """Resolve the attachments. One hop only, as an attachment is never html."""
+    return resolve(attachments(shells, requested, order), fetches)

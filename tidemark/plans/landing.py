@@ -85,10 +85,13 @@ def build(
     or without `content`, so that documents are joined, parsed and hashed exactly once.
     """
     wanted = requests(cards, stored, mode, stage)
-    pages = documents.mark_shells(documents.resolve(wanted, fetches))
+    located = stage(documents.locate(wanted, fetches), "located")
+    pages = documents.mark_shells(documents.deliver(located, fetches))
     direct = stage(as_records(pages, run_id, run_ts), run_id)
     shells = direct.where(F.col("status") == "rerouted").select(*wanted.columns, "status", "attachment")
-    followed = documents.follow_attachment(shells, fetches, wanted, ORDER)
+    moved = documents.attachments(shells, wanted, ORDER)
+    moved = stage(documents.locate(moved, fetches), "attachments")
+    followed = documents.deliver(moved, fetches).withColumn("parse_error", F.lit(None).cast("string"))
     attached_run = f"{run_id}.attached"
     attached = stage(as_records(followed, attached_run, run_ts), attached_run)
     return direct.where(F.col("status") != "rerouted").unionByName(attached)
@@ -121,15 +124,19 @@ def account(grid: DataFrame, pages: DataFrame, cards: DataFrame, records: DataFr
     return reconcile.by_partition(grid, found, counts)
 
 
-def read_listing(planned: DataFrame, fetches: DataFrame, base_url: str) -> DataFrame:
+def read_listing(
+    planned: DataFrame, fetches: DataFrame, base_url: str, stage: Stage, name: str
+) -> DataFrame:
     """Fetch and read planned listing pages; one row per page, also for failed ones.
 
     Only responses to searches take part: the prefix is pushed down to their scan.
     """
     searches = fetches.where(F.col("url").startswith(f"{base_url}?"))
-    pages = documents.resolve(planned.withColumnRenamed("search_url", "doc_url"), searches)
+    located = documents.locate(planned.withColumnRenamed("search_url", "doc_url"), searches)
+    pages = documents.deliver(stage(located, f"{name}_located"), searches)
     totals = pages.withColumn("total", result_total(F.col("content").cast("string")))
-    return listing.read_cards(totals, url="doc_url").withColumnRenamed("doc_url", "search_url")
+    read = listing.read_cards(totals, url="doc_url").withColumnRenamed("doc_url", "search_url")
+    return stage(read, name)
 
 
 def run(
@@ -160,7 +167,7 @@ def run(
         return spark.read.schema(rows.schema).parquet(f"{work}/{name}")
 
     def stage(rows: DataFrame, name: str) -> DataFrame:
-        if name in ("firsts", "requests"):
+        if name not in (run_id, f"{run_id}.attached"):
             return keep(rows, name)
         path = f"{zone}/files/run_id={name}"
         tables.write_files(rows, path, rebalance=True)
@@ -169,19 +176,20 @@ def run(
     dimension = listing.select_bodies(listing.bodies(spark), wanted)
     grid = listing.plan_grid(dimension, start, end, months)
     first = listing.with_search_url(grid.withColumn("page", F.lit(1).cast("bigint")), base_url)
-    first_pages = keep(read_listing(first, fetches, base_url), "listing_first")
+    first_pages = read_listing(first, fetches, base_url, keep, "listing_first")
     sized = first_pages.where(F.col("status") == "scraped").select(
         *grid.columns, "total", F.size("cards").alias("cards")
     )
     later = listing.plan_pages(sized).where(F.col("page") > 1).select(*grid.columns, "page")
     later = listing.with_search_url(later, base_url)
-    later_pages = keep(read_listing(later, fetches, base_url), "listing_rest")
+    later_pages = read_listing(later, fetches, base_url, keep, "listing_rest")
     pages = first_pages.unionByName(later_pages)
     cards = listing.parse_cards(pages).drop(
         "search_url", "status", "total", "window_start", "window_end", "from_param", "to_param"
     )
 
-    records = build(cards, fetches, stored, run_id, stamp, mode, stage)
+    # Kept apart from the bytes, so that the merge is planned for the size of the records.
+    records = keep(build(cards, fetches, stored, run_id, stamp, mode, stage), "records")
     tables.write_metadata(metadata(stored, records), zone)
 
     summary = keep(account(grid, pages, cards, records), "summary")

@@ -141,7 +141,11 @@ def run(
 
     path = f"{clean}/files/run_id={run_id}"
     tables.write_files(rows, path, rebalance=False)
-    written = spark.read.schema(rows.schema).parquet(path).drop("content")
+    # The records apart from their bytes: the merge is planned for their size alone.
+    narrow = spark.read.schema(rows.schema).parquet(path).drop("content")
+    work = f"{clean}/runs/{run_id}/records"
+    narrow.write.mode("overwrite").parquet(work)
+    written = spark.read.schema(narrow.schema).parquet(work)
     tables.write_metadata(metadata(stored, written), clean)
 
     counts = stats(written)
