@@ -308,3 +308,23 @@ def test_blank_keys_do_not_share_a_join_task(spark, cards):
     kept = upsert.classify_changes(new, new.dropDuplicates(["identifier"]))
     assert kept.count() == cards.count()
     assert kept.where("change = 'new'").count() == 0
+
+
+def test_bodies_are_not_shuffled_for_few_records(spark, tmp_path):
+    url = F.concat(F.lit("u"), F.col("id"))
+    spark.range(200_000).select(
+        url.alias("url"), F.lit(200).alias("status"), F.sha2(url, 512).cast("binary").alias("body"),
+        F.lit(None).cast("timestamp").alias("fetched_at"),
+    ).write.parquet(f"{tmp_path}/big")
+    stored = spark.read.schema(FETCHES).parquet(f"{tmp_path}/big")
+    items = spark.createDataFrame([(i, f"u{i * 7}") for i in range(50)] + [(99, None), (98, "no")], "n int, doc_url string")
+    documents.locate(items, stored).write.parquet(f"{tmp_path}/located")
+    found = documents.deliver(spark.read.parquet(f"{tmp_path}/located"), stored)
+    plan = plan_of(found)
+    assert "SortMergeJoin" not in plan
+    assert sum("body" in line for line in plan.splitlines() if "FileScan" in line) == 2
+    # Only responses stored twice for one moment (none here) would be brought together.
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert sorted((r["n"], r["status"]) for r in found.collect()) == sorted(
+        [(i, "scraped") for i in range(50)] + [(98, "failed"), (99, "scraped")]
+    )
