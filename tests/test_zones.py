@@ -52,7 +52,7 @@ HOST = "https://search.example.org"
 
 
 def site():
-    """Labour Court: two windows, three pages in the first; WRC: one window listed."""
+    """Labour Court: two windows, three pages in the first; another body: one window listed."""
     return {
         search("3", *JAN, 1): listing([card("ADJ 1", "/d/1.html"), card("ADJ2", "/d/2.html")], 6),
         search("3", *JAN, 2): listing([card("ADJ3", "/d/3.pdf"), card("ADJ4", "/d/4.html")], 6),
