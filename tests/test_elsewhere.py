@@ -18,7 +18,7 @@ for _ in range(2):
     rows = entry.entry(spark).collect()
     assert rows and any(r["error"] is None for r in rows)
     spark.stop()
-assert set(entry.queries()) == set(entry.oracle_sql())
+assert set(entry.oracle_sql()) <= set(entry.queries())
 print("fine", len(rows))
 """
 
