@@ -54,7 +54,7 @@ def surface(worded: DataFrame) -> DataFrame:
     """
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     hit = lambda e, j: (e.x == F.get("ordered", j - 1).x) | (e.x == F.get("ordered", j + 1).x)
-    pairs = F.array_sort(F.transform("h5", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+    pairs = F.sort_array(F.transform("h5", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
     steps = F.transform("spots", lambda p, j: F.coalesce(F.least(F.get("spots", j + 1) - p, F.lit(5)), F.lit(5)))
     return (
         worded.withColumn("lines", lines)
@@ -71,7 +71,7 @@ def surface(worded: DataFrame) -> DataFrame:
         .withColumns(
             {
                 "n_words": F.col("n_words").cast("long"),
-                "word_chars": F.aggregate("words", F.lit(0).cast("long"), lambda a, w: a + F.length(w)),
+                "word_chars": F.length(F.array_join("words", "")).cast("long"),
                 "n_symbols": (
                     F.octet_length("text") - F.octet_length(F.regexp_replace("text", r"[#*$%&|<>]+", ""))
                 ).cast("long"),
@@ -132,11 +132,11 @@ def judge(
     # A table of `buckets` numbers, whatever the corpus: the driver reads it and puts it into the plan as a literal.
     row = log_ratios(worded, trusted_ids(labels, trusted), buckets).first()
     ratios = F.split(F.lit(",".join(map(repr, row["ratios"]))), ",").cast("array<double>")
-    total = lambda array: F.aggregate(
-        array, F.lit(0.0), lambda a, h: a + F.get(ratios, F.pmod(h, F.lit(buckets)).cast("int"))
+    total = F.aggregate(
+        F.concat("h1", "h2"), F.lit(0.0), lambda a, h: a + F.get(ratios, F.pmod(h, F.lit(buckets)).cast("int"))
     )
     n = F.size("h1") + F.size("h2")
-    scored = surface(worded).withColumn("score", F.when(n > 0, (total("h1") + total("h2")) / n).otherwise(F.lit(0.0)))
+    scored = surface(worded).withColumn("score", F.when(n > 0, total / n).otherwise(F.lit(0.0)))
     return scored.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score",
         (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"),
