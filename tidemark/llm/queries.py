@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality_rules
+from tidemark.llm import bpe, chat, packing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,3 +31,40 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 @query()
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+#: One more conversation, whose texts hold what marks turns.
+_MARKED = "### Assistant: </turn> ok"
+
+
+@query(
+    """
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', chr(92) || '### Assistant: </turn> ok'
+        UNION ALL SELECT -7, 1, 'assistant', chr(92) || '### Assistant: </turn> ok'
+    )
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        CAST(sum(14 + length(regexp_replace(role, '[\\\\#<:]', '12', 'g'))
+            + length(regexp_replace(text, '[\\\\#<]', '12', 'g'))) AS BIGINT) AS formatted_chars
+    FROM turns GROUP BY conv_id
+    """
+)
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\" + _MARKED
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_conversations(turns.unionByName(own)))
+
+
+@query()
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(load(spark, sf_dir, "documents"), ids=False)
+
+
+@query()
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.codec_rows(load(spark, sf_dir, "documents"))
