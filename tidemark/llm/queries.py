@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, packing, quality_rules
+from tidemark.llm import bpe, chat, minhash, packing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,3 +68,36 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.codec_rows(load(spark, sf_dir, "documents"))
+
+
+_WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), w -> w <> '')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    f"""
+    WITH RECURSIVE worded AS (SELECT doc_id, {_WORDS.format(text=_LOWER)} AS w FROM documents),
+    shingled AS (
+        SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END)) AS s FROM worded
+    ),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id),
+    common AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingled x JOIN shingled y ON x.s = y.s
+        WHERE x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id
+    ),
+    links AS (
+        SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)
+    ),
+    reach AS (
+        SELECT doc_id, doc_id AS other FROM documents
+        UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+    ),
+    low AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+    FROM documents d LEFT JOIN sizes USING (doc_id) JOIN low USING (doc_id)
+    """
+)
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(load(spark, sf_dir, "documents"))
