@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, minhash, packing, quality_rules
+from tidemark.llm import bpe, chat, descent, minhash, packing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,7 +70,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.codec_rows(load(spark, sf_dir, "documents"))
 
 
-_WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), w -> w <> '')"
+_WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -79,7 +79,7 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
     WITH RECURSIVE worded AS (SELECT doc_id, {_WORDS.format(text=_LOWER)} AS w FROM documents),
     shingled AS (
         SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-            ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END)) AS s FROM worded
+            ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s FROM worded
     ),
     sizes AS (SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id),
     common AS (
@@ -101,3 +101,27 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 )
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(load(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+            AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+    ),
+    links AS (
+        SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y
+            ON x.vec_id <> y.vec_id AND list_cosine_similarity(x.e, y.e) >= 0.9
+    ),
+    reach AS (
+        SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other
+    ),
+    low AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+    n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT e.vec_id, coalesce(n.n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+    FROM embeddings e JOIN low USING (vec_id) LEFT JOIN n ON n.a = e.vec_id
+    """
+)
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return descent.near_duplicates(load(spark, sf_dir, "embeddings"))
