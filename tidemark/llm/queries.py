@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, descent, minhash, packing, quality_rules
+from tidemark.llm import bpe, chat, descent, maxent, minhash, packing, quality_rules, voting
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,3 +125,13 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return descent.near_duplicates(load(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op2_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(load(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_nearest_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voting.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
