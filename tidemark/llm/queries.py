@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, descent, maxent, minhash, packing, quality_rules, voting
+from tidemark.llm import automata, bpe, chat, descent, maxent, minhash, packing, quality_rules, suffixes, voting
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -135,3 +135,32 @@ def op2_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_nearest_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voting.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query()
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(load(spark, sf_dir, "documents"))
+
+
+@query(
+    f"""
+    WITH worded AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
+    windows AS (
+        SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM worded)
+    ),
+    often AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
+    starts AS (SELECT doc_id, list(i) AS at FROM windows SEMI JOIN often USING (s) GROUP BY doc_id),
+    gone AS (
+        SELECT doc_id, list_distinct(flatten(list_transform(at, lambda i: range(i, i + 35)))) AS at FROM starts
+    ),
+    words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM worded),
+    lost AS (SELECT doc_id, unnest(at) AS i FROM gone),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN lost USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone.at), 0) AS BIGINT) AS n_removed,
+        sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM worded LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """
+)
+def op7_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return automata.remove_repeats(load(spark, sf_dir, "documents"))
