@@ -135,8 +135,8 @@ def word_units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, width: int = WIDTH, output: str = "digests") -> DataFrame:
     """Take away every word of a window of `length` words that also starts elsewhere in docs. One row per row of docs:
-    doc_id, n_words, n_removed, and kept_sha256 or, with output="kept", the text of the words kept, one space between; its other
-    columns then come along.
+    doc_id, n_words, n_removed, and kept_sha256 or, with output="kept", the text of the words kept, one space between (the text
+    as it was where nothing is removed); its other columns then come along as `others`.
 
     A null text counts as empty. Overlapping occurrences count, windows are judged on the input; words are compared by
     64-bit hashes. Rows that repeat are copies of each other, null ids included; texts under `length` words stay whole.
@@ -153,13 +153,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, width: int = WIDTH, ou
         for batch in slices(batches, "text"):
             words = split_words(batch.column("text"))
             raw, bounds = words.data.tobytes(), words.bounds().tolist()
-            start, end = words.start.tolist(), words.end.tolist()
+            start, end, offsets = words.start.tolist(), words.end.tolist(), words.offsets.tolist()
             rows = []
             for k, own in enumerate(batch.column("spans").to_pylist()):
                 low, high = bounds[k], bounds[k + 1]
                 stay = ~covered(own, high - low)
-                text = b" ".join([raw[start[i] : end[i]] for i in (np.flatnonzero(stay) + low).tolist()])
-                rows.append((high - low, int((~stay).sum()), text.decode() if output == "kept" else hashlib.sha256(text).hexdigest()))
+                kept = b" ".join([raw[start[i] : end[i]] for i in (np.flatnonzero(stay) + low).tolist()])
+                if output == "kept":
+                    kept = raw[offsets[k] : offsets[k + 1]].decode() if stay.all() else kept.decode()
+                else:
+                    kept = hashlib.sha256(kept).hexdigest()
+                rows.append((high - low, int((~stay).sum()), kept))
             kinds = (pa.int64(), pa.int64(), pa.string())
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
             more = [batch.column("others")] if rest else []

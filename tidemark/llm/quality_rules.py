@@ -25,11 +25,11 @@ def _count(array: Column) -> Column:
 
 
 def with_words(docs: DataFrame) -> DataFrame:
-    """doc_id, text, and the hashes of words (h1), pairs (h2) and 5-word windows (h5) of each text."""
+    """row (the columns of docs), doc_id, text, and the hashes of words (h1), pairs (h2) and 5-word windows (h5) of each text."""
     words = F.filter(F.split(F.coalesce("text", F.lit("")), _SPACE), lambda w: w != "")
     at = lambda i: F.get("h1", i)
     return (
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), words.alias("words"))
+        docs.select(F.struct("*").alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"), words.alias("words"))
         .withColumn("h1", F.transform("words", lambda w: F.xxhash64(w)))
         .withColumn("n_words", F.size("h1"))
         .withColumn(
@@ -128,6 +128,16 @@ def judge(
     empty; an empty text has score 0.0 and fails the base rules. Every row is judged, repeated and null ids included;
     columns other than doc_id and text are ignored.
     """
+    return _judged(docs.select("doc_id", "text"), labels, threshold, buckets, trusted).drop("row")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, all columns, that `judge` keeps."""
+    return _judged(docs, labels, threshold, BUCKETS, TRUSTED).where("kept").select("row.*")
+
+
+def _judged(docs: DataFrame, labels: DataFrame, threshold: float, buckets: int, trusted: int) -> DataFrame:
+    """What judge returns, and each row of docs as `row`, packed so that its columns keep out of the way of names used here."""
     worded = with_words(docs)
     # A table of `buckets` numbers, whatever the corpus: the driver reads it and puts it into the plan as a literal.
     row = log_ratios(worded, trusted_ids(labels, trusted), buckets).first()
@@ -138,6 +148,6 @@ def judge(
     n = F.size("h1") + F.size("h2")
     scored = surface(worded).withColumn("score", F.when(n > 0, total / n).otherwise(F.lit(0.0)))
     return scored.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score",
+        "row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score",
         (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"),
     )

@@ -150,14 +150,14 @@ def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM worded)
     ),
     often AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
-    starts AS (SELECT doc_id, list(i) AS at FROM windows SEMI JOIN often USING (s) GROUP BY doc_id),
+    starts AS (SELECT doc_id, list(i) AS spots FROM windows SEMI JOIN often USING (s) GROUP BY doc_id),
     gone AS (
-        SELECT doc_id, list_distinct(flatten(list_transform(at, lambda i: range(i, i + 35)))) AS at FROM starts
+        SELECT doc_id, list_distinct(flatten(list_transform(spots, lambda i: range(i, i + 35)))) AS spots FROM starts
     ),
     words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM worded),
-    lost AS (SELECT doc_id, unnest(at) AS i FROM gone),
+    lost AS (SELECT doc_id, unnest(spots) AS i FROM gone),
     kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN lost USING (doc_id, i) GROUP BY doc_id)
-    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone.at), 0) AS BIGINT) AS n_removed,
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone.spots), 0) AS BIGINT) AS n_removed,
         sha256(coalesce(kept.text, '')) AS kept_sha256
     FROM worded LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
     """

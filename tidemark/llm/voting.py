@@ -179,19 +179,32 @@ def classify(docs: DataFrame, labels: DataFrame, bound: int = LABELLED, cut: flo
     and null texts, and all texts where nothing is labelled, have score 0.5. A doc_id labelled twice has its lowest label. Rows
     are scored one by one, so repeated and null ids and very long texts are like any other; other columns are ignored.
     """
+    scored = _scored(docs.select("doc_id", "text"), labels, bound, False)
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted")
+    )
+
+
+def accepted(docs: DataFrame, labels: DataFrame, bound: int = LABELLED, cut: float = CUT) -> DataFrame:
+    """The rows of docs, all columns, that `classify` predicts to be good."""
+    return _scored(docs, labels, bound, True).where(F.col("score") >= cut).select("row.*")
+
+
+def _scored(docs: DataFrame, labels: DataFrame, bound: int, carry: bool) -> DataFrame:
+    """doc_id and score of each row of docs and, if asked for, the row itself."""
     ship_package()
-    docs = docs.select("doc_id", "text")
     idf = rarity(docs)
     share = docs.sparkSession.sparkContext.broadcast((idf, *fit(sample(docs, labels, bound), idf)))
     kind = docs.schema["doc_id"].dataType.simpleString()
+    row = f", row {docs.schema.simpleString()}" if carry else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, basis, labelled, label = share.value
         for batch in slices(batches, "text", 2 << 20):
             scores = vote(_project(batch, idf, basis), labelled, label)
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": pa.array(scores)})
+            out = {"doc_id": batch.column("doc_id"), "score": pa.array(scores)}
+            yield pa.record_batch(out | ({"row": batch.column("row")} if carry else {}))
 
-    scored = docs.mapInArrow(run, f"doc_id {kind}, score double")
-    return scored.select(
-        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted")
-    )
+    # Packed away, other columns keep out of the way of names used here.
+    columns = ["doc_id", "text", *([F.struct("*").alias("row")] if carry else [])]
+    return docs.select(*columns).mapInArrow(run, f"doc_id {kind}, score double{row}")
