@@ -17,6 +17,8 @@ TRUSTED = 20_000
 #: Least mean log ratio of a kept document.
 THRESHOLD = -0.12
 
+RESULT = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
+
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -24,12 +26,17 @@ def _count(array: Column) -> Column:
     return F.size(array).cast("long")
 
 
+def _carried(docs: DataFrame) -> list[Column]:
+    """The columns of docs, named so that they keep out of the way of names used here."""
+    return [F.col(f"`{c}`").alias(f"carried_{i}") for i, c in enumerate(docs.columns)]
+
+
 def with_words(docs: DataFrame) -> DataFrame:
-    """row (the columns of docs), doc_id, text, and the hashes of words (h1), pairs (h2) and 5-word windows (h5) of each text."""
+    """The columns of docs under other names, doc_id, text, and the hashes of words (h1), pairs (h2) and 5-word windows (h5) of each text."""
     words = F.filter(F.split(F.coalesce("text", F.lit("")), _SPACE), lambda w: w != "")
     at = lambda i: F.get("h1", i)
     return (
-        docs.select(F.struct("*").alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"), words.alias("words"))
+        docs.select(*_carried(docs), "doc_id", F.coalesce("text", F.lit("")).alias("text"), words.alias("words"))
         .withColumn("h1", F.transform("words", lambda w: F.xxhash64(w)))
         .withColumn("n_words", F.size("h1"))
         .withColumn(
@@ -128,16 +135,20 @@ def judge(
     empty; an empty text has score 0.0 and fails the base rules. Every row is judged, repeated and null ids included;
     columns other than doc_id and text are ignored.
     """
-    return _judged(docs.select("doc_id", "text"), labels, threshold, buckets, trusted).drop("row")
+    return _judged(docs.select("doc_id", "text"), labels, threshold, buckets, trusted).select(*RESULT)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs, all columns, that `judge` keeps."""
-    return _judged(docs, labels, threshold, BUCKETS, TRUSTED).where("kept").select("row.*")
+    judged = _judged(docs, labels, threshold, BUCKETS, TRUSTED)
+    # The id keeps the filter above the projections: pushed down, it would work out the arrays anew for every element.
+    return judged.withColumn("fence", F.monotonically_increasing_id()).where("kept AND fence >= 0").select(
+        *(F.col(f"carried_{i}").alias(c) for i, c in enumerate(docs.columns))
+    )
 
 
 def _judged(docs: DataFrame, labels: DataFrame, threshold: float, buckets: int, trusted: int) -> DataFrame:
-    """What judge returns, and each row of docs as `row`, packed so that its columns keep out of the way of names used here."""
+    """What judge returns, and the columns of docs as with_words names them."""
     worded = with_words(docs)
     # A table of `buckets` numbers, whatever the corpus: the driver reads it and puts it into the plan as a literal.
     row = log_ratios(worded, trusted_ids(labels, trusted), buckets).first()
@@ -148,6 +159,6 @@ def _judged(docs: DataFrame, labels: DataFrame, threshold: float, buckets: int,
     n = F.size("h1") + F.size("h2")
     scored = surface(worded).withColumn("score", F.when(n > 0, total / n).otherwise(F.lit(0.0)))
     return scored.select(
-        "row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score",
+        *(f"carried_{i}" for i in range(len(docs.columns))), *RESULT[:-1],
         (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"),
     )
