@@ -20,6 +20,8 @@ from tidemark.llm.words import _VALUES, buffer, slices
 
 #: Bytes of a repeated string, and of an anchor.
 LENGTH, WIDTH = 400, 32
+#: Different contexts of one anchor (at most 800 bytes each) that are sorted together.
+CROWD = 20_000
 
 
 def common(a: bytes, b: bytes) -> int:
@@ -79,7 +81,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, width: int = WIDTH, ou
     copies of each other, null ids included; texts under `length` bytes stay whole; other columns are ignored.
     """
     docs = marked(docs.select("doc_id", "text"))
-    spans = repeated_spans(docs, byte_units, maximal_repeats, length, width, "u1")
+    spans = repeated_spans(docs, byte_units, maximal_repeats, length, width, "u1", CROWD)
     joined = docs.join(spans, docs["doc_id"].eqNullSafe(spans["doc_id"]) & (docs["mark"] == spans["mark"]), "left")
     last = ("kept", pa.binary(), "binary") if output == "kept" else ("kept_sha256", pa.string(), "string")
 
