@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import automata, minhash, packing, quality_rules, voting
 from tidemark.llm.staging import written
 
-#: Two shingle sets at this similarity are near copies; bands enough to miss one in 300,000 there.
-NEAR, NEAR_BANDS = (80, 100), 32
+#: Two shingle sets at this similarity are near copies; bands and rows that miss one in a million there.
+NEAR, NEAR_BANDS, NEAR_ROWS = (80, 100), 60, 7
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +27,7 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that of the smallest doc_id."""
-    verdicts = minhash.near_duplicates(docs, similarity=NEAR, bands=NEAR_BANDS)
+    verdicts = minhash.near_duplicates(docs, similarity=NEAR, bands=NEAR_BANDS, rows=NEAR_ROWS)
     dropped = verdicts.where("NOT kept").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti")
 

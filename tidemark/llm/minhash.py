@@ -22,8 +22,9 @@ from tidemark.llm.components import components
 from tidemark.llm.staging import written
 from tidemark.llm.words import Words, mix, slices, split_words
 
-#: Bands and rows of the signature: a pair at similarity 0.85 is missed with a chance below one in a million.
-BANDS, ROWS = 24, 5
+#: Bands and rows of the signature: a pair at similarity 0.85 is missed with a chance of two in a million, and documents that share
+#: a third of their shingles, as by one common passage, meet in a band with a chance of one in six thousand.
+BANDS, ROWS = 42, 8
 #: Words of a shingle, and the least similarity of linked documents.
 SHINGLE, SIMILARITY = 5, (85, 100)
 
