@@ -135,3 +135,15 @@ def test_errors_stay_in_their_row(spark):
     got = {r["i"]: (r["s"]["value"], r["s"]["error"]) if r["s"] else None for r in found.collect()}
     assert got[1] == (None, None) and got[3] in (None, (None, None))
     assert got[2][0] is None and "binary response" in got[2][1]
+
+
+def test_no_rule_stops_at_a_byte():
+    pad = b"<!--" + b"x" * 6000 + b"-->"
+    for early in (True, False):
+        gap = b"" if early else pad
+        page = b"<html><head>" + gap + b'<meta charset="iso-8859-15"></head><body><p>\xa4</p></body></html>'
+        assert "€" in html.clean_page(page).decode()
+        page = b"<html><head>" + gap + b'<base href="/base/"></head><body><div class="related-file"><a class="download" href="a.pdf">x</a></div></body>'
+        assert html.attachment_url(page, "https://files.example/q") == "https://files.example/base/a.pdf"
+        page = b"<html><body>" + gap + b'\x01<div class="content">text</div></body></html>'
+        assert html.attachment_url(page, URL) is None

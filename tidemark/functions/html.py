@@ -35,8 +35,6 @@ def _outcome(value: T.DataType) -> T.StructType:
 
 def _base_url(url, page, found):
     for element in found:
-        if element.start > 4096:
-            break
         if element.name == "base" and (href := element.attribute("href")) is not None:
             return urljoin(url, href)
     return url
@@ -136,7 +134,8 @@ def clean_html(content: Column, tag: str = "div", css_class: str = "content") ->
         return _by_row(lambda raw: clean_page(raw, tag, css_class), T.BinaryType(), pages)
 
     ship_package()
-    return clean(content.cast("binary"))
+    # Declared non-deterministic: a filter on the outcome must not have each page parsed again.
+    return clean.asNondeterministic()(content.cast("binary"))
 
 
 @F.arrow_udf(returnType=_outcome(T.StringType()))
@@ -147,7 +146,7 @@ def _attachments(pages: pa.Array, urls: pa.Array) -> pa.Array:
 def shell_attachment(content: Column, url: Column) -> Column:
     """struct<value:string, error:string>: attachment of a shell page, else NULL."""
     ship_package()
-    return _attachments(content.cast("binary"), url)
+    return _attachments.asNondeterministic()(content.cast("binary"), url)
 
 
 @F.arrow_udf(returnType=_outcome(T.ArrayType(CARD)))
@@ -158,4 +157,4 @@ def _cards(pages: pa.Array, urls: pa.Array) -> pa.Array:
 def cards(content: Column, url: Column) -> Column:
     """struct<value:array<card>, error:string> of a listing page."""
     ship_package()
-    return _cards(content.cast("binary"), url)
+    return _cards.asNondeterministic()(content.cast("binary"), url)

@@ -193,14 +193,16 @@ def direct_texts(html, element, found):
 
 _DECLARED = re.compile(rb"""<meta[^>]+charset\s*=\s*["']?\s*([a-z0-9_.:-]+)""", re.IGNORECASE)
 _MARKS = ((b"\xef\xbb\xbf", "utf-8"), (b"\xff\xfe", "utf-16-le"), (b"\xfe\xff", "utf-16-be"))
+_HEAD_ENDS = re.compile(rb"</head[\s/>]|<body[\s/>]", re.IGNORECASE)
 
 
 def decode(raw):
-    """Text of a page: byte order mark, declared charset, UTF-8, then Windows-1252."""
+    """Text of a page: byte order mark, charset declared in the head, UTF-8, then Windows-1252."""
     for mark, encoding in _MARKS:
         if raw.startswith(mark):
             return raw[len(mark) :].decode(encoding, "replace")
-    declared = _DECLARED.search(raw, 0, 4096)
+    head = _HEAD_ENDS.search(raw)
+    declared = _DECLARED.search(raw, 0, head.start() if head else len(raw))
     for encoding in ([declared[1].decode("ascii")] if declared else []) + ["utf-8"]:
         try:
             return raw.decode(encoding)
@@ -209,10 +211,10 @@ def decode(raw):
     return raw.decode("windows-1252", "replace")
 
 
-_BINARY = re.compile(rb"[\x00-\x08\x0b\x0e-\x1a\x1c-\x1f]")
+#: First bytes of the file kinds that are served where a page was expected (fixed values).
+_SIGNATURES = (b"%PDF", b"PK\x03\x04", b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1")
 
 
 def is_binary(raw):
-    """Whether the head of a response holds bytes no text page does."""
-    marked = any(raw.startswith(mark) for mark, _ in _MARKS)
-    return not marked and _BINARY.search(raw, 0, 5000) is not None
+    """Whether a response is a file of a known binary kind; stray control bytes do not make a page one."""
+    return raw.startswith(_SIGNATURES)

@@ -99,17 +99,14 @@ def mark_shells(resolved: DataFrame) -> DataFrame:
     """Find html pages that are empty shells around a pdf/doc.
 
     Adds `attachment` and `parse_error`. A shell turns 'rerouted' and gives up its
-    content; a page that cannot be read turns 'failed'. Binaries are not handed to
-    Python: the UDF sees NULL in their place.
+    content; a response that is no readable page keeps its bytes and status, and the
+    finding stands in `parse_error`. Binaries are not handed to Python: the UDF sees
+    NULL in their place.
     """
     page = F.when(F.col("doc_type") == "html", F.col("content"))
     link = F.col("_link")
-    content = F.when(link["value"].isNull() & link["error"].isNull(), F.col("content"))
-    status = (
-        F.when(link["value"].isNotNull(), "rerouted")
-        .when(link["error"].isNotNull(), "failed")
-        .otherwise(F.col("status"))
-    )
+    content = F.when(link["value"].isNull(), F.col("content"))
+    status = F.when(link["value"].isNotNull(), "rerouted").otherwise(F.col("status"))
     return resolved.withColumn("_link", html.shell_attachment(page, F.col("doc_url"))).select(
         *(c for c in resolved.columns if c not in ("content", "status")),
         content.alias("content"),
