@@ -2,7 +2,7 @@
 
 Two permutations make the whole signature: the first scatters the shingles, the second is applied to the result shifted
 round by k steps for coordinate k. Documents with the same shingle set are one class; classes that agree in a band share a
-bucket. First every class is compared with the smallest of its buckets; then, wherever a bucket still holds several
+bucket. First every class is compared with the one of its bucket that meets most others; then, wherever a bucket still holds several
 components, with all members of other components there. So no link between candidates that matters is left out, and
 a bucket of many copies costs one comparison each.
 """
@@ -139,8 +139,14 @@ def near_duplicates(
     named = marks.where("doc_id IS NOT NULL AND node IS NOT NULL")
     classes = named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
     spots = classes.select("node", F.explode("bands").alias("bucket"))
-    centers = spots.groupBy("bucket").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1")
-    crowded = written(spots.join(centers.select("bucket", "center"), "bucket"), "buckets")
+    shared = spots.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    crowded = written(spots.join(shared, "bucket"), "buckets")
+    # The class that meets most others is the likeliest to link with them: it is the center of its buckets.
+    met = crowded.groupBy("node").agg(F.sum("n").alias("met"))
+    centers = crowded.select("bucket", "node").join(met, "node").groupBy("bucket").agg(
+        F.max_by("node", F.struct("met", "node")).alias("center")
+    )
+    crowded = written(crowded.select("bucket", "node").join(centers, "bucket"), "buckets")
 
     # Shingle sets of the classes that meet another one, each from one of its documents.
     meeting = crowded.select("node").distinct()
