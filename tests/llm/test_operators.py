@@ -261,3 +261,24 @@ def test_byte_bpe(docs, texts, none):
     for text, ids in zip(odd, np.split(flat, bounds[1:-1]), strict=True):
         assert ids.tolist() == library.encode_ordinary(text) and codec.decode(ids) == text
         assert "".join(codec.decoder.stream(ids[k : k + 1] for k in range(len(ids)))) == text
+
+
+def test_near_texts_of_one_base(spark):
+    """Copies with edits of their own, near the threshold: links among them are all found, also those no center shows."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for at in rng.choice(120, int(rng.integers(1, 5)), replace=False):
+            words[at] = f"x{rng.integers(0, 40)}"
+        rows.append((i, " ".join(words)))
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(116)} for _, t in rows]
+    low = list(range(len(rows)))
+    links = [(i, j) for i in low for j in low if i < j and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    assert links and len(links) < len(rows) * (len(rows) - 1) / 4
+    for _ in rows:
+        for i, j in links:
+            low[i] = low[j] = min(low[i], low[j])
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(i, low[i]) for i in range(len(rows))]

@@ -3,8 +3,9 @@
 Two permutations make the whole signature: the first scatters the shingles, the second is applied to the result shifted
 round by k steps for coordinate k. Documents with the same shingle set are one class; classes that agree in a band share a
 bucket. First every class is compared with the smallest of its buckets; then, wherever a bucket still holds several
-components, with all members of other components there. So no link between candidates that matters is left out, and
-a bucket of many copies costs one comparison each.
+components, with those of other components there that have a common shingle far enough in front among their rarest. So no
+link between candidates that matters is left out, a bucket of many copies costs one comparison each, and copies of one
+text that are each too far from the others are not compared in pairs.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.shipping import ship_package
@@ -121,6 +122,44 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> D
     return both.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
+def meetings(mixed: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) of mixed (node, component, buckets) that share a bucket, are of different components, and can be similar.
+
+    The shingles of a set are put in order, those that fewest sets have first. Of two sets with `need` common shingles,
+    the first common one has at least need - 1 others behind it in both. So only the foremost shingles of a set are
+    joined, which copies with edits of their own mostly have alone, and no pair that is similar enough is left out.
+    """
+    least, whole = similarity
+    ship_package()
+    own = mixed.select("node").join(sets, "node")
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, x in zip(batch.column("node").to_pylist(), batch.column("set").to_pylist(), strict=True):
+                x = np.frombuffer(x, np.int64)
+                yield pa.record_batch({"node": pa.array([node] * len(x), pa.binary()), "shingle": pa.array(x)})
+
+    each = written(own.select("node", "set").mapInArrow(listed, "node binary, shingle long"), "mixed-shingles")
+    often = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    # `left`: shingles from here to the end of the order. Those that one set alone has come first, meet nothing, and go.
+    behind = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("n"), F.desc("shingle")))
+    heads = (
+        each.join(often, "shingle").withColumn("left", behind)
+        .join(sets.select("node", "size"), "node")
+        .where(whole * F.col("left") >= least * F.col("size"))
+        .join(mixed, "node")
+    )
+    heads = written(heads.select("shingle", "node", "component", "buckets", "size", "left"), "foremost-shingles")
+    x, y = heads.alias("x"), heads.alias("y")
+    common = F.least("x.left", "y.left")
+    can = (
+        (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
+        & ((least + whole) * common >= least * (F.col("x.size") + F.col("y.size")))
+        & F.arrays_overlap("x.buckets", "y.buckets")
+    )
+    return x.join(y, can).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     similarity: tuple[int, int] = SIMILARITY,
@@ -162,16 +201,14 @@ def near_duplicates(
     star = written(star, "star-pairs")
     links = written(similar(star, sets, similarity), "links")
     groups = components(links)
-    # Where a bucket still holds several components: the members outside its largest, with all of other components.
+    # Where a bucket still holds several components, its classes are compared with those of other components.
     labelled = crowded.join(groups, "node", "left").select(
         "bucket", "node", F.coalesce("component", "node").alias("component")
     )
-    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    largest = parts.groupBy("bucket").agg(F.max_by("component", "n").alias("main"), F.count("*").alias("parts"))
-    mixed = labelled.join(largest.where("parts > 1").select("bucket", "main"), "bucket")
-    mixed = written(mixed, "mixed-buckets")
-    outside = mixed.where("component != main").select("bucket", F.col("node").alias("other"), F.col("component").alias("apart"))
-    rest = mixed.join(outside, "bucket").where("component != apart").select(*ordered).distinct()
+    several = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    mixed = labelled.join(several.where("low != high").select("bucket"), "bucket")
+    mixed = mixed.groupBy("node", "component").agg(F.collect_list("bucket").alias("buckets"))
+    rest = written(meetings(written(mixed, "mixed-classes"), sets, similarity), "rest-pairs")
     more = similar(rest.join(star, ["a", "b"], "left_anti"), sets, similarity)
     links = written(links.union(more), "links")
     groups = components(links)
