@@ -112,16 +112,20 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> D
                 keep.append(whole * common >= least * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    # Sets too different in size cannot be similar; that needs no set.
-    sized = sets.select("node", "size")
-    left = pairs.join(sized.toDF("a", "na"), "a").join(sized.toDF("b", "nb"), "b")
-    left = left.where(whole * F.least("na", "nb") >= least * F.greatest("na", "nb")).select("a", "b")
-    both = left.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b"
     )
     return both.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
+def alike_in_size(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) whose sets are not too different in size to be similar; that needs no set."""
+    least, whole = similarity
+    sized = sets.select("node", "size")
+    both = pairs.join(sized.toDF("a", "na"), "a").join(sized.toDF("b", "nb"), "b")
+    return both.where(whole * F.least("na", "nb") >= least * F.greatest("na", "nb")).select("a", "b")
+
+
 def meetings(mixed: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) of mixed (node, component, buckets) that share a bucket, are of different components, and can be similar.
 
@@ -199,7 +203,7 @@ def near_duplicates(
     ordered = (F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
     star = crowded.where("node != center").select("node", F.col("center").alias("other")).select(*ordered).distinct()
     star = written(star, "star-pairs")
-    links = written(similar(star, sets, similarity), "links")
+    links = written(similar(alike_in_size(star, sets, similarity), sets, similarity), "links")
     groups = components(links)
     # Where a bucket still holds several components, its classes are compared with those of other components.
     labelled = crowded.join(groups, "node", "left").select(
