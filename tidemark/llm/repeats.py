@@ -127,11 +127,8 @@ def _contents(docs: DataFrame, chosen: DataFrame, units: Units) -> DataFrame:
     return texts.mapInArrow(run, "h long, context long, copies long, crowd long, before binary, after binary")
 
 
-_SPANS = pa.list_(pa.struct({"low": pa.int32(), "high": pa.int32()}))
-
-
 def _solved(contexts: DataFrame, solver: Solver, length: int) -> DataFrame:
-    """h, context, spans for the contexts of anchors that have a bounded number of them."""
+    """h, context, low, high for the contexts of anchors that have a bounded number of them."""
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         held: list[tuple] = []
@@ -149,25 +146,28 @@ def _solved(contexts: DataFrame, solver: Solver, length: int) -> DataFrame:
         out: list[tuple] = []
         for group in groups(batches):
             found = solver([(before, after, copies) for _, _, copies, before, after in group], length)
-            out += [(g[0], g[1], spans) for g, spans in zip(group, found, strict=True) if spans]
+            for row, spans in zip(group, found, strict=True):
+                if spans:
+                    out.append((row[0], row[1], min(low for low, _ in spans), max(high for _, high in spans)))
             if len(out) > 5000:
-                yield _span_batch(out)
+                yield _reach_batch(out)
                 out = []
         if out:
-            yield _span_batch(out)
+            yield _reach_batch(out)
 
     rows = contexts.repartition("h").sortWithinPartitions("h", "context")
-    return rows.mapInArrow(run, "h long, context long, spans array<struct<low: int, high: int>>")
+    return rows.mapInArrow(run, "h long, context long, low int, high int")
 
 
-def _span_batch(rows: list[tuple]) -> pa.RecordBatch:
-    h, context, spans = zip(*rows, strict=True)
-    listed = [[{"low": a, "high": b} for a, b in own] for own in spans]
-    return pa.record_batch({"h": pa.array(h, pa.int64()), "context": pa.array(context, pa.int64()), "spans": pa.array(listed, _SPANS)})
+def _reach_batch(rows: list[tuple]) -> pa.RecordBatch:
+    h, context, low, high = zip(*rows, strict=True)
+    return pa.record_batch(
+        {"h": pa.array(h, pa.int64()), "context": pa.array(context, pa.int64()), "low": pa.array(low, pa.int32()), "high": pa.array(high, pa.int32())}
+    )
 
 
 def _by_window(contexts: DataFrame, length: int, item: str) -> DataFrame:
-    """h, context, spans for anchors with very many contexts: their windows are counted one by one, by hash."""
+    """h, context, low, high for anchors with very many contexts: their windows are counted one by one, by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,15 +193,16 @@ def _by_window(contexts: DataFrame, length: int, item: str) -> DataFrame:
     rows = contexts.dropDuplicates(["h", "context"]).mapInArrow(run, "window long, h long, context long, low int")
     rows = written(rows, "windows")
     often = rows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
-    shared = rows.join(often, "window").groupBy("h", "context").agg(F.sort_array(F.collect_list("low")).alias("lows"))
-    return shared.select(
-        "h", "context",
-        F.transform("lows", lambda x: F.struct(x.alias("low"), (x + length).cast("int").alias("high"))).alias("spans"),
-    )
+    reach = (F.min("low").alias("low"), (F.max("low") + length).cast("int").alias("high"))
+    return rows.join(often, "window").groupBy("h", "context").agg(*reach)
 
 
 def repeated_spans(docs: DataFrame, units: Units, solver: Solver, length: int, width: int, item: str, crowd: int = CROWD) -> DataFrame:
-    """doc_id, mark, spans (array of [low, high) in units, overlapping): where docs (doc_id, text, mark) repeat."""
+    """doc_id, mark, spans (array of [low, high) in units, overlapping): where docs (doc_id, text, mark) repeat.
+
+    A context reaches so little beyond its anchor that every span of `length` units in it holds the anchor. So the spans
+    of a context overlap, and what they cover together is one stretch, from the lowest start to the highest end.
+    """
     ship_package()
     anchors = _repeated(docs, units, length, width)
     first = F.min(F.struct("doc_id", "mark", "at", "left", "right")).alias("first")
@@ -210,17 +211,16 @@ def repeated_spans(docs: DataFrame, units: Units, solver: Solver, length: int, w
     kinds = contexts.groupBy("h").agg(F.count("*").alias("crowd"))
     # A context with copies repeats from end to end; the others are compared with what shares their anchor.
     full = contexts.where("copies > 1").where(F.col("left") + F.col("right") >= length)
-    whole = full.select("h", "context", F.array(F.struct((-F.col("left")).alias("low"), F.col("right").alias("high"))).alias("spans"))
+    whole = full.select("h", "context", (-F.col("left")).alias("low"), F.col("right").alias("high"))
     compared = contexts.join(kinds.where("crowd > 1"), "h")
     read = written(_contents(docs, compared, units), "context-units")
     solved = _solved(read.where(F.col("crowd") <= crowd), solver, length)
     dealt = _by_window(read.where(F.col("crowd") > crowd), length, item)
     found = written(whole.union(solved).union(dealt), "spans")
     placed = anchors.select("h", "context", "doc_id", "mark", "at").join(found, ["h", "context"])
-    shifted = F.transform("spans", lambda s: F.struct((F.col("at") + s.low).alias("low"), (F.col("at") + s.high).alias("high")))
     # Neighbouring contexts mostly say the same: what a document has of one span is one.
-    one = placed.select("doc_id", "mark", F.explode(shifted).alias("span")).distinct()
-    return one.groupBy("doc_id", "mark").agg(F.collect_list("span").alias("spans"))
+    span = F.struct((F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.col("high")).alias("high"))
+    return placed.groupBy("doc_id", "mark").agg(F.collect_set(span).alias("spans"))
 
 
 def marked(docs: DataFrame) -> DataFrame:

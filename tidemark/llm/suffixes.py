@@ -54,11 +54,15 @@ def intervals(prefixes: list[int]) -> Iterator[tuple[int, int, int]]:
 def maximal_repeats(contexts: list[tuple[bytes, bytes, int]], length: int) -> list[list[tuple[int, int]]]:
     """Per context (before, after, copies): spans around the anchor, of `length` bytes or more, that another one shares."""
     reverse = [before[::-1] for before, _, _ in contexts]
+    rank = [0] * len(contexts)
+    for place, i in enumerate(sorted(range(len(contexts)), key=reverse.__getitem__)):
+        rank[i] = place
     order = sorted(range(len(contexts)), key=lambda i: contexts[i][1])
     prefixes = [common(contexts[i][1], contexts[j][1]) for i, j in zip(order, order[1:], strict=False)]
     found: list[set[tuple[int, int]]] = [set() for _ in contexts]
     for depth, first, last in intervals(prefixes):
-        members = sorted(order[first : last + 1], key=reverse.__getitem__)
+        members = sorted(order[first : last + 1], key=rank.__getitem__)
+        order[first : last + 1] = members  # sorted runs for the interval around this one
         ahead = [common(reverse[i], reverse[j]) for i, j in zip(members, members[1:], strict=False)]
         # Left extension: how far each member goes on like its closest one.
         for k, member in enumerate(members):
