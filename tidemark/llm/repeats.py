@@ -96,7 +96,8 @@ def _repeated(docs: DataFrame, units: Units, length: int, width: int) -> DataFra
 
     schema = f"h long, context long, doc_id {kind}, mark long, at int, left int, right int"
     anchors = written(docs.mapInArrow(run, schema), "anchors")
-    often = anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # Written, so that both sides of the join come straight from a shuffle: then Spark splits an anchor that very many texts have.
+    often = written(anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "often")
     return written(anchors.join(often, "h"), "repeated-anchors")
 
 
