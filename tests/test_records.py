@@ -246,12 +246,15 @@ def test_newest_response_decides(spark):
     }
 
 
-def test_urls_are_requested_once(spark):
-    items = spark.createDataFrame([(1, "u"), (2, "u"), (3, None), (4, None), (5, "v")], "n int, doc_url string")
-    assert sorted(r["n"] for r in documents.unique_requests(items, ("n",)).collect()) == [1, 3, 4, 5]
+def test_records_may_share_a_url(spark):
+    items = spark.createDataFrame([(1, "u"), (2, "u"), (3, None), (4, "gone"), (5, "gone")], "n int, doc_url string")
+    got = documents.resolve(items, fetches(spark, [("u", 200, b"x", T1)])).collect()
+    assert sorted((r["n"], r["status"], r["content"] is not None) for r in got) == [
+        (1, "scraped", True), (2, "scraped", True), (3, "scraped", False), (4, "failed", False), (5, "failed", False),
+    ]
 
 
-def test_attachments_are_followed_once(spark):
+def test_attachments_are_followed(spark):
     shell = b'<div class="related-file"><a class="download" href="/f.pdf">x</a></div>'
     own = b'<div class="related-file"><a class="download" href="/own.doc">x</a></div>'
     direct = b'<div class="related-file"><a class="download" href="/d.pdf">x</a></div>'
@@ -267,11 +270,12 @@ def test_attachments_are_followed_once(spark):
     ])
     marked = documents.mark_shells(documents.resolve(items, stored)).drop("content").cache()
     assert {r["n"]: r["status"] for r in marked.collect()} == {
-        1: "rerouted", 2: "rerouted", 3: "rerouted", 4: "scraped", 5: "rerouted", 6: "failed",
+        1: "rerouted", 2: "rerouted", 3: "rerouted", 4: "scraped", 5: "rerouted", 6: "scraped",
     }
-    got = documents.follow_attachment(marked, stored, items, ("n",)).collect()
+    got = documents.follow_attachment(marked, stored).collect()
     assert {r["n"]: (r["doc_url"], r["doc_type"], r["status"]) for r in got} == {
-        1: ("http://h/f.pdf", "pdf", "scraped"), 5: ("http://h/own.doc", "doc", "failed"),
+        1: ("http://h/f.pdf", "pdf", "scraped"), 2: ("http://h/f.pdf", "pdf", "scraped"),
+        3: ("http://h/d.pdf", "pdf", "scraped"), 5: ("http://h/own.doc", "doc", "failed"),
     }
 
 

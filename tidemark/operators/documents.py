@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import html
 from tidemark.functions.urls import doc_type, fetched
-from tidemark.operators.upsert import dedup_first
 
 
 def _versions(fetches: DataFrame) -> DataFrame:
@@ -21,13 +18,13 @@ def _versions(fetches: DataFrame) -> DataFrame:
 def latest_fetches(fetches: DataFrame, urls: DataFrame) -> DataFrame:
     """(doc_url, _version, _copies) of the newest response per wanted URL.
 
-    `_copies` counts the successful responses of that moment, usually 1, or 0 where the
+    `urls` may repeat one. `_copies` counts the successful responses of that moment, usually 1, or 0 where the
     newest one is a failure. Bodies are not read.
     """
     return (
         _versions(fetches)
         .select("doc_url", "_version", "status")
-        .join(urls, "doc_url", "left_semi")
+        .join(urls.distinct(), "doc_url", "left_semi")
         .groupBy("doc_url", "_version")
         .agg(F.count_if(fetched("status")).alias("_copies"))
         .groupBy("doc_url")
@@ -36,19 +33,16 @@ def latest_fetches(fetches: DataFrame, urls: DataFrame) -> DataFrame:
     )
 
 
-def unique_requests(items: DataFrame, order: Sequence[str]) -> DataFrame:
-    """First record per document URL, as a URL is requested once in a run.
+def locate(items: DataFrame, fetches: DataFrame, latest: DataFrame | None = None) -> DataFrame:
+    """Add which response holds each record's document (`_version`, `_copies`); narrow.
 
-    Records without a URL all stay. Afterwards a URL is unique, however often the
-    listings repeat it, so the joins with the fetched pages cannot multiply or skew.
+    Many records may have one URL. Give `latest` (latest_fetches of their URLs) as a
+    stored table where one URL may hold much of them: Spark splits such a join only
+    where nothing is aggregated in its own stage.
     """
-    return dedup_first(items, order, key=("doc_url",))
-
-
-def locate(items: DataFrame, fetches: DataFrame) -> DataFrame:
-    """Add which response holds each record's document (`_version`, `_copies`); narrow."""
     linked = items.where(F.col("doc_url").isNotNull())
-    latest = latest_fetches(fetches, linked.select("doc_url"))
+    if latest is None:
+        latest = latest_fetches(fetches, linked.select("doc_url"))
     unlinked = items.where(F.col("doc_url").isNull())
     return linked.join(latest, "doc_url", "left").unionByName(unlinked, allowMissingColumns=True)
 
@@ -57,8 +51,8 @@ def resolve(items: DataFrame, fetches: DataFrame) -> DataFrame:
     """Attach the document of each record: `content`, and the `status` of the outcome.
 
     'scraped' with content; 'scraped' without, for a record that has no URL; 'failed'
-    where the newest response is missing or not a success. `doc_url` must be unique
-    (unique_requests).
+    where the newest response is missing or not a success. Records that share a URL
+    have the same document each.
     """
     return deliver(locate(items, fetches), fetches)
 
@@ -116,27 +110,17 @@ def mark_shells(resolved: DataFrame) -> DataFrame:
     )
 
 
-def attachments(shells: DataFrame, requested: DataFrame, order: Sequence[str]) -> DataFrame:
-    """The 'rerouted' records (given without content), re-aimed at their attachment.
-
-    One that an earlier shell or any document link (`requested.doc_url`) already asked
-    for is not asked for again.
-    """
+def attachments(shells: DataFrame) -> DataFrame:
+    """The 'rerouted' records (given without content), re-aimed at their attachment."""
     columns = [c for c in shells.columns if c not in ("content", "status", "parse_error")]
-    moved = (
+    return (
         shells.where(F.col("status") == "rerouted")
         .select(*columns)
         .withColumn("doc_url", F.col("attachment"))
         .withColumn("doc_type", doc_type("attachment"))
     )
-    once = dedup_first(moved, order, key=("doc_url",), blanks=False).join(
-        requested.where(F.col("doc_url").isNotNull()).select("doc_url"), "doc_url", "left_anti"
-    )
-    return once.select(*columns)
 
 
-def follow_attachment(
-    shells: DataFrame, fetches: DataFrame, requested: DataFrame, order: Sequence[str]
-) -> DataFrame:
+def follow_attachment(shells: DataFrame, fetches: DataFrame) -> DataFrame:
     """Resolve the attachments. One hop only, as an attachment is never html."""
-    return resolve(attachments(shells, requested, order), fetches)
+    return resolve(attachments(shells), fetches)

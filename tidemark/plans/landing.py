@@ -24,7 +24,7 @@ Stage = Callable[[DataFrame, str], DataFrame]
 
 
 def requests(cards: DataFrame, stored: DataFrame, mode: str, stage: Stage) -> DataFrame:
-    """The records to fetch: first of its key, not stored yet, first of its URL.
+    """The records to fetch: first of its key, not stored yet. Records may share a URL.
 
     Everything here is narrow and happens before any document is touched. One lookup in
     the store serves both the skip and the later change detection. `mode` 'refresh'
@@ -37,7 +37,7 @@ def requests(cards: DataFrame, stored: DataFrame, mode: str, stage: Stage) -> Da
     if mode == "skip":
         wanted = wanted.where(~F.col("was_stored") | is_blank("identifier"))
     row = F.concat_ws("-", "body_order", "partition_date", "page", "position")
-    return stage(documents.unique_requests(wanted, ORDER).withColumn("file_row", row), "requests")
+    return stage(wanted.withColumn("file_row", row), "requests")
 
 
 def as_records(resolved: DataFrame, run_id: str, run_ts: Column) -> DataFrame:
@@ -70,27 +70,25 @@ def as_records(resolved: DataFrame, run_id: str, run_ts: Column) -> DataFrame:
     )
 
 
-def build(
-    cards: DataFrame,
-    fetches: DataFrame,
-    stored: DataFrame,
-    run_id: str,
-    run_ts: Column,
-    mode: str,
-    stage: Stage,
-) -> DataFrame:
-    """All record outcomes of a run: 'scraped' or 'failed', attachments followed.
+def located(rows: DataFrame, fetches: DataFrame, stage: Stage, name: str) -> DataFrame:
+    """Records with the response that holds their document. The newest response of each
+    URL is stored first, so that a URL of very many records is a join that Spark splits.
+    """
+    urls = rows.where(F.col("doc_url").isNotNull()).select("doc_url")
+    latest = stage(documents.latest_fetches(fetches, urls), f"{name}_latest")
+    return stage(documents.locate(rows, fetches, latest), name)
+
+
+def build(wanted: DataFrame, fetches: DataFrame, run_id: str, run_ts: Column, stage: Stage) -> DataFrame:
+    """The outcome of each request: 'scraped' or 'failed', attachments followed.
 
     `stage(rows, name)` stores an intermediate result and returns it as read back, with
     or without `content`, so that documents are joined, parsed and hashed exactly once.
     """
-    wanted = requests(cards, stored, mode, stage)
-    located = stage(documents.locate(wanted, fetches), "located")
-    pages = documents.mark_shells(documents.deliver(located, fetches))
+    pages = documents.mark_shells(documents.deliver(located(wanted, fetches, stage, "located"), fetches))
     direct = stage(as_records(pages, run_id, run_ts), run_id)
     shells = direct.where(F.col("status") == "rerouted").select(*wanted.columns, "status", "attachment")
-    moved = documents.attachments(shells, wanted, ORDER)
-    moved = stage(documents.locate(moved, fetches), "attachments")
+    moved = located(documents.attachments(shells), fetches, stage, "attachments")
     followed = documents.deliver(moved, fetches).withColumn("parse_error", F.lit(None).cast("string"))
     attached_run = f"{run_id}.attached"
     attached = stage(as_records(followed, attached_run, run_ts), attached_run)
@@ -103,23 +101,27 @@ def metadata(stored: DataFrame, records: DataFrame) -> DataFrame:
     return upsert.merge_set(stored, scraped, ORDER, sticky=(*FILE_FIELDS, *POINTER_FIELDS))
 
 
-def account(grid: DataFrame, pages: DataFrame, cards: DataFrame, records: DataFrame) -> DataFrame:
-    """Reconciliation per planned cell; a card that led to no outcome was skipped."""
+def account(
+    grid: DataFrame, pages: DataFrame, cards: DataFrame, wanted: DataFrame, records: DataFrame
+) -> DataFrame:
+    """Reconciliation per planned cell. Skipped are the cards that became no request; a
+    request without an outcome is none of the three, and so shows as missing.
+    """
     cell = list(reconcile.CELL)
     found = pages.where((F.col("page") == 1) & (F.col("status") == "scraped")).select(
         *cell, F.col("total").alias("found")
     )
-    outcomes = reconcile.count_outcomes(records).drop("skipped")
-    counts = (
-        cards.groupBy(*cell)
-        .agg(F.count("*").alias("_cards"))
-        .join(outcomes, cell, "left")
-        .select(
-            *cell,
-            *(F.coalesce(c, F.lit(0)).alias(c) for c in ("scraped", "failed")),
-            "_cards",
-        )
-        .withColumn("skipped", F.col("_cards") - F.col("scraped") - F.col("failed"))
+    # One row per card, request or outcome; each counts under its own name.
+    card, request = F.lit("card").alias("status"), F.lit("request").alias("status")
+    told = (
+        cards.select(*cell, card)
+        .unionByName(wanted.select(*cell, request))
+        .unionByName(records.select(*cell, "status"))
+    )
+    counts = told.groupBy(*cell).agg(
+        F.count_if(F.col("status") == "scraped").alias("scraped"),
+        F.count_if(F.col("status") == "failed").alias("failed"),
+        (F.count_if(F.col("status") == "card") - F.count_if(F.col("status") == "request")).alias("skipped"),
     )
     return reconcile.by_partition(grid, found, counts)
 
@@ -132,8 +134,8 @@ def read_listing(
     Only responses to searches take part: the prefix is pushed down to their scan.
     """
     searches = fetches.where(F.col("url").startswith(f"{base_url}?"))
-    located = documents.locate(planned.withColumnRenamed("search_url", "doc_url"), searches)
-    pages = documents.deliver(stage(located, f"{name}_located"), searches)
+    newest = documents.locate(planned.withColumnRenamed("search_url", "doc_url"), searches)
+    pages = documents.deliver(stage(newest, f"{name}_located"), searches)
     totals = pages.withColumn("total", result_total(F.col("content").cast("string")))
     read = listing.read_cards(totals, url="doc_url").withColumnRenamed("doc_url", "search_url")
     return stage(read, name)
@@ -189,10 +191,11 @@ def run(
     )
 
     # Kept apart from the bytes, so that the merge is planned for the size of the records.
-    records = keep(build(cards, fetches, stored, run_id, stamp, mode, stage), "records")
+    wanted_cards = requests(cards, stored, mode, stage)
+    records = keep(build(wanted_cards, fetches, run_id, stamp, stage), "records")
     tables.write_metadata(metadata(stored, records), zone)
 
-    summary = keep(account(grid, pages, cards, records), "summary")
+    summary = keep(account(grid, pages, cards, wanted_cards, records), "summary")
     told = run_started(grid, months, stamp)
     for more in (
         partition_found(first_pages, stamp),

@@ -193,7 +193,7 @@ def shell_reroute(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = site.records(pages).select("page_id", "doc_url", "doc_type")
     fetches = site.fetches(pages)
     shells = staged(documents.mark_shells(documents.resolve(items, fetches)).drop("content"))
-    followed = documents.follow_attachment(shells, fetches, items, ("page_id",))
+    followed = documents.follow_attachment(shells, fetches)
     return followed.select(
         "page_id", "doc_url", "doc_type", "status", keys.file_hash("content").alias("file_hash")
     )
@@ -234,10 +234,12 @@ def _landing(pages: DataFrame) -> DataFrame:
             for f in LANDING_METADATA.fields
         )
     )
-    return landing.build(
-        cards, site.fetches(pages), stored, "run", _stamp(), "skip",
-        lambda rows, _: staged(rows.drop("content")),
-    )
+
+    def stage(rows: DataFrame, _: str) -> DataFrame:
+        return staged(rows.drop("content"))
+
+    wanted = landing.requests(cards, stored, "skip", stage)
+    return landing.build(wanted, site.fetches(pages), "run", _stamp(), stage)
 
 
 @query(
