@@ -282,3 +282,22 @@ def test_near_texts_of_one_base(spark):
             low[i] = low[j] = min(low[i], low[j])
     found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.component_id) for r in found) == [(i, low[i]) for i in range(len(rows))]
+
+
+def test_language_model_learns_rare_words(spark):
+    """Words far from the most frequent ones, held and not held, are told from their histories; all words sum to one."""
+    rows = [(i, " ".join(f"n{j}" for j in range(400))) for i in range(6)]
+    rows += [(100 + i, " ".join(f"a{k} b{k}" for k in range(700, 1000))) for i in range(40)]
+    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 7 != 2]
+    docs = spark.createDataFrame([*train, (8, "a900 b900"), (9, "a900 b901")], "doc_id long, text string")
+    before, after = ({r["doc_id"]: r for r in maxent.score(docs, k).where("doc_id < 10").collect()} for k in (0, 5))
+    assert abs(before[8]["score"] - before[9]["score"]) < 0.3
+    assert after[8]["score"] - after[9]["score"] > 0.5
+    known = maxent.Vocabulary(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 0, 0, 300)
+    leaves = known.leaves(np.arange(300))
+    assert known.digits == 3 and leaves.min() >= maxent.FREQUENT and len(np.unique(leaves)) > 250
+    model, rng = maxent.Model(np.arange(maxent.FREQUENT, 0, -1).astype(float), 50, 1), np.random.default_rng(0)
+    model.to_class += rng.normal(size=model.to_class.shape)
+    model.to_word += rng.normal(size=model.to_word.shape)
+    every = np.arange(maxent.FREQUENT + 16)
+    assert np.isclose(np.exp(model.log_probability(np.full(len(every), 7 * maxent.SYMBOLS + 70_000), every)).sum(), 1, atol=1e-4)

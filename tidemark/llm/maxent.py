@@ -1,16 +1,19 @@
 """Language-model scoring by a hashed maximum-entropy model with a class-factored softmax.
 
-Words count over the whole training corpus. The most frequent ones are symbols, in classes by rank; all others are the last
-class, where a word has its share of that class's tokens. P(word | h2 h1) = P(class | h2 h1) P(word | class, h2 h1): both softmaxes
-sum weights of features of the history: a bias, the word before (n-gram), the word before that (skip), and the hashed pair.
-
-Each task of the counting pass writes how often each (h2, h1, symbol) occurs in its documents. Every round of training lets the
-tasks compute gradient and curvature over these events, all of them; the sums, one number per weight, update the
-weights. Scoring works on arrays: probabilities are computed once per distinct history of a slice, then gathered.
+Every word of the training corpus is in a class of classes: the HELD most frequent words by rank, sixteen classes at each of LEVELS
+levels; all others behind one more class at the root, by digits of their hash, as many digits as their number needs. Each step down
+is a softmax whose weights are sums over features of the history: a bias, the word before (n-gram), the word before that (skip)
+and the pair, hashed with the step's node into one table that grows with the corpus. Rarer words that share all digits are told
+apart by their counts.
+
+Each task of the counting pass writes how often each (h2, h1, word) occurs in its documents. Every round of training lets the
+tasks compute gradient and curvature over these events, all of them; the sums, one row per touched feature, are added up on Spark
+and update the weights. Scoring works on arrays: each distinct event of a slice is scored once, then gathered.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,14 +26,18 @@ from tidemark.functions.shipping import ship_package
 from tidemark.llm.staging import written
 from tidemark.llm.words import Words, mix, slices, split_words
 
-#: Classes of frequent words and words of each; buckets of other words in histories; buckets of hashed pairs.
-CLASSES, MEMBERS, OTHERS, PAIRS = 16, 16, 8, 1 << 12
-#: Words whose counts every task holds; those of rarer words are joined.
-HELD = 1 << 16
+#: Children of a node, levels of the held words, and held words: those whose counts and ranks every task has.
+CLASSES = MEMBERS = 16
+LEVELS = 4
+HELD = MEMBERS**LEVELS
+#: Rows of the feature table for a corpus of n tokens: this many times the square root of n.
+ROWS_PER_ROOT = 32
 ROUNDS = 5
 
-FREQUENT = CLASSES * MEMBERS
-SYMBOLS = FREQUENT + OTHERS + 1  # the last is the start of a text
+FREQUENT = HELD
+#: Inner nodes of the held words below the root.
+NODES = (MEMBERS**LEVELS - MEMBERS) // (MEMBERS - 1)
+SYMBOLS = 1 << 31  # more than there are symbols; the last is the start of a text
 START = SYMBOLS - 1
 END = int(np.uint64(0x5E17D06E5E17D06E).view(np.int64))
 
@@ -76,15 +83,23 @@ class Vocabulary:
     rest_tokens: int
     rest_distinct: int
 
+    @property
+    def digits(self) -> int:
+        """Steps of rarer words below their class: enough for one leaf per word, up to what a symbol can hold."""
+        return next((d for d in range(1, 7) if MEMBERS**d >= self.rest_distinct), 7)
+
+    def leaves(self, keys: np.ndarray) -> np.ndarray:
+        """Symbols of words that are not held, by the first digits of their hash."""
+        return FREQUENT + (mix(keys.view(np.uint64)) >> np.uint64(64 - 4 * self.digits)).astype(np.int64)
+
     def look(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbol and count of each key; count -1 for a word that is not held."""
-        others = FREQUENT + (mix(keys.view(np.uint64)) % np.uint64(OTHERS)).astype(np.int64)
+        others = self.leaves(keys)
         if not len(self.keys):
             return others, np.full(len(keys), -1)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         known = self.keys[at] == keys
-        symbol = np.where(known & (self.symbols[at] < FREQUENT), self.symbols[at], others)
-        return symbol, np.where(known, self.counts[at], -1)
+        return np.where(known, self.symbols[at], others), np.where(known, self.counts[at], -1)
 
 
 def vocabulary(counts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
@@ -107,8 +122,15 @@ def _histories(symbol: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.nda
     return one, two
 
 
+def _order(history: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by history and symbol, and where each distinct pair begins in it."""
+    order = np.lexsort((symbol, history))
+    h, s = history[order], symbol[order]
+    return order, np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (s[1:] != s[:-1]))[: len(order)])
+
+
 def events(training: DataFrame, known: Vocabulary) -> DataFrame:
-    """history, symbol, n: written by task, without a shuffle. Symbols from FREQUENT on stand for the last class."""
+    """history, symbol, n: written by task, without a shuffle."""
     share = training.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,34 +138,53 @@ def events(training: DataFrame, known: Vocabulary) -> DataFrame:
             keys, text, _ = token_keys(batch)
             symbol, _ = share.value.look(keys)
             one, two = _histories(symbol, text)
-            code, n = np.unique((two * SYMBOLS + one) * SYMBOLS + np.minimum(symbol, FREQUENT), return_counts=True)
-            yield pa.record_batch({"code": pa.array(code), "n": pa.array(n.astype(np.int32))})
-
-    return written(training.select("text").mapInArrow(run, "code long, n int"), "events")
+            history = two * SYMBOLS + one
+            order, new = _order(history, symbol)
+            n = np.diff(np.append(new, len(order)))
+            yield pa.record_batch(
+                {
+                    "history": pa.array(history[order][new]), "symbol": pa.array(symbol[order][new].astype(np.int32)),
+                    "n": pa.array(n.astype(np.int32)),
+                }
+            )
 
+    return written(training.select("text").mapInArrow(run, "history long, symbol int, n int"), "events")
 
-class Model:
-    """Weights by feature row: `to_class` over the classes and the last, `to_word` over the words of one class."""
 
-    def __init__(self, ranked: np.ndarray, rest: int):
-        self.to_class = np.zeros((1 + 2 * SYMBOLS + PAIRS, CLASSES + 1))
-        self.to_word = np.zeros(((1 + 2 * SYMBOLS) * CLASSES + PAIRS, MEMBERS))
-        grid = ranked.reshape(CLASSES, MEMBERS)
-        self.to_class[0] = np.log(np.append(grid.sum(1), rest) + 1)
-        self.to_word[:CLASSES] = np.log(grid + 1)
+_MIXED = np.uint64(0xD6E8FEB86659FD93)
 
-    @staticmethod
-    def features(history: np.ndarray) -> np.ndarray:
-        two, one = np.divmod(history, SYMBOLS)
-        pair = (mix(history.astype(np.uint64)) % np.uint64(PAIRS)).astype(np.int64)
-        return np.stack([np.zeros_like(one), 1 + one, 1 + SYMBOLS + two, 1 + 2 * SYMBOLS + pair], 1)
 
-    @staticmethod
-    def word_features(history: np.ndarray, which: np.ndarray) -> np.ndarray:
-        two, one = np.divmod(history, SYMBOLS)
-        pair = (mix((history * CLASSES + which).astype(np.uint64)) % np.uint64(PAIRS)).astype(np.int64)
-        rows = [which, (1 + one) * CLASSES + which, (1 + SYMBOLS + two) * CLASSES + which]
-        return np.stack([*rows, (1 + 2 * SYMBOLS) * CLASSES + pair], 1)
+class Model:
+    """Weights by feature row: `to_class` over the root's classes and that of rarer words, `to_word` over the children of a node."""
+
+    def __init__(self, ranked: np.ndarray, rest: int, digits: int = 1):
+        self.digits = digits
+        rows = max(1 << 12, int(ROWS_PER_ROOT * np.sqrt(ranked.sum() + rest)))
+        self.to_class = np.zeros((1 + rows // 8, CLASSES + 1), np.float32)
+        self.to_word = np.zeros((NODES + rows, MEMBERS), np.float32)
+        self.to_class[0] = np.log(np.append(ranked.reshape(CLASSES, -1).sum(1), rest) + 1)
+        low = 0
+        for level in range(1, LEVELS):
+            grid = ranked.reshape(MEMBERS**level, MEMBERS, -1).sum(2)
+            self.to_word[low : low + len(grid)] = np.log(grid + 1)
+            low += len(grid)
+
+    def features(self, history: np.ndarray) -> np.ndarray:
+        two, one = (x.astype(np.uint64) for x in np.divmod(history, SYMBOLS))
+        size = np.uint64(len(self.to_class) - 1)
+        first = mix(one * _MIXED + np.uint64(1))
+        hashed = (first, mix(two * _MIXED + np.uint64(2)), mix(first * _MIXED + two))
+        return np.stack([np.zeros(len(one), np.int64), *(1 + (x % size).astype(np.int64) for x in hashed)], 1)
+
+    def word_features(self, history: np.ndarray, which: np.ndarray) -> np.ndarray:
+        two, one = (x.astype(np.uint64) for x in np.divmod(history, SYMBOLS))
+        size = np.uint64(len(self.to_word) - NODES)
+        node = mix(which.astype(np.uint64) + np.uint64(1))
+        first = mix(node + one * _MIXED + np.uint64(1))
+        hashed = (node, first, mix(node + two * _MIXED + np.uint64(2)), mix(first * _MIXED + two))
+        rows = np.stack([NODES + (x % size).astype(np.int64) for x in hashed], 1)
+        rows[:, 0] = np.where(which < NODES, which, rows[:, 0])  # the biases of held words' nodes are their own
+        return rows
 
     @staticmethod
     def log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -151,95 +192,136 @@ class Model:
         z -= z.max(1, keepdims=True)
         return z - np.log(np.exp(z).sum(1, keepdims=True))
 
-    def update(self, gradient: np.ndarray, curvature: np.ndarray) -> None:
-        """A step along the gradient, scaled by curvature and the number of active features."""
-        step = np.clip(0.25 * gradient / (curvature + 2.0), -1.0, 1.0)
-        self.to_class += step[: self.to_class.size].reshape(self.to_class.shape)
-        self.to_word += step[self.to_class.size :].reshape(self.to_word.shape)
-
-
-def _scatter(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    out = np.zeros((size, values.shape[1]))
+    def steps(self, symbol: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray | None, np.ndarray]]:
+        """From the root down: which of the symbols take a step here, their node (None is the root), and the child taken."""
+        yield np.arange(len(symbol)), None, np.minimum(symbol // MEMBERS ** (LEVELS - 1), CLASSES)
+        held, rare = np.flatnonzero(symbol < FREQUENT), np.flatnonzero(symbol >= FREQUENT)
+        rank, leaf = symbol[held], symbol[rare] - FREQUENT
+        for level in range(1, LEVELS):
+            above = rank >> 4 * (LEVELS - level)
+            yield held, (MEMBERS**level - MEMBERS) // (MEMBERS - 1) + above, (rank >> 4 * (LEVELS - 1 - level)) & 15
+        for level in range(self.digits):
+            above = leaf >> 4 * (self.digits - level)
+            yield rare, NODES + (MEMBERS**level - 1) // (MEMBERS - 1) + above, (leaf >> 4 * (self.digits - 1 - level)) & 15
+
+    def runs(self, history: np.ndarray, symbol: np.ndarray) -> Iterator[tuple]:
+        """For each step: its symbols, children, weights, the run of equal (history, node) of each, the runs' starts and feature rows."""
+        for chosen, node, child in self.steps(symbol):
+            if not len(chosen):
+                continue
+            own = history[chosen]
+            fresh = np.append(True, own[1:] != own[:-1])
+            if node is not None:
+                fresh[1:] |= node[1:] != node[:-1]
+            start = np.flatnonzero(fresh)
+            rows = self.features(own[start]) if node is None else self.word_features(own[start], node[start])
+            yield chosen, child, self.to_class if node is None else self.to_word, np.cumsum(fresh) - 1, start, rows
+
+    def log_probability(self, history: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Natural logarithm for each event; that of a rarer word is its leaf's. Best sorted by history and symbol."""
+        out = np.zeros(len(symbol))
+        for chosen, child, weights, where, _, rows in self.runs(history, symbol):
+            out[chosen] += self.log_softmax(weights, rows)[where, child]
+        return out
+
+    def update(self, row: np.ndarray, step: np.ndarray) -> None:
+        """Adds the step of each row; those of `to_word` follow those of `to_class`."""
+        root = row < len(self.to_class)
+        self.to_class[row[root]] += step[root]
+        self.to_word[row[~root] - len(self.to_class)] += step[~root, :MEMBERS]
+
+
+def _scatter(out: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     for k in range(rows.shape[1]):
-        order = np.argsort(rows[:, k], kind="stable")
+        order = np.argsort(rows[:, k])
         named = rows[order, k]
         starts = np.flatnonzero(np.append(True, named[1:] != named[:-1]))
         out[named[starts]] += np.add.reduceat(values[order], starts, axis=0)
-    return out
-
-
-def gradient(model: Model, code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Observed minus expected counts of every weight, and the expected ones, over events sorted or not."""
-    history, symbol = np.divmod(code, SYMBOLS)
-    parts = []
-    for weights, features, chosen, target in (
-        (model.to_class, model.features, slice(None), np.minimum(symbol // MEMBERS, CLASSES)),
-        (model.to_word, model.word_features, symbol < FREQUENT, symbol % MEMBERS),
-    ):
-        own, times, hit = history[chosen], n[chosen].astype(float), target[chosen]
-        if not len(own):
-            parts.append((np.zeros(weights.size), np.zeros(weights.size)))
-            continue
-        which = symbol[chosen] // MEMBERS
-        key = own if weights is model.to_class else own * CLASSES + which
-        distinct, at, where = np.unique(key, return_index=True, return_inverse=True)
-        rows = features(own[at]) if weights is model.to_class else features(own[at], which[at])
-        total = np.bincount(where, times, len(distinct))
-        expected = np.exp(model.log_softmax(weights, rows)) * total[:, None]
-        width = weights.shape[1]
-        observed = np.bincount(where * width + hit, times, len(distinct) * width).reshape(-1, width)
-        plus, minus = _scatter(rows, observed, len(weights)), _scatter(rows, expected, len(weights))
-        parts.append(((plus - minus).ravel(), minus.ravel()))
-    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-
-
-def train(found: DataFrame, ranked: np.ndarray, rest: int, rounds: int = ROUNDS) -> Model:
+
+
+def gradient(model: Model, sums: dict[bool, np.ndarray], history: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> None:
+    """Adds to sums, by whether it is the root, each row's observed minus expected counts and beside them the expected ones."""
+    for chosen, child, weights, where, start, rows in model.runs(history, symbol):
+        times, width = n[chosen].astype(float), weights.shape[1]
+        expected = np.exp(model.log_softmax(weights, rows)) * np.add.reduceat(times, start)[:, None]
+        observed = np.bincount(where * width + child, times, len(start) * width).reshape(-1, width)
+        values = np.concatenate([observed - expected, expected], 1).astype(np.float32)
+        _scatter(sums[weights is model.to_class], rows, values)
+
+
+_WIDTH = CLASSES + 1
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The step of each row: along the summed gradient, scaled by curvature and the number of active features."""
+    row, sums = np.zeros(0, np.int64), np.zeros((0, 2 * _WIDTH))
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for batch in [*batches, None]:
+        if batch is not None:
+            own = np.frombuffer(b"".join(batch.column("sums").to_pylist()), "<f4").reshape(-1, 2 * _WIDTH)
+            held.append((batch.column("row").to_numpy(), own))
+        if held and (batch is None or sum(len(r) for r, _ in held) > 1 << 16):
+            every, values = np.concatenate([row, *(r for r, _ in held)]), np.concatenate([sums, *(v for _, v in held)])
+            order = np.argsort(every, kind="stable")
+            starts = np.flatnonzero(np.append(True, every[order][1:] != every[order][:-1])[: len(every)])
+            row, sums, held = every[order][starts], np.add.reduceat(values[order], starts, axis=0) if len(starts) else sums, []
+    if len(row):
+        step = np.clip(0.25 * sums[:, :_WIDTH] / (sums[:, _WIDTH:] + 2.0), -1.0, 1.0).astype("<f4")
+        yield pa.record_batch({"row": pa.array(row), "step": pa.array([x.tobytes() for x in step], pa.binary())})
+
+
+def train(found: DataFrame, ranked: np.ndarray, rest: int, rounds: int = ROUNDS, digits: int = 1) -> Model:
     """Rounds of updates, each from the sums of all tasks' gradients over all events."""
-    model = Model(ranked, rest)
+    model = Model(ranked, rest, digits)
     context = found.sparkSession.sparkContext
+    # One task per core: each ships its sums once.
+    found = found.coalesce(context.defaultParallelism)
     for _ in range(rounds):
         share = context.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch], share=share) -> Iterator[pa.RecordBatch]:
-            held, size, sums = [], 0, None
-            for batch in [*batches, None]:
-                if batch is not None:
-                    held.append((batch.column("code").to_numpy(), batch.column("n").to_numpy()))
+            model, held, size = share.value, [], 0
+            sums: dict[bool, np.ndarray] = {}
+            for batch in itertools.chain(batches, [None]):
+                if batch is not None and batch.num_rows:
+                    held.append([batch.column(c).to_numpy() for c in ("history", "symbol", "n")])
                     size += batch.num_rows
-                if held and (batch is None or size > 1 << 19):
-                    own = gradient(share.value, *(np.concatenate(x) for x in zip(*held, strict=True)))
-                    sums = own if sums is None else tuple(a + b for a, b in zip(sums, own, strict=True))
+                if held and (batch is None or size > 1 << 17):
+                    for root, weights in ((True, model.to_class), (False, model.to_word)):
+                        sums.setdefault(root, np.zeros((len(weights), 2 * weights.shape[1])))
+                    history, symbol, n = (np.concatenate(x) for x in zip(*held, strict=True))
+                    gradient(model, sums, history, symbol.astype(np.int64), n)
                     held, size = [], 0
-            if sums is not None:
-                at = np.flatnonzero(sums[1])
-                yield pa.record_batch({"at": pa.array(at), "g": pa.array(sums[0][at]), "h": pa.array(sums[1][at])})
-
-        summed = found.mapInArrow(run, "at long, g double, h double").groupBy("at").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-        rows = summed.toPandas()  # one row per weight at most
-        g, h = np.zeros((2, model.to_class.size + model.to_word.size))
-        g[rows["at"]], h[rows["at"]] = rows["g"], rows["h"]
-        model.update(g, h)
+            for root, own in sums.items():
+                width = own.shape[1] // 2
+                touched = np.flatnonzero(own[:, width:].any(1))
+                for low in range(0, len(touched), 1 << 14):
+                    at = touched[low : low + (1 << 14)]
+                    whole = np.zeros((len(at), 2, _WIDTH), "<f4")
+                    whole[:, :, :width] = own[at].reshape(-1, 2, width)
+                    row = at if root else at + len(model.to_class)
+                    yield pa.record_batch({"row": pa.array(row), "sums": pa.array([x.tobytes() for x in whole], pa.binary())})
+
+        parts = found.mapInArrow(run, "row long, sums binary").repartition("row")
+        rows = parts.mapInArrow(_added, "row long, step binary").toPandas()  # one row per row of the tables at most
+        if len(rows):
+            step = np.frombuffer(b"".join(rows["step"]), "<f4").reshape(-1, _WIDTH)
+            model.update(rows["row"].to_numpy(np.int64), step)
         share.unpersist()
     return model
 
 
 def score_slice(model: Model, known: Vocabulary, batch: pa.RecordBatch) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
-    """Per text: n_tokens, known, base, score as far as held counts go. Per text and rarer word: text, key, n."""
+    """Per text: n_tokens, known, base, score but for the share of rarer words in their leaf. Per text and rarer word: text, key, n."""
     keys, text, words = token_keys(batch)
     rows = batch.num_rows
     symbol, count = known.look(keys)
     one, two = _histories(symbol, text)
-    history, which = two * SYMBOLS + one, np.minimum(symbol // MEMBERS, CLASSES)
-    distinct, where = np.unique(history, return_inverse=True)
-    log = model.log_softmax(model.to_class, model.features(distinct))[where, which]
-    inner = symbol < FREQUENT
-    pairs, at, where = np.unique(history[inner] * CLASSES + which[inner], return_index=True, return_inverse=True)
-    rows_of = model.word_features(history[inner][at], which[inner][at])
-    if len(pairs):
-        log[inner] += model.log_softmax(model.to_word, rows_of)[where, symbol[inner] % MEMBERS]
+    history = two * SYMBOLS + one
+    order, new = _order(history, symbol)
+    log = np.empty(len(order))
+    log[order] = np.repeat(model.log_probability(history[order][new], symbol[order][new]), np.diff(np.append(new, len(order))))
     held = count >= 0
-    tail = held & ~inner
-    log[tail] += np.log((count[tail] + 1) / (known.rest_tokens + known.rest_distinct + 1))
     base = np.where(held, np.log10((np.maximum(count, 0) + 1) / (known.tokens + known.distinct + 1)), 0.0)
     total = lambda x: np.bincount(text, x, rows)
     per_text = {
@@ -252,7 +334,7 @@ def score_slice(model: Model, known: Vocabulary, batch: pa.RecordBatch) -> tuple
     if not len(order):
         new = new[:0]
     n = np.diff(np.append(new, len(order)))
-    return per_text, {"text": text[order][new], "key": keys[order][new], "n": n}
+    return per_text, {"text": text[order][new], "key": keys[order][new], "leaf": symbol[order][new], "n": n}
 
 
 def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -269,7 +351,7 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     training = docs.where(~held_out())
     counts = word_counts(training)
     known, ranked = vocabulary(counts)
-    model = train(events(training, known), ranked, known.rest_tokens, rounds)
+    model = train(events(training, known), ranked, known.rest_tokens, rounds, known.digits)
     share = spark.sparkContext.broadcast((model, known))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -281,7 +363,8 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             rows, more = batch.num_rows, len(rare["n"])
             yield pa.record_batch(
                 {
-                    "doc_id": ids, "mark": mark, "key": pa.nulls(rows, pa.int64()), "n": pa.array(texts["n_tokens"], pa.int64()),
+                    "doc_id": ids, "mark": mark, "key": pa.nulls(rows, pa.int64()), "leaf": pa.nulls(rows, pa.int64()),
+                    "n": pa.array(texts["n_tokens"], pa.int64()),
                     "known": pa.array(texts["known"]), "base": pa.array(texts["base"]), "score": pa.array(texts["score"]),
                 }
             )
@@ -289,21 +372,32 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
                 at = pa.array(rare["text"])
                 yield pa.record_batch(
                     {
-                        "doc_id": ids.take(at), "mark": mark.take(at), "key": pa.array(rare["key"]), "n": pa.array(rare["n"], pa.int64()),
+                        "doc_id": ids.take(at), "mark": mark.take(at), "key": pa.array(rare["key"]), "leaf": pa.array(rare["leaf"]),
+                        "n": pa.array(rare["n"], pa.int64()),
                         "known": pa.nulls(more, pa.int64()), "base": pa.nulls(more, pa.float64()), "score": pa.nulls(more, pa.float64()),
                     }
                 )
 
-    schema = f"doc_id {kind}, mark int, key long, n long, known long, base double, score double"
+    schema = f"doc_id {kind}, mark int, key long, leaf long, n long, known long, base double, score double"
     marked = docs.withColumn("mark", F.hash("text"))
     parts = written(marked.mapInArrow(run, schema), "scored")
-    whole = parts.where("key IS NULL").drop("key")
+    whole = parts.where("key IS NULL").drop("key", "leaf")
+
+    def leaf_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = share.value[1]
+        for batch in batches:
+            symbol, held = known.look(batch.column("key").to_numpy())
+            rarer = held < 0
+            yield pa.record_batch({"leaf": pa.array(symbol[rarer]), "c": batch.column("c").filter(pa.array(rarer))})
+
+    # The words of a leaf, and one that was never seen.
+    leaves = counts.mapInArrow(leaf_of, "leaf long, c long").groupBy("leaf").agg(F.sum(F.col("c") + 1).alias("whole"))
     c = F.coalesce("c", F.lit(0))
-    rare = parts.where("key IS NOT NULL").select("doc_id", "mark", "key", "n").join(counts, "key", "left")
+    rare = parts.where("key IS NOT NULL").select("doc_id", "mark", "key", "leaf", "n").join(counts, "key", "left").join(leaves, "leaf", "left")
     rare = rare.select(
         "doc_id", "mark", F.lit(None).cast("long").alias("n"), F.when(c > 0, F.col("n")).otherwise(F.lit(0)).alias("known"),
         (F.col("n") * F.log10((c + 1) / F.lit(float(known.tokens + known.distinct + 1)))).alias("base"),
-        (F.col("n") * F.log10((c + 1) / F.lit(float(known.rest_tokens + known.rest_distinct + 1)))).alias("score"),
+        (F.col("n") * F.log10((c + 1) / (F.coalesce("whole", F.lit(0)) + 1))).alias("score"),
     )
     summed = whole.union(rare).groupBy("doc_id", "mark").agg(
         F.count("n").alias("rows"), F.sum("n").alias("n"), F.sum("known").alias("known"),
