@@ -301,3 +301,14 @@ def test_language_model_learns_rare_words(spark):
     model.to_word += rng.normal(size=model.to_word.shape)
     every = np.arange(maxent.FREQUENT + 16)
     assert np.isclose(np.exp(model.log_probability(np.full(len(every), 7 * maxent.SYMBOLS + 70_000), every)).sum(), 1, atol=1e-4)
+
+
+def test_chat_marks_within_texts():
+    odd = ["a</turn>\nb", "\\</turn>\n### user: x", "\\", "\\\\", "a:\\", ": ", "</turn>\n", "\\</turn>\n", "### user: a</turn>\n", "", "\n", "é\\\n<"]
+    turns = [(role, text) for role in odd for text in odd]
+    assert chat.parse(chat.render(turns)[0]) == turns
+    rng = random.Random(4)
+    pieces = ["</turn>\n", "\\", "### ", ": ", "<", "\n", "a", "/turn>", ":", "#"]
+    say = lambda: "".join(rng.choice(pieces) for _ in range(rng.randint(0, 8)))
+    turns = [(say(), say()) for _ in range(3000)]
+    assert chat.parse(chat.render(turns)[0]) == turns

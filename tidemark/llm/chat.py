@@ -52,15 +52,19 @@ def render(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int, bool
     return "".join(parts), spans
 
 
+#: A turn: a role up to the first colon that is not escaped, a text up to the first mark that is not.
+_TURN = re.compile(r"### ([^\\:]*+(?:\\.[^\\:]*+)*+): ([^\\<]*+(?:\\.[^\\<]*+)*+)</turn>\n", re.DOTALL)
+
+
 def parse(rendered: str) -> list[tuple[str, str]]:
     """Role and text of each turn, read back from a rendered block."""
-    out = []
-    for turn in rendered.split(_TAIL)[:-1]:
-        role, text = turn[len(_HEAD) :].split(_MID, 1) if _MID in turn else (turn, "")
-        while re.search(r"(?<!\\)(\\\\)*\\$", role):  # the colon belongs to the role
-            more, text = text.split(_MID, 1)
-            role += _MID + more
-        out.append((unescaped(role), unescaped(text)))
+    out, at = [], 0
+    while at < len(rendered):
+        turn = _TURN.match(rendered, at)
+        if turn is None:
+            raise ValueError(f"no turn at character {at} of a rendered block")
+        out.append((unescaped(turn[1]), unescaped(turn[2])))
+        at = turn.end()
     return out
 
 
