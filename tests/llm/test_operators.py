@@ -312,3 +312,16 @@ def test_chat_marks_within_texts():
     say = lambda: "".join(rng.choice(pieces) for _ in range(rng.randint(0, 8)))
     turns = [(say(), say()) for _ in range(3000)]
     assert chat.parse(chat.render(turns)[0]) == turns
+
+
+def test_packing_added_tokens(spark):
+    """Ids are those of the vocabulary's own library, also where a text quotes one of its added tokens."""
+    odd = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\ny", "one two", "<|endoftext", "|> <|endoftext|", "a  b <|endoftext|>", None]
+    library = Tokenizer.from_file(packing.VOCABULARY)
+    want = {i: [*library.encode(t or "", add_special_tokens=False).ids, 0] for i, t in enumerate(odd)}
+    assert 50256 in want[0]
+    pieces = packing.pack(spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string").coalesce(1)).collect()
+    got = collections.defaultdict(list)
+    for r in sorted(pieces, key=lambda r: (r["sequence_id"], r["offset"])):
+        got[r["doc_id"]] += np.frombuffer(r["ids"], "<u4").tolist()
+    assert got == want

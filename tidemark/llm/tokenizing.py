@@ -7,12 +7,14 @@ vocabularies starts a new match at each of them, so the ids of the text are thos
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
+from tokenizers import Tokenizer
 
 from tidemark.llm.words import split_words
 
@@ -51,7 +53,7 @@ class Encoder:
     """Ids of whole texts from those of their words.
 
     `direct(text)` gives the ids of any text. `batch(text, before)` gives the ids of a text made of words, each after
-    `before` (a space or line feed), and the index of the first id of each.
+    `before` (a space or line feed), and the index of the first id of each. Texts that hold one of `whole` are never cut.
     """
 
     def __init__(
@@ -59,8 +61,10 @@ class Encoder:
         direct: Callable[[str], np.ndarray],
         batch: Callable[[str, str], tuple[np.ndarray, np.ndarray]],
         limit: int = WORDS,
+        whole: tuple[str, ...] = (),
     ):
         self.direct, self.batch, self.limit = direct, batch, limit
+        self.whole = re.compile(b"|".join(re.escape(x.encode()) for x in whole)) if whole else None
         self.known: dict[int, bytes] = {}
 
     def _learn(self, keys: list[int], texts: bytes, before: str, skip: int) -> None:
@@ -87,6 +91,9 @@ class Encoder:
         odd = (np.bincount(words.text, minlength=n) == 0) & (offsets[1:] > offsets[:-1])
         odd[words.text[strange]] = True
         odd[np.searchsorted(offsets, _unicode_space(data), side="right") - 1] = True
+        if self.whole:
+            spots = [m.start() for m in self.whole.finditer(data)]
+            odd[np.searchsorted(offsets, np.array(spots, np.int64), side="right") - 1] = True
         plain = ~odd[words.text]
         start, end, kind = words.start[plain], words.end[plain], kind[plain]
         keys, at, where = np.unique(
@@ -137,16 +144,27 @@ def ranks_of_json(path: str) -> dict[bytes, int]:
     return ranks
 
 
+def added_tokens(path: str) -> tuple[str, ...]:
+    """Strings that the library of a vocabulary file takes out of a text before it is split."""
+    with open(path, encoding="utf-8") as file:
+        return tuple(t["content"] for t in json.load(file).get("added_tokens") or [] if t["content"])
+
+
 def library_encoder(path: str) -> Encoder:
-    """Encoder over the vocabulary of a tokenizers file; special tokens' strings are ordinary text."""
-    ranks = ranks_of_json(path)
+    """Encoder over the vocabulary of a tokenizers file; texts with an added token are encoded by its own library."""
+    ranks, added, own = ranks_of_json(path), added_tokens(path), Tokenizer.from_file(path)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     opens = np.zeros(max(ranks.values()) + 1, bool)
     opens[[rank for token, rank in ranks.items() if token[:1] == b" "]] = True
     newline = ranks[b"\n"]
 
+    def direct(text: str) -> np.ndarray:
+        if any(token in text for token in added):
+            return np.array(own.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(library.encode_ordinary(text), "<u4")
+
     def batch(text: str, before: str) -> tuple[np.ndarray, np.ndarray]:
         ids = np.array(library.encode_ordinary(text), "<u4")
         return ids, np.flatnonzero(opens[ids] if before == " " else ids == newline)
 
-    return Encoder(lambda text: np.array(library.encode_ordinary(text), "<u4"), batch)
+    return Encoder(direct, batch, whole=added)
