@@ -325,3 +325,28 @@ def test_packing_added_tokens(spark):
     for r in sorted(pieces, key=lambda r: (r["sequence_id"], r["offset"])):
         got[r["doc_id"]] += np.frombuffer(r["ids"], "<u4").tolist()
     assert got == want
+
+
+def test_near_vectors_in_pairs(spark, monkeypatch):
+    """Pairs near the threshold, each alone among many vectors and beside one large group, are all found."""
+    rng = np.random.default_rng(8)
+    one = rng.normal(size=(1500, 24))
+    one /= np.linalg.norm(one, axis=1)[:, None]
+    off = rng.normal(size=one.shape)
+    off -= (off * one).sum(1)[:, None] * one
+    off /= np.linalg.norm(off, axis=1)[:, None]
+    group = rng.normal(size=24) + 0.05 * rng.normal(size=(300, 24))
+    x = np.concatenate([one, 0.905 * one + np.sqrt(1 - 0.905**2) * off, group, rng.normal(size=(2000, 24))])
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    link = unit @ unit.T >= 0.9
+    np.fill_diagonal(link, False)
+    monkeypatch.setattr(descent, "MEET", 256, raising=False)
+    got = descent.near_duplicates(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")).collect()
+    assert [r["n_links"] for r in sorted(got)] == link.sum(1).tolist()
+    assert all(r["component_id"] <= r["vec_id"] - 1500 for r in got if 1500 <= r["vec_id"] < 3000)
+
+
+def test_near_vectors_tables():
+    for n in (10, 2000, 50_000, 10**7):
+        bits, count = descent.tables(n, 0.9)
+        assert n / 2**bits <= descent.MEET and (1 - (1 - np.arccos(0.9) / np.pi) ** bits) ** count <= descent.MISS

@@ -2,9 +2,12 @@
 
 A first neighbour graph comes from random cells; then, round by round, each vector's neighbours are compared with one
 another and what is nearer replaces what was listed. A list whose members all reach the threshold is saturated: it
-doubles. Recall is audited against brute force over a bounded set of vectors, and rounds go on until it is reached. Edges at the
-threshold give components; last, the members of each component are compared in blocks, which counts links exactly
-without writing pairs. Equal vectors are one class throughout.
+doubles, and so do the neighbours compared. Beside it stands a search whose chance to miss a link is known: cells of as many random
+tables as the number of vectors asks for, each compared whole, yield the links that hold their members together. Recall is
+audited, vector by vector, against brute force over a bounded set of vectors that have a link, and rounds go on until it is reached, up
+to a limit. Both kinds of links give components; last, the members of each component are compared in blocks, which counts
+links exactly without writing pairs. A link of an audited vector that leads out of its component is an error. Equal vectors are
+one class throughout.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ from tidemark.llm.staging import written
 NEIGHBOURS, TABLES, CELL = 12, 4, 192
 #: Rounds at least and at most; audited vectors; recall of threshold links that ends the rounds.
 ROUNDS, AUDITED, RECALL = (2, 8), 256, 0.99
+#: Mean vectors of a cell of the complete search, and the chance that it misses a given link at the threshold.
+MEET, MISS = 1024, 1e-6
 #: Vectors of a block in the last comparison.
 BLOCK = 256
 THRESHOLD = 0.9
@@ -144,14 +149,15 @@ def _kept(found: DataFrame, limits: DataFrame) -> DataFrame:
     return once.join(limits, "node").withColumn("rank", rank).where("rank <= limit").drop("rank")
 
 
-def _round(graph: DataFrame, points: DataFrame, limits: DataFrame, sample: int, seed: int) -> DataFrame:
-    """One step of the descent: the neighbours of each vector, listed by it or listing it, are compared with each other."""
+def _round(graph: DataFrame, points: DataFrame, limits: DataFrame, seed: int) -> DataFrame:
+    """One step of the descent: neighbours of each vector, listed by it or listing it, twice its limit at most, are compared with each other."""
     both = graph.select(F.col("node").alias("center"), F.col("other").alias("node")).union(
         graph.select(F.col("other").alias("center"), "node")
     )
     order = F.xxhash64("center", "node", F.lit(seed))
     pick = F.row_number().over(Window.partitionBy("center").orderBy(order))
-    picked = both.distinct().withColumn("pick", pick).where(F.col("pick") <= sample).drop("pick")
+    picked = both.distinct().withColumn("pick", pick).join(limits.toDF("center", "most"), "center")
+    picked = picked.where(F.col("pick") <= 2 * F.col("most")).select("center", "node")
     state = graph.groupBy("node").agg(F.min("sim").alias("worst"), F.count("*").alias("listed"), F.first("limit").alias("limit"))
     state = state.withColumn("least", F.when(F.col("listed") >= F.col("limit"), F.col("worst")).otherwise(F.lit(-1.5)))
     member = points.join(state.select("node", "least", "limit"), "node")
@@ -170,27 +176,95 @@ def _round(graph: DataFrame, points: DataFrame, limits: DataFrame, sample: int,
     return rows.select("center", "node", "v", "least", "limit").mapInArrow(compare, "node binary, other binary, sim double")
 
 
-def _recall(graph: DataFrame, points: DataFrame, threshold: float, audited: int) -> float:
-    """Share of the threshold links of `audited` vectors that their lists, or those of their neighbours, hold."""
-    chosen = points.orderBy(F.xxhash64("node"), "node").limit(audited).collect()  # a bounded set of queries
-    if not chosen:
-        return 1.0
-    names, queries = [bytes(r["node"]) for r in chosen], _unit(np.array([np.frombuffer(r["v"], "<f8") for r in chosen]))
+def tables(n: int, threshold: float) -> tuple[int, int]:
+    """Bits of a cell's name and number of tables, so that a pair at the threshold shares no cell with a chance of MISS at most."""
+    bits = max(0, math.ceil(math.log2(max(n, 1) / MEET)))
+    agree = 1 - math.acos(min(threshold, 0.999)) / math.pi
+    return bits, math.ceil(math.log(MISS) / math.log1p(-(agree**bits))) if bits else 1
+
+
+def _forest(near: np.ndarray) -> tuple[list[int], list[int]]:
+    """Links that keep together what the symmetric matrix of links does, one less than members."""
+    left, a, b = near.any(1), [], []
+    while left.any():
+        front = [int(np.argmax(left))]
+        left[front] = False
+        while front:
+            at = front.pop()
+            new = np.flatnonzero(near[at] & left)
+            left[new] = False
+            a += [at] * len(new)
+            b += new.tolist()
+            front += new.tolist()
+    return a, b
+
+
+def _holding(points: DataFrame, n: int, threshold: float) -> DataFrame:
+    """a, b: links that hold together what shares a cell in any of the tables; written. No cell is cut short: one of very many
+    vectors is compared block against block."""
+    bits, count = tables(n, threshold)
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = _unit(_matrix(batch.column("v")))
+            for table in range(count):
+                plane = np.random.default_rng([7, table]).standard_normal((x.shape[1], bits))
+                code = ((x @ plane > 0) @ (1 << np.arange(bits))).astype(np.int64) * count + table
+                yield pa.record_batch({"cell": pa.array(code), "node": batch.column("node"), "v": batch.column("v")})
+
+    dealt = points.mapInArrow(cells, "cell long, node binary, v binary")
+    crowded = written(dealt.groupBy("cell").agg(F.count("*").alias("size")).where(F.col("size") > 2 * MEET), "crowded-cells")
+    placed = dealt.join(crowded, "cell", "left").withColumn("blocks", F.coalesce(F.ceil(F.col("size") / MEET), F.lit(1)).cast("int"))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select("cell", F.least("block", "mate").alias("low"), F.greatest("block", "mate").alias("high"), "node", "v")
+    rows = placed.withColumn("part", F.xxhash64("cell", "low", "high")).repartition("part").sortWithinPartitions("part", "cell", "low", "high")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, "part"):
+            table = table.combine_chunks()
+            names = list(zip(*(table.column(c).to_pylist() for c in ("part", "cell", "low", "high")), strict=True))
+            for low, high in _runs(names):
+                part = table.slice(low, high - low)
+                unit = _unit(_matrix(part.column("v").combine_chunks()))
+                near = (unit @ unit.T) >= threshold
+                np.fill_diagonal(near, False)
+                a, b = _forest(near | near.T)
+                if a:
+                    node = part.column("node").combine_chunks()
+                    yield pa.record_batch({"a": node.take(pa.array(a)), "b": node.take(pa.array(b))})
+
+    return written(rows.select("part", "cell", "low", "high", "node", "v").mapInArrow(compare, "a binary, b binary").distinct(), "holding")
+
+
+def _audit(linked: DataFrame, points: DataFrame, threshold: float, audited: int) -> DataFrame:
+    """node, other: all threshold links of `audited` vectors of those linked, by brute force; written."""
+    chosen = points.join(linked, "node").orderBy(F.xxhash64("node"), "node").limit(audited).collect()  # a bounded set of queries
+    names = [bytes(r["node"]) for r in chosen]
+    queries = _unit(np.array([np.frombuffer(r["v"], "<f8") for r in chosen])) if chosen else None
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
+            if batch.num_rows and names:
                 sims = _unit(_matrix(batch.column("v"))) @ queries.T
                 i, j = np.nonzero(sims >= threshold)
                 yield pa.record_batch({"other": batch.column("node").take(pa.array(i)), "node": pa.array([names[k] for k in j.tolist()], pa.binary())})
 
-    true = points.mapInArrow(links, "other binary, node binary").where("node != other")
+    return written(points.mapInArrow(links, "other binary, node binary").where("node != other"), "audit")
+
+
+def _recall(graph: DataFrame, true: DataFrame, threshold: float) -> float:
+    """Mean over the audited vectors of the share of their links that their lists, or those of their neighbours, hold."""
     near = graph.where(F.col("sim") >= threshold).select("node", "other")
     near = near.union(near.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct()
-    two = near.toDF("node", "via").join(near.toDF("via", "other"), "via").select("node", "other")
-    seen = near.union(two).distinct().withColumn("seen", F.lit(1))
-    row = true.join(seen, ["node", "other"], "left").agg(F.count("*").alias("n"), F.sum("seen").alias("seen")).first()
-    return (row["seen"] or 0) / row["n"] if row["n"] else 1.0
+    own = near.join(true.select("node").distinct(), "node", "left_semi")
+    two = own.toDF("node", "via").join(near.toDF("via", "other"), "via").select("node", "other")
+    seen = own.union(two).distinct().withColumn("seen", F.lit(1))
+    each = true.join(seen, ["node", "other"], "left").groupBy("node").agg((F.count("seen") / F.count("*")).alias("share"))
+    share = each.agg(F.avg("share")).first()[0]
+    return 1.0 if share is None else share
 
 
 def _counted(members: DataFrame, threshold: float) -> DataFrame:
@@ -239,8 +313,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, neighbours
     bare = points.select("node", "v")
     limits = points.select("node", F.lit(neighbours).alias("limit"))
     graph = written(_kept(_first_graph(bare, n, neighbours), limits), "graph")
+    holding = _holding(bare, n, threshold)
+    linked = holding.select(F.col("a").alias("node")).union(holding.select("b")).distinct()
+    audit = _audit(linked, bare, threshold, AUDITED)
     for number in range(ROUNDS[1]):
-        if number >= ROUNDS[0] and _recall(graph, bare, threshold, AUDITED) >= RECALL:
+        if number >= ROUNDS[0] and _recall(graph, audit, threshold) >= RECALL:
             break
         full = graph.groupBy("node").agg(F.min("sim").alias("worst"), F.count("*").alias("listed"), F.first("limit").alias("limit"))
         saturated = (F.col("listed") >= F.col("limit")) & (F.col("worst") >= threshold)
@@ -248,11 +325,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, neighbours
         # A vector whose list came out empty has its first limit.
         limits = points.select("node").join(limits, "node", "left").select("node", F.coalesce("limit", F.lit(neighbours)).alias("limit"))
         listed = graph.drop("limit").join(limits, "node")
-        found = _round(listed, bare, limits, 2 * neighbours, number)
+        found = _round(listed, bare, limits, number)
         graph = written(_kept(graph.select("node", "other", "sim").union(found), limits), "graph")
     edges = graph.where(F.col("sim") >= threshold - 1e-9).select(F.col("node").alias("a"), F.col("other").alias("b"))
-    groups = components(edges)
+    groups = components(edges.union(holding))
     members = written(groups.join(points, "node"), "members")
+    placed = members.select("node", "component")
+    ends = audit.join(placed, "node", "left").join(placed.toDF("other", "beyond"), "other", "left")
+    lost = ends.where("component IS NULL OR beyond IS NULL OR component != beyond").count()
+    if lost:
+        raise RuntimeError(f"{lost} links of audited vectors lead out of their components")
     counted = _counted(members, threshold)
     lowest = members.groupBy("component").agg(F.min("low").alias("component_id"))
     known = members.select("node", "component").join(lowest, "component").join(counted, "node", "left")
