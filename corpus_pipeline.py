@@ -7,6 +7,7 @@ Tables that a stage needs besides, such as labels, are read from sf_dir.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import automata, minhash, packing, quality_rules, voting
 from tidemark.llm.staging import written
@@ -26,10 +27,21 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that of the smallest doc_id."""
-    verdicts = minhash.near_duplicates(docs, similarity=NEAR, bands=NEAR_BANDS, rows=NEAR_ROWS)
-    dropped = verdicts.where("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+    """One document of each group of near copies: that of the smallest doc_id, of several such that whose text has the least hash.
+
+    Rows are told apart by doc_id and text; of equal ones one stays. Rows without doc_id or words are nobody's copies.
+    """
+    found = minhash.marked(docs, similarity=NEAR, bands=NEAR_BANDS, rows=NEAR_ROWS).where("component IS NOT NULL")
+    found = written(found.groupBy("component", "doc_id", "mark").agg(F.count("*").alias("n")), "near-copies")
+    first = found.groupBy("component").agg(F.min(F.struct("doc_id", "mark")).alias("first"))
+    judged = found.join(first, "component").withColumn("stays", F.struct("doc_id", "mark") == F.col("first"))
+    dropped = judged.where("NOT stays").select("doc_id", "mark")
+    again = judged.where("stays AND n > 1").select("doc_id", "mark")
+    # Packed away, the columns of docs keep out of the way of names used here.
+    rows = docs.select("doc_id", minhash.mark().alias("mark"), F.struct("*").alias("row"))
+    left = rows.join(dropped, ["doc_id", "mark"], "left_anti")
+    once = left.join(again, ["doc_id", "mark"], "left_semi").groupBy("doc_id", "mark").agg(F.first("row").alias("row"))
+    return left.join(again, ["doc_id", "mark"], "left_anti").unionByName(once).select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +64,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Votes, hashes and token ids are not for SQL; tests compare the stages with plain versions.
+#: Votes, hashes and token ids are not for SQL; tests compare the operators, and the stage of near copies, with plain versions.
 ORACLE_SQL = None
 
 

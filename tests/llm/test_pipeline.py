@@ -33,3 +33,17 @@ def test_query_equals_sql(spark, sf_dir, name):
     order = [c[0] for c in want.description]
     assert sorted(order) == sorted(result.columns)
     assert sorted(map(tuple, result.select(*order).collect())) == sorted(want.fetchall())
+
+
+def test_near_duplicates_keep_one_row_of_each_group(spark, sf_dir):
+    """Rows are judged one by one, also where they share a doc_id or repeat."""
+    say = lambda name: " ".join(f"{name}{k}" for k in range(60))
+    a, b, c, d = map(say, "abcd")
+    rows = [(1, a), (2, a + " more"), (2, b), (3, c), (3, c), (3, c + " more"), (4, d), (None, a), (None, a), (5, ""), (6, None)]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, mark int").repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, docs, sf_dir)
+    assert got.columns == docs.columns
+    kept = sorted((r["doc_id"], r["text"]) for r in got.where("doc_id < 5").collect())
+    assert [x for x in kept if x[0] != 3] == [(1, a), (2, b), (4, d)]
+    assert len([x for x in kept if x[0] == 3]) == 1
+    assert got.where("doc_id IS NULL").count() == 2 and got.where("doc_id > 4").count() == 2

@@ -69,8 +69,13 @@ def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray]]:
         yield int(row), np.unique(part)
 
 
+def mark():
+    """Hash of a row's text, which tells apart rows of one doc_id."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def signed(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, node (digest of the shingle set; null without one), bands (array<long>); written."""
+    """doc_id, mark, n_shingles, node (digest of the shingle set; null without one), bands (array<long>); written."""
     ship_package()
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -90,13 +95,13 @@ def signed(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                     n[row], node[row], buckets[row] = len(x), hashlib.md5(x.tobytes()).digest(), own
             yield pa.record_batch(
                 {
-                    "doc_id": batch.column("doc_id"), "n_shingles": pa.array(n),
+                    "doc_id": batch.column("doc_id"), "mark": batch.column("mark"), "n_shingles": pa.array(n),
                     "node": pa.array(node, pa.binary()), "bands": pa.array(buckets, pa.list_(pa.int64())),
                 }
             )
 
-    schema = f"doc_id {kind}, n_shingles long, node binary, bands array<long>"
-    return written(docs.select("doc_id", "text").mapInArrow(run, schema), "signatures")
+    schema = f"doc_id {kind}, mark long, n_shingles long, node binary, bands array<long>"
+    return written(docs.select("doc_id", "text", mark().alias("mark")).mapInArrow(run, schema), "signatures")
 
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -177,6 +182,17 @@ def near_duplicates(
     document has no shingles and is linked with nothing. Rows of one doc_id and text are copies of each other; a row
     without doc_id is compared with nothing, has a null component_id and is kept. Other columns are ignored.
     """
+    return marked(docs, similarity, size, bands, rows).drop("mark", "component")
+
+
+def marked(
+    docs: DataFrame,
+    similarity: tuple[int, int] = SIMILARITY,
+    size: int = SHINGLE,
+    bands: int = BANDS,
+    rows: int = ROWS,
+) -> DataFrame:
+    """What near_duplicates returns, and each row's mark and component (null without words or doc_id)."""
     ship_package()
     marks = signed(docs, size, bands, rows)
     named = marks.where("doc_id IS NOT NULL AND node IS NOT NULL")
@@ -221,9 +237,10 @@ def near_duplicates(
     )
     smallest = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     # By class, not by document: a class of very many copies is one row here.
-    by_node = members.select("node", "component").distinct().join(smallest, "component").select("node", "component_id")
-    out = marks.select("doc_id", "n_shingles", "node").join(by_node, "node", "left")
+    by_node = members.select("node", "component").distinct().join(smallest, "component").select("node", "component", "component_id")
+    out = marks.select("doc_id", "mark", "n_shingles", "node").join(by_node, "node", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select(
-        "doc_id", "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(True)).alias("kept")
-    )
+        "doc_id", "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(True)).alias("kept"),
+        "mark", F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component"),
+    )
