@@ -350,3 +350,12 @@ def test_near_vectors_tables():
     for n in (10, 2000, 50_000, 10**7):
         bits, count = descent.tables(n, 0.9)
         assert n / 2**bits <= descent.MEET and (1 - (1 - np.arccos(0.9) / np.pi) ** bits) ** count <= descent.MISS
+
+
+def test_votes_sample_is_bounded(spark):
+    rows = [(i, f"text {i}") for i in range(20)] + [(3, f"again {k}") for k in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    chosen = voting.sample(docs, labels, 100).collect()
+    assert len(chosen) == len({r["doc_id"] for r in chosen}) > 10
+    assert all(r["text"] in [t for i, t in rows if i == r["doc_id"]] and r["quality"] == r["doc_id"] % 2 for r in chosen)

@@ -97,11 +97,15 @@ def held_out(column: str = "doc_id"):
 
 
 def sample(docs: DataFrame, labels: DataFrame, bound: int) -> pa.Table:
-    """text and quality of the `bound` labelled documents that are not held out and come first by hash of their id."""
+    """text and quality of the `bound` labelled documents that are not held out and come first by hash of their id.
+
+    One row per doc_id: of rows that share one, that whose text has the least hash."""
     marked = labels.where(~held_out() & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     marked = marked.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    least = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    return rows.groupBy("doc_id").agg(least, F.min("quality").alias("quality"))
 
 
 def fit(texts: DataFrame, idf: np.ndarray, dimensions: int = DIMENSIONS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
