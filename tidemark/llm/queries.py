@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import automata, bpe, chat, descent, maxent, minhash, packing, quality_rules, suffixes, voting
+from tidemark.llm import automata, bpe, chat, descent, maxent, minhash, packing, quality_rules, suffixes, url_filter, voting
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -164,3 +164,70 @@ def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op7_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return automata.remove_repeats(load(spark, sf_dir, "documents"))
+
+
+_URL_PATTERN = "(?s)^.*?://([^/?#]*)([^?#]*)"
+
+
+def _gram_sql(text: str, n: int, salt: int) -> str:
+    number = "c[i]"
+    for k in range(1, n):
+        number = f"({number} * {url_filter.BASE} + c[i + {k}])"
+    letters = f"list_transform(regexp_extract_all({text}, '(?s).'), lambda l: unicode(l)::BIGINT)"
+    return f"""(SELECT list_transform(range(1, len(c) - {n - 2}), lambda i: ({number} * 16 + {salt}) % {url_filter.BUCKETS})
+        FROM (SELECT {letters} AS c))"""
+
+
+_GRAMS_SQL = "list_concat({})".format(
+    ", ".join(
+        _gram_sql(text, n, 8 * s + n) for s, text in enumerate(("'^' || host || '$'", "path")) for n in url_filter.GRAMS
+    )
+)
+_LABELLED_SQL = ", ".join(
+    f"('{url}', {unwanted})" for table, unwanted in ((url_filter.UNWANTED, 1), (url_filter.WANTED, 0)) for url in table.split()
+)
+_HOST_SQL = f"""translate(coalesce(regexp_extract(url, '{_URL_PATTERN}', 1), ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '{_URL_PATTERN}', 2), '') AS path"""
+_RULED_SQL = " ".join(
+    f"WHEN (host = '{r[: r.index('/')]}' OR ends_with(host, '.{r[: r.index('/')]}')) AND starts_with(path, '{r[r.index('/') :]}') THEN '{{}}'"
+    for r, _ in sorted(url_filter.RULES, key=lambda r: -len(r[0]))
+)
+_VERDICTS = [v for _, v in sorted(url_filter.RULES, key=lambda r: -len(r[0]))]
+_NAMES = [r for r, _ in sorted(url_filter.RULES, key=lambda r: -len(r[0]))]
+
+
+@query(
+    f"""
+    WITH RECURSIVE labelled(url, y) AS (VALUES {_LABELLED_SQL}),
+    told AS (
+        SELECT e, y, {_GRAMS_SQL} AS grams FROM (SELECT row_number() OVER () AS e, y, {_HOST_SQL} FROM labelled)
+    ),
+    features AS (
+        SELECT e, y, unnest(grams) AS b, 1 / sqrt(len(grams)) AS v FROM told
+        UNION ALL SELECT e, y, {url_filter.BUCKETS}, 1.0 FROM told
+    ),
+    steps(k, b, w) AS (
+        SELECT 0, range, 0.0::DOUBLE FROM range({url_filter.BUCKETS} + 1)
+        UNION ALL
+        SELECT k + 1, s.b, w * (1 - {url_filter.RATE * url_filter.PULL})
+            + coalesce(pull, 0) * {url_filter.RATE} / (SELECT count(*) FROM labelled)
+        FROM steps s LEFT JOIN (
+            SELECT f.b, sum(missed * v) AS pull FROM features f JOIN (
+                SELECT e, any_value(y) - 1 / (1 + exp(-sum(v * w))) AS missed FROM features JOIN steps USING (b) GROUP BY e
+            ) USING (e) GROUP BY f.b
+        ) g ON g.b = s.b WHERE k < {url_filter.STEPS}
+    ),
+    weights AS (SELECT list(w ORDER BY b) AS w FROM steps WHERE k = {url_filter.STEPS}),
+    parsed AS (SELECT page_id, {_HOST_SQL} FROM pages),
+    scored AS (
+        SELECT page_id, host, path, {_GRAMS_SQL} AS grams, CASE {_RULED_SQL.format(*_NAMES)} END AS rule,
+            CASE {_RULED_SQL.format(*_VERDICTS)} END AS ruled
+        FROM parsed
+    )
+    SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN w[{url_filter.BUCKETS} + 1] + CASE WHEN len(grams) > 0
+        THEN list_sum(list_transform(grams, lambda b: w[b + 1])) / sqrt(len(grams)) ELSE 0 END > 0 THEN 'block' ELSE 'allow' END) AS verdict
+    FROM scored, weights
+    """
+)
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(load(spark, sf_dir, "pages")).drop("score")
