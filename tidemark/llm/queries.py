@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import automata, bpe, chat, descent, maxent, minhash, packing, quality_rules, suffixes, url_filter, voting
+from tidemark.llm import automata, bpe, chat, descent, infill, maxent, minhash, packing, quality_rules, suffixes, url_filter, voting
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -231,3 +231,8 @@ _NAMES = [r for r, _ in sorted(url_filter.RULES, key=lambda r: -len(r[0]))]
 )
 def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(load(spark, sf_dir, "pages")).drop("score")
+
+
+@query()
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.transform(load(spark, sf_dir, "documents"))
