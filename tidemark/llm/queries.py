@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import automata, bpe, chat, descent, infill, maxent, minhash, packing, quality_rules, suffixes, url_filter, voting
+from tidemark.llm import alignment, automata, bpe, chat, descent, infill, maxent, minhash, packing, quality_rules, suffixes, url_filter, voting
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -236,3 +236,8 @@ def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.transform(load(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(load(spark, sf_dir, "documents"))
