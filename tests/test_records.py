@@ -1,6 +1,7 @@
 """Keyed operators against straightforward loops, and the plans they run with."""
 
 import datetime
+import hashlib
 import random
 
 import pytest
@@ -43,11 +44,12 @@ def test_first_record_of_each_key_and_all_blank_ones(cards):
     assert got == sorted(want, key=repr)
 
 
-def test_dedup_limits_keys_before_the_shuffle(cards):
-    plan = plan_of(upsert.dedup_first(cards, ("page", "n")))
-    head = plan[: plan.index("Exchange hashpartitioning(identifier")]
-    tail = plan[plan.index("Exchange hashpartitioning(identifier"):]
-    assert "WindowGroupLimit" in head and "WindowGroupLimit" in tail
+def test_dedup_reads_once_and_cuts_keys_before_the_shuffle(spark, cards, tmp_path):
+    cards.write.parquet(f"{tmp_path}/cards")
+    plan = plan_of(upsert.dedup_first(spark.read.parquet(f"{tmp_path}/cards"), ("page", "n")))
+    assert plan.count("FileScan") == 1
+    shuffle = plan.index("Exchange hashpartitioning(identifier")
+    assert "partial_min_by" in plan[shuffle:] and "partial_min_by" not in plan[:shuffle]
 
 
 def test_composite_key(spark):
@@ -106,42 +108,31 @@ def store(spark, cards, tmp_path_factory):
     return spark.read.parquet(path + "/big"), spark.read.parquet(path + "/small")
 
 
-def shuffled_scans(plan):
-    """Whether a scan of the big table lies below a shuffle with no join in between."""
-    lines, found = plan.splitlines(), []
-    for number, line in enumerate(lines):
-        if "FileScan" in line and "/big" in line:
-            indent = line.index("FileScan")
-            for above in reversed(lines[:number]):
-                mark = above.find("+- ") if "+- " in above else above.find(":- ")
-                if 0 <= mark + 3 < indent:
-                    indent = mark + 3
-                    if "Join" in above:
-                        break
-                    if "Exchange" in above:
-                        found.append(above.strip())
-                        break
-    return found
-
-
-def test_a_small_batch_does_not_shuffle_a_large_store(spark, store):
+def test_every_input_is_read_once(spark, store):
     big, small = store
-    merged = upsert.merge_set(big, small, ("page", "n"), sticky=("file_hash",))
-    new, _ = upsert.split_stored(small, big)
-    for result in (merged, new, upsert.classify_changes(small, big)):
-        plan = plan_of(result)
-        assert "BroadcastHashJoin" in plan and not shuffled_scans(plan), plan
-    assert "partial_max_by" in plan_of(merged)
-    kept = small.select("identifier").distinct().count()
-    assert merged.count() == 2_000_000 + 3 and kept == 43
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        # Beyond the threshold the same operators shuffle, and the answer is the same.
-        merged = upsert.merge_set(big, small, ("page", "n"), sticky=("file_hash",))
-        assert shuffled_scans(plan_of(merged))
-        assert merged.count() == 2_000_000 + 3
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    results = (
+        upsert.merge_set(big, small, ("page", "n"), sticky=("file_hash",)),
+        upsert.mark_stored(small, big),
+        upsert.classify_changes(small, big),
+    )
+    for limit in (None, "-1"):
+        if limit:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            for result in results:
+                plan = plan_of(result)
+                assert plan.count("FileScan") == 2, plan
+            merged = results[0]
+            assert plan_of(merged).count("Exchange") == 1 and "partial_max_by" in plan_of(merged)
+            assert merged.count() == 2_000_000 + 3
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_blank_records_that_are_equal_all_stay(spark):
+    rows = [(None, 1, "x"), (None, 1, "x"), ("", 1, "x"), ("", 1, "x"), ("a", 1, "x"), ("a", 1, "x")]
+    frame = spark.createDataFrame(rows, "identifier string, n int, d string").repartition(3)
+    assert upsert.dedup_first(frame, ("n",)).count() == 5
 
 
 def test_present_null_overwrites(spark):
@@ -238,18 +229,18 @@ def test_newest_response_decides(spark):
         ("u1", 200, b"old", T1), ("u1", 200, b"new", T2), ("u2", 200, b"ok", T1), ("u2", 500, b"no", T2),
         ("u5", 200, b"", None), ("u6", 304, b"x", T1), ("other", 200, b"x", T1), ("u1", 200, b"mew", T2),
     ])
-    got = {r["n"]: (r["status"], None if r["content"] is None else bytes(r["content"]))
-           for r in documents.resolve(items, stored).collect()}
+    sha = lambda raw: hashlib.sha256(raw).hexdigest()
+    got = {r["n"]: (r["status"], r["file_hash"], r["http_status"]) for r in documents.resolve(items, stored).collect()}
     assert got == {
-        1: ("scraped", b"new"), 2: ("failed", None), 3: ("failed", None), 4: ("scraped", None),
-        5: ("scraped", b""), 6: ("failed", None),
+        1: ("scraped", sha(b"new"), 200), 2: ("failed", None, 500), 3: ("failed", None, None), 4: ("scraped", None, None),
+        5: ("scraped", sha(b""), 200), 6: ("failed", None, 304),
     }
 
 
 def test_records_may_share_a_url(spark):
     items = spark.createDataFrame([(1, "u"), (2, "u"), (3, None), (4, "gone"), (5, "gone")], "n int, doc_url string")
     got = documents.resolve(items, fetches(spark, [("u", 200, b"x", T1)])).collect()
-    assert sorted((r["n"], r["status"], r["content"] is not None) for r in got) == [
+    assert sorted((r["n"], r["status"], r["size"] is not None) for r in got) == [
         (1, "scraped", True), (2, "scraped", True), (3, "scraped", False), (4, "failed", False), (5, "failed", False),
     ]
 
@@ -268,7 +259,7 @@ def test_attachments_are_followed(spark):
         ("http://h/d.pdf", 200, b"pdf", T1), ("http://h/5", 200, own, T1), ("http://h/6", 200, b"\x00\x01", T1),
         ("http://h/f.pdf", 200, b"f", T1),
     ])
-    marked = documents.mark_shells(documents.resolve(items, stored)).drop("content").cache()
+    marked = documents.resolve(items, stored).cache()
     assert {r["n"]: r["status"] for r in marked.collect()} == {
         1: "rerouted", 2: "rerouted", 3: "rerouted", 4: "scraped", 5: "rerouted", 6: "scraped",
     }
@@ -295,18 +286,21 @@ def test_audits(spark):
     assert audit.links(frame, [D(2024, 1, 1), D(2024, 2, 1)]).first().asDict() == {
         "records": 4, "relative_links": 1, "missing_links": 1, "bad_partitions": 1,
     }
-    sizes = spark.createDataFrame([(10,), (20,)], "size bigint")
-    same = audit.zone_parity(frame, frame, sizes, sizes.limit(1)).first()
-    assert (same["landing_only"], same["landing_files"], same["clean_bytes"], same["parity"]) == (0, 2, 10, False)
-    assert audit.zone_parity(frame, frame, sizes, sizes).first()["parity"]
+    sized = frame.withColumn("size", F.when(F.col("identifier").isNotNull(), 10))
+    fewer = sized.where("identifier = 'ADJ1'").withColumn("size", F.lit(4))
+    different = audit.zone_parity(sized, fewer).first()
+    assert [different[c] for c in ("landing_records", "clean_records", "landing_only", "clean_only")] == [4, 2, 2, 0]
+    assert [different[c] for c in ("landing_files", "clean_files", "landing_bytes", "clean_bytes")] == [3, 2, 30, 8]
+    assert not different["parity"] and different["shrunk"]
+    assert audit.zone_parity(sized, sized).first()["parity"]
 
 
 def test_blank_keys_do_not_share_a_join_task(spark, cards):
     stored = cards.select("identifier")
     _, skipped = upsert.split_stored(cards, stored)
     assert skipped.where("coalesce(identifier, '') = ''").count() == 0
-    salted = upsert._salted(cards, ("identifier",))
-    assert salted.where("identifier IS NULL").select("_salt").distinct().count() > 30
+    salted, salts = upsert._salted(cards, ("identifier",))
+    assert salted.where("identifier IS NULL").select("_salt").distinct().count() == salts
     assert salted.where("identifier = 'hot'").select("_salt").distinct().count() == 1
     new = cards.select("identifier", "file_hash", F.concat("identifier", F.lit(".html")).alias("file_path"))
     kept = upsert.classify_changes(new, new.dropDuplicates(["identifier"]))
@@ -314,21 +308,26 @@ def test_blank_keys_do_not_share_a_join_task(spark, cards):
     assert kept.where("change = 'new'").count() == 0
 
 
-def test_bodies_are_not_shuffled_for_few_records(spark, tmp_path):
+def test_a_hot_document_is_joined_once(spark, tmp_path):
     url = F.concat(F.lit("u"), F.col("id"))
     spark.range(200_000).select(
         url.alias("url"), F.lit(200).alias("status"), F.sha2(url, 512).cast("binary").alias("body"),
         F.lit(None).cast("timestamp").alias("fetched_at"),
     ).write.parquet(f"{tmp_path}/big")
     stored = spark.read.schema(FETCHES).parquet(f"{tmp_path}/big")
-    items = spark.createDataFrame([(i, f"u{i * 7}") for i in range(50)] + [(99, None), (98, "no")], "n int, doc_url string")
-    documents.locate(items, stored).write.parquet(f"{tmp_path}/located")
-    found = documents.deliver(spark.read.parquet(f"{tmp_path}/located"), stored)
-    plan = plan_of(found)
+    rows = [(i, f"u{i * 7}") for i in range(50)] + [(100 + i, "u3") for i in range(1000)] + [(99, None), (98, "no")]
+    items = spark.createDataFrame(rows, "n int, doc_url string")
+    located = documents.locate(items, stored)
+    located.write.parquet(f"{tmp_path}/located")
+    located = spark.read.parquet(f"{tmp_path}/located")
+    documents.responses(located).write.parquet(f"{tmp_path}/responses")
+    held = documents.contents(spark.read.parquet(f"{tmp_path}/responses"), stored)
+    plan = plan_of(held)
     assert "SortMergeJoin" not in plan
-    assert sum("body" in line for line in plan.splitlines() if "FileScan" in line) == 2
     # Only responses stored twice for one moment (none here) would be brought together.
     assert plan.count("Exchange hashpartitioning") == 1
+    assert held.count() == 51
+    found = documents.outcomes(located, documents.examine(held))
     assert sorted((r["n"], r["status"]) for r in found.collect()) == sorted(
-        [(i, "scraped") for i in range(50)] + [(98, "failed"), (99, "scraped")]
+        [(n, "scraped") for n, u in rows if n != 98] + [(98, "failed")]
     )

@@ -1,7 +1,7 @@
 import datetime
 
 from tidemark.schemas import LANDING_METADATA
-from tidemark.sources import tables
+from tidemark.sources import cells
 from tidemark.streaming.incremental import RECORDS, merge_arrivals
 
 
@@ -21,14 +21,14 @@ def test_arrivals_merge_once(spark, tmp_path):
         spark.createDataFrame(list(records), RECORDS).coalesce(1).write.mode("append").parquet(source)
         query = merge_arrivals(spark, source, zone, checkpoint)
         assert query.awaitTermination(120)
-        rows = tables.read_metadata(spark, zone, LANDING_METADATA).collect()
+        rows = cells.read(spark, zone, LANDING_METADATA).collect()
         return {r["identifier"]: (r["description"], r["file_path"]) for r in rows}
 
     first = arrive(record("a", "one", 0, "p"), record("a", "two", 1), record("b", "x", 2))
     assert first == {"a": ("two", "p"), "b": ("x", None)}
     second = arrive(record("a", "three", 0), record("c", "y", 1, "q"))
     assert second == {"a": ("three", "p"), "b": ("x", None), "c": ("y", "q")}
-    # Nothing new has come: no batch, no snapshot.
+    # Nothing new has come: no batch, no version.
     query = merge_arrivals(spark, source, zone, checkpoint)
     assert query.awaitTermination(120)
-    assert tables._committed_versions(spark, f"{zone}/metadata") == [1, 2]
+    assert cells.versions(spark, zone) == [1, 2]

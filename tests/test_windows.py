@@ -1,8 +1,10 @@
+import collections
 import datetime
+import random
 
 import pandas as pd
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -46,9 +48,9 @@ def test_lost_days_stay_lost(spark):
 
 
 def test_bad_ranges(spark):
-    with pytest.raises(ValueError, match="months"):
+    with pytest.raises(ValueError, match="never ends"):
         windows.date_range(spark, D(2024, 1, 1), D(2025, 1, 1), 0)
-    with pytest.raises(ValueError, match="before"):
+    with pytest.raises(ValueError, match="nothing lies before"):
         windows.date_range(spark, D(2025, 1, 1), D(2024, 1, 1), 1)
 
 
@@ -88,14 +90,52 @@ def test_expansion_needs_no_shuffle(spark):
     assert "Exchange" not in plan and "Window" not in plan
 
 
-def test_records_get_their_one_window(spark):
-    days = [D(2024, 1, 30) + datetime.timedelta(days=i) for i in range(70)]
-    records = spark.createDataFrame([(d,) for d in days], "day date")
-    got = windows.assign(records, "day", D(2024, 1, 31), D(2024, 4, 1))
-    spans = one_by_one(D(2024, 1, 31), D(2024, 4, 1), 1)
-    want = sorted((d, s, e) for d in days for s, e in spans if s <= d <= e)
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.dates(D(1895, 1, 1), D(2100, 1, 1)), st.integers(1, 3000), st.sampled_from([1, 1, 2, 3, 5, 12, 48]))
+@example(D(2024, 1, 31), 61, 1)
+@example(D(1999, 12, 31), 2000, 1)
+@example(D(2096, 2, 29), 4000, 48)
+def test_records_get_their_one_window(spark, start, days, months):
+    end = start + datetime.timedelta(days=days)
+    spans = one_by_one(start, end, months)
+    edges = {d + datetime.timedelta(days=i) for span in spans for d in span for i in (-1, 0, 1)}
+    edges |= {start + datetime.timedelta(days=i) for i in range(-3, min(days, 400) + 3)} | {None}
+    records = spark.createDataFrame([(d,) for d in edges], "day date")
+    got = windows.assign(records, "day", start, end, months)
+    want = sorted((d, s, e) for s, e in spans for d in edges if d is not None and s <= d <= e)
     assert sorted((r["day"], r["window_start"], r["window_end"]) for r in got.collect()) == want
-    assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_assigning_is_a_projection(spark):
+    records = spark.createDataFrame([(datetime.datetime(2024, 2, 29, 23, 59),)], "at timestamp")
+    got = windows.assign(records, "at", D(2024, 1, 31), D(2024, 4, 1))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert tuple(got.select("window_start", "window_end").first()) == (D(2024, 2, 29), D(2024, 3, 28))
+
+
+def test_one_sequence_of_windows_is_spread(spark):
+    rng = random.Random(4)
+    rows = []
+    for _ in range(400):
+        start = D(2000, 1, 1) + datetime.timedelta(days=rng.randrange(6000))
+        rows += [(start, start + datetime.timedelta(days=rng.randrange(40)))] * rng.choice([1, 1, 1, 3])
+    rows += [(D(2030, 1, 1), D(2030, 1, 31)), (D(2033, 2, 1), D(2033, 2, 2)), (None, D(2000, 1, 1))]
+    frame = spark.createDataFrame(rows, "window_start date, window_end date").repartition(4)
+    ordered = sorted(r for r in rows if r[0])
+    want = collections.Counter(
+        (*b, a[1], (b[0] - a[1]).days - 1) for a, b in zip(ordered, ordered[1:]) if (b[0] - a[1]).days != 1
+    )
+    found = audit.windows(frame)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # Only the rows that stand for a year, made by an aggregate, come together.
+    single = plan[plan.index("Exchange SinglePartition"):]
+    assert "HashAggregate" in single or "SortAggregate" in single
+    assert plan.count("SinglePartition") == 1 and "hashpartitioning(_year" in plan
+    got = collections.Counter()
+    for r in found.collect():
+        got[tuple(r)[:4]] += r["windows"]
+    assert got == want
 
 
 def test_audit_finds_gap_and_overlap(spark):

@@ -35,9 +35,12 @@ def duplicates(metadata: DataFrame, key: str = "identifier") -> DataFrame:
 def windows(frame: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Windows that do not start the day after the one before them ends.
 
-    A group is one request's windows, a few per year of its date range.
+    With `by`, a group is one request's windows, a few per year of its date range. Without, all rows are one sequence,
+    which is not brought together: see `all_windows`.
     """
-    previous = F.lag("window_end").over(Window.partitionBy(*by).orderBy("window_start"))
+    if not by:
+        return all_windows(frame)
+    previous = F.lag("window_end").over(Window.partitionBy(*by).orderBy("window_start", "window_end"))
     return (
         frame.withColumn("previous_end", previous)
         .where(F.col("previous_end").isNotNull())
@@ -46,6 +49,35 @@ def windows(frame: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def all_windows(frame: DataFrame) -> DataFrame:
+    """The findings of one sequence of windows: window_start, window_end, previous_end, gap_days and `windows`.
+
+    `windows` counts the rows that a finding stands for; of equal windows the second and later ones overlap the first.
+    Equal rows are counted before anything is sorted, a year is a task of its own, and each year is handed the last
+    window before it: one row per year is all that is ever brought together.
+    """
+    year = F.year("window_start")
+    told = frame.where(F.col("window_start").isNotNull()).groupBy("window_start", "window_end").agg(F.count("*").alias("_n"))
+    told = told.withColumn("_year", year)
+    last = told.groupBy("_year").agg(F.max(F.struct("window_start", "window_end"))["window_end"].alias("_last"))
+    handed = last.select("_year", F.lag("_last").over(Window.orderBy("_year")).alias("_handed"))
+    inside = Window.partitionBy("_year").orderBy("window_start", "window_end")
+    first = F.row_number().over(inside) == 1
+    placed = told.withColumns({"_before": F.lag("window_end").over(inside), "_first": first}).join(handed, "_year")
+    before = F.when(F.col("_first"), F.col("_handed")).otherwise(F.col("_before"))
+    findings = F.array(
+        F.struct(before.alias("previous_end"), F.lit(1).cast("bigint").alias("windows")),
+        F.struct(F.col("window_end").alias("previous_end"), (F.col("_n") - 1).alias("windows")),
+    )
+    gap = F.datediff("window_start", "previous_end") - 1
+    return (
+        placed.select("window_start", "window_end", F.inline(findings))
+        .where((F.col("windows") > 0) & F.col("previous_end").isNotNull())
+        .select("window_start", "window_end", "previous_end", gap.alias("gap_days"), "windows")
+        .where(F.col("gap_days") != 0)
+    )
+
+
 def links(metadata: DataFrame, allowed_dates: Sequence | None = None) -> DataFrame:
     """One row: records, links that are not absolute, unexpected partition stamps."""
     stamp_ok = F.col("partition_date").isNotNull()
@@ -66,51 +98,36 @@ def zone_totals(files: DataFrame, by: Sequence[str] = ("zone",)) -> DataFrame:
     )
 
 
-def zone_parity(
-    landing_records: DataFrame,
-    clean_records: DataFrame,
-    landing_files: DataFrame,
-    clean_files: DataFrame,
-    key: str = "identifier",
-) -> DataFrame:
+def zone_parity(landing: DataFrame, clean: DataFrame, key: str = "identifier") -> DataFrame:
     """One row comparing the zones: unmatched records on either side, files and bytes.
 
-    Keys are counted per zone rather than joined, so that a repeated key (which this
-    audit is there to find) cannot multiply.
+    Both have the key and `size`, NULL for a record without a file. Keys are counted per zone rather than joined, so
+    that a repeated key (which this audit is there to find) cannot multiply; each input is read once.
     """
-    none = F.lit(None)
-    in_landing = landing_records.select(key, F.lit(1).alias("_l"), F.lit(0).alias("_c"))
-    in_clean = clean_records.select(key, F.lit(0).alias("_l"), F.lit(1).alias("_c"))
-    per_key = (
-        in_landing.unionByName(in_clean)
-        .groupBy(key)
-        .agg(F.sum("_l").alias("_l"), F.sum("_c").alias("_c"))
-        .select("_l", "_c", none.cast("string").alias("_zone"), none.cast("bigint").alias("size"))
-    )
 
-    def in_zone(files: DataFrame, zone: str) -> DataFrame:
-        no_count = none.cast("bigint")
-        return files.select(
-            no_count.alias("_l"), no_count.alias("_c"), F.lit(zone).alias("_zone"), "size"
-        )
+    def in_zone(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select(key, F.lit(name).alias("_zone"), F.col("size").cast("bigint").alias("size"))
+
+    in_landing, in_clean = F.col("_zone") == "landing", F.col("_zone") == "clean"
+    per_key = in_zone(landing, "landing").unionByName(in_zone(clean, "clean")).groupBy(key).agg(
+        *(F.count_if(zone).alias(f"_{name}") for name, zone in (("l", in_landing), ("c", in_clean))),
+        *(F.count_if(zone & F.col("size").isNotNull()).alias(f"_{name}_files") for name, zone in (("l", in_landing), ("c", in_clean))),
+        *(F.sum(F.when(zone, F.col("size"))).alias(f"_{name}_bytes") for name, zone in (("l", in_landing), ("c", in_clean))),
+    )
 
     def total(value: Column, name: str) -> Column:
         return F.coalesce(F.sum(value), F.lit(0)).cast("bigint").alias(name)
 
-    rows = per_key.unionByName(in_zone(landing_files, "landing")).unionByName(
-        in_zone(clean_files, "clean")
-    )
-    landing, clean = F.col("_zone") == "landing", F.col("_zone") == "clean"
     return (
-        rows.agg(
+        per_key.agg(
             total(F.col("_l"), "landing_records"),
             total(F.col("_c"), "clean_records"),
             total(F.when(F.col("_c") == 0, F.col("_l")), "landing_only"),
             total(F.when(F.col("_l") == 0, F.col("_c")), "clean_only"),
-            F.count_if(landing).alias("landing_files"),
-            F.count_if(clean).alias("clean_files"),
-            total(F.when(landing, F.col("size")), "landing_bytes"),
-            total(F.when(clean, F.col("size")), "clean_bytes"),
+            total(F.col("_l_files"), "landing_files"),
+            total(F.col("_c_files"), "clean_files"),
+            total(F.col("_l_bytes"), "landing_bytes"),
+            total(F.col("_c_bytes"), "clean_bytes"),
         )
         .withColumn(
             "parity",

@@ -1,44 +1,56 @@
-"""From record to stored bytes: document lookup, attachments behind shell pages."""
+"""From record to stored bytes: document lookup, contents read once per response, attachments behind shell pages.
+
+A document is named by its response, (doc_url, version). Very many records may have one document; its bytes are joined,
+parsed and hashed for the response alone, and only what was found out comes back to the records.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import html
+from tidemark.functions import html, keys
 from tidemark.functions.urls import doc_type, fetched
 
+# What names a response among the stored ones.
+RESPONSE = ("doc_url", "version")
+# What examining a response finds out.
+FACTS = ("file_hash", "size", "attachment", "parse_error")
+
 
 def _versions(fetches: DataFrame) -> DataFrame:
-    """Fetches with a version that always compares; (doc_url, _version) names a row."""
+    """Fetches with a version that always compares."""
     version = F.coalesce(F.col("fetched_at").cast("timestamp"), F.timestamp_seconds(F.lit(0)))
-    return fetches.withColumns({"_version": version}).withColumnRenamed("url", "doc_url")
+    return fetches.withColumns({"version": version}).withColumnRenamed("url", "doc_url")
 
 
 def latest_fetches(fetches: DataFrame, urls: DataFrame) -> DataFrame:
-    """(doc_url, _version, _copies) of the newest response per wanted URL.
+    """(doc_url, version, copies, http_status) of the newest response per wanted URL.
 
-    `urls` may repeat one. `_copies` counts the successful responses of that moment, usually 1, or 0 where the
+    `urls` may repeat one. `copies` counts the successful responses of that moment, usually 1, or 0 where the
     newest one is a failure. Bodies are not read.
     """
+    good = F.min(F.when(fetched("status"), F.col("status")))
     return (
         _versions(fetches)
-        .select("doc_url", "_version", "status")
+        .select(*RESPONSE, "status")
         .join(urls.distinct(), "doc_url", "left_semi")
-        .groupBy("doc_url", "_version")
-        .agg(F.count_if(fetched("status")).alias("_copies"))
+        .groupBy(*RESPONSE)
+        .agg(
+            F.count_if(fetched("status")).alias("copies"),
+            F.coalesce(good, F.max("status")).alias("http_status"),
+        )
         .groupBy("doc_url")
-        .agg(F.max(F.struct("_version", "_copies")).alias("_newest"))
+        .agg(F.max(F.struct("version", "copies", "http_status")).alias("_newest"))
         .select("doc_url", "_newest.*")
     )
 
 
 def locate(items: DataFrame, fetches: DataFrame, latest: DataFrame | None = None) -> DataFrame:
-    """Add which response holds each record's document (`_version`, `_copies`); narrow.
+    """Add which response holds each record's document (`version`, `copies`, `http_status`); narrow.
 
-    Many records may have one URL. Give `latest` (latest_fetches of their URLs) as a
-    stored table where one URL may hold much of them: Spark splits such a join only
-    where nothing is aggregated in its own stage.
+    Give `latest` (latest_fetches of their URLs) as a stored table where one URL may hold much of the records: Spark
+    splits such a join only where nothing is aggregated in its own stage.
     """
     linked = items.where(F.col("doc_url").isNotNull())
     if latest is None:
@@ -47,77 +59,83 @@ def locate(items: DataFrame, fetches: DataFrame, latest: DataFrame | None = None
     return linked.join(latest, "doc_url", "left").unionByName(unlinked, allowMissingColumns=True)
 
 
-def resolve(items: DataFrame, fetches: DataFrame) -> DataFrame:
-    """Attach the document of each record: `content`, and the `status` of the outcome.
-
-    'scraped' with content; 'scraped' without, for a record that has no URL; 'failed'
-    where the newest response is missing or not a success. Records that share a URL
-    have the same document each.
-    """
-    return deliver(locate(items, fetches), fetches)
+def responses(located: DataFrame, *facts: Column) -> DataFrame:
+    """The responses to read, one row each however many records share it, with `facts` aggregated over those records."""
+    wanted = located.where(F.col("copies") > 0)
+    return wanted.groupBy(*RESPONSE, "copies").agg(F.count("*").alias("records"), *facts)
 
 
-def deliver(located: DataFrame, fetches: DataFrame) -> DataFrame:
-    """Second half of `resolve`: one join with the bodies.
+def contents(wanted: DataFrame, fetches: DataFrame) -> DataFrame:
+    """Add the bytes of each response: the only join with bodies.
 
-    Given located records that were stored in between, Spark knows their size when it
-    plans: few are broadcast to the scan of the bodies, many take one shuffle.
+    Given responses that were stored in between, Spark knows their size when it plans: few are broadcast to the scan
+    of the bodies, many take one shuffle.
     """
-    columns = [c for c in located.columns if c not in ("_version", "_copies")]
-    bodies = _versions(fetches).where(fetched("status")).select(
-        "doc_url", "_version", F.col("body").alias("content")
-    )
-
-    def delivered(rows: DataFrame) -> DataFrame:
-        return rows.join(bodies, ["doc_url", "_version"]).select(*columns, "content")
-
+    columns = wanted.columns
+    bodies = _versions(fetches).where(fetched("status")).select(*RESPONSE, F.col("body").alias("content"))
+    found = wanted.join(bodies, list(RESPONSE)).select(*columns, "content")
     # Responses stored twice for one moment are reduced to one; without any, Spark drops
     # this branch as soon as it sees that no row asks for it.
-    linked = located.where(F.col("doc_url").isNotNull())
-    several = delivered(linked.where(F.col("_copies") > 1))
-    single = several.groupBy(*columns).agg(F.max("content").alias("content"))
-    found = delivered(linked.where(F.col("_copies") == 1)).unionByName(single)
+    several = wanted.where(F.col("copies") > 1).join(bodies, list(RESPONSE)).select(*columns, "content")
+    named = [c for c in columns if c not in RESPONSE]
+    single = several.groupBy(*RESPONSE).agg(*(F.first(c).alias(c) for c in named), F.max("content").alias("content"))
+    return found.where(F.col("copies") == 1).unionByName(single)
 
-    def without(rows: DataFrame, status: str) -> DataFrame:
-        nothing = F.lit(None).cast("binary").alias("content")
-        return rows.select(*columns, nothing, F.lit(status).alias("status"))
 
+def examine(held: DataFrame) -> DataFrame:
+    """Hash each response, and find the html pages that are empty shells around a pdf/doc.
+
+    Adds FACTS. A shell has an `attachment` and gives up its content; a response that is no readable page keeps its
+    bytes, and the finding stands in `parse_error`. Binaries are not handed to Python: the UDF sees NULL in their place.
+    """
+    page = F.when(doc_type("doc_url") == "html", F.col("content"))
+    link = F.col("_link")
+    kept = [c for c in held.columns if c != "content"]
     return (
-        found.select(*columns, "content", F.lit("scraped").alias("status"))
-        .unionByName(without(linked.where(F.coalesce("_copies", F.lit(0)) == 0), "failed"))
-        .unionByName(without(located.where(F.col("doc_url").isNull()), "scraped"))
+        held.withColumn("_link", html.shell_attachment(page, F.col("doc_url")))
+        .select(
+            *kept,
+            F.when(link["value"].isNull(), F.col("content")).alias("content"),
+            link["value"].alias("attachment"),
+            link["error"].alias("parse_error"),
+        )
+        .withColumns({"file_hash": keys.file_hash("content"), "size": F.length("content").cast("bigint")})
     )
 
 
-def mark_shells(resolved: DataFrame) -> DataFrame:
-    """Find html pages that are empty shells around a pdf/doc.
+def outcomes(located: DataFrame, examined: DataFrame, *more: str) -> DataFrame:
+    """What became of each record: `status`, the facts of its response, and `more` columns of `examined`.
 
-    Adds `attachment` and `parse_error`. A shell turns 'rerouted' and gives up its
-    content; a response that is no readable page keeps its bytes and status, and the
-    finding stands in `parse_error`. Binaries are not handed to Python: the UDF sees
-    NULL in their place.
+    'scraped', also for a record that has no URL; 'rerouted' for one whose page is a shell; 'failed' where the newest
+    response is missing or not a success. No bytes are touched.
     """
-    page = F.when(F.col("doc_type") == "html", F.col("content"))
-    link = F.col("_link")
-    content = F.when(link["value"].isNull(), F.col("content"))
-    status = F.when(link["value"].isNotNull(), "rerouted").otherwise(F.col("status"))
-    return resolved.withColumn("_link", html.shell_attachment(page, F.col("doc_url"))).select(
-        *(c for c in resolved.columns if c not in ("content", "status")),
-        content.alias("content"),
-        status.alias("status"),
-        link["value"].alias("attachment"),
-        link["error"].alias("parse_error"),
+    facts = examined.select(*RESPONSE, *FACTS, *more, F.lit(True).alias("_held"))
+    linked = located.where(F.col("doc_url").isNotNull())
+    status = (
+        F.when(F.col("_held").isNull(), "failed")
+        .when(F.col("attachment").isNotNull(), "rerouted")
+        .otherwise("scraped")
     )
+    told = linked.join(facts, list(RESPONSE), "left").withColumn("status", status).drop("_held")
+    unlinked = located.where(F.col("doc_url").isNull()).withColumn("status", F.lit("scraped"))
+    return told.unionByName(unlinked, allowMissingColumns=True).drop("version", "copies")
+
+
+def resolve(items: DataFrame, fetches: DataFrame) -> DataFrame:
+    """Every record with what became of its document: `status`, `http_status` and FACTS, without bytes."""
+    located = locate(items, fetches)
+    return outcomes(located, examine(contents(responses(located), fetches)))
 
 
 def attachments(shells: DataFrame) -> DataFrame:
-    """The 'rerouted' records (given without content), re-aimed at their attachment."""
-    columns = [c for c in shells.columns if c not in ("content", "status", "parse_error")]
+    """The 'rerouted' records, re-aimed at their attachment."""
+    columns = [c for c in shells.columns if c not in ("status", "http_status", *FACTS)]
     return (
         shells.where(F.col("status") == "rerouted")
-        .select(*columns)
+        .select(*columns, "attachment")
         .withColumn("doc_url", F.col("attachment"))
         .withColumn("doc_type", doc_type("attachment"))
+        .drop("attachment")
     )
 
 

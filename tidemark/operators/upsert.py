@@ -1,11 +1,15 @@
-"""Dedup, skip, change detection and the field-wise upsert, all keyed."""
+"""Dedup, skip, change detection and the field-wise upsert, all keyed.
+
+Every input is read once: the first of a key and the upsert are one grouped aggregate, the lookup in a store one join.
+What a store need not be asked for is left out before, by `sources.cells.read_for_keys`.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import is_blank
@@ -14,63 +18,45 @@ from tidemark.schemas import FILE_FIELDS
 KEY = ("identifier",)
 
 
-# Over how many join keys the records without a key are spread.
-SALTS = 64
-
-
-def _any_blank(df: DataFrame, key: Sequence[str]) -> Column:
+def any_blank(df: DataFrame, key: Sequence[str]) -> Column:
     strings = [name for name, kind in df.dtypes if name in key and kind == "string"]
     tests = [is_blank(c) if c in strings else F.col(c).isNull() for c in key]
     return reduce(lambda left, right: left | right, tests)
 
 
-def _salted(records: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Add `_salt`: 0 for a keyed record, 1..SALTS for a blank one.
+def _salted(records: DataFrame, key: Sequence[str]) -> tuple[DataFrame, int]:
+    """Records with `_salt`: 0 for a keyed one, 1..n for a blank one; and n.
 
-    Records without a key may be a third of all; joined on the key alone they would
-    share one task.
+    Records without a key may be a third of all; joined on the key alone they would share one task.
     """
+    salts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hashable = [n for n, kind in records.dtypes if kind != "binary" and not kind.startswith("map")]
-    spread = F.pmod(F.xxhash64(*hashable), F.lit(SALTS)).cast("int") + 1
-    return records.withColumn("_salt", F.when(_any_blank(records, key), spread).otherwise(0))
+    spread = F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int") + 1
+    return records.withColumn("_salt", F.when(any_blank(records, key), spread).otherwise(0)), salts
 
 
-def dedup_first(
-    records: DataFrame, order: Sequence[str], key: Sequence[str] = KEY, blanks: bool = True
-) -> DataFrame:
+def dedup_first(records: DataFrame, order: Sequence[str], key: Sequence[str] = KEY) -> DataFrame:
     """Keep the first record of each key in `order`; blank keys name nothing and all stay.
 
-    `row_number() = 1` as a filter lets Spark cut every key to one row per task before
-    the shuffle, so a key holding a third of the rows reaches its reducer as a handful.
-    Blank keys take a second scan of `records`; say `blanks=False` where there are none.
+    One grouped aggregate: each task cuts a key to one row before the shuffle, so a key holding a third of the rows
+    reaches its reducer as a handful. Blank records have a group each, by their place in their task.
     """
-    first = Window.partitionBy(*key).orderBy(*order)
-    blank = _any_blank(records, key)
-    named = (
-        records.where(~blank)
-        .withColumn("_rank", F.row_number().over(first))
-        .where(F.col("_rank") == 1)
-        .drop("_rank")
+    own = F.when(any_blank(records, key), F.monotonically_increasing_id())
+    first = F.min_by(F.struct(*records.columns), F.struct(*order))
+    return (
+        records.withColumn("_own", own)
+        .groupBy(*key, "_own")
+        .agg(first.alias("_first"))
+        .select("_first.*")
     )
-    return named.unionByName(records.where(blank)) if blanks else named
-
-
-def _known(stored: DataFrame, records: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Keys of `stored` that occur in `records` and are not blank.
-
-    Asked this way round, a small batch is broadcast to the scan of a large store,
-    which is then not shuffled at all; a batch too large for that is joined by a
-    shuffle of the key columns. Salt 0, so that no blank record matches.
-    """
-    asked = records.select(*key).distinct()
-    keys = stored.select(*key).where(~_any_blank(stored, key))
-    return keys.join(asked, list(key), "left_semi").withColumn("_salt", F.lit(0))
 
 
 def mark_stored(records: DataFrame, stored: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    """Add `already_stored`: the key is in `stored` and not blank."""
-    known = _known(stored, records, key).distinct().withColumn("_stored", F.lit(True))
-    return _salted(records, key).join(known, [*key, "_salt"], "left").select(
+    """Add `already_stored`: the key is in `stored` and not blank. Records without a key meet nothing."""
+    known = stored.where(~any_blank(stored, key)).select(*key).distinct()
+    known = known.withColumns({"_salt": F.lit(0), "_stored": F.lit(True)})
+    salted, _ = _salted(records, key)
+    return salted.join(known, [*key, "_salt"], "left").select(
         *records.columns, F.coalesce("_stored", F.lit(False)).alias("already_stored")
     )
 
@@ -79,10 +65,10 @@ def split_stored(
     records: DataFrame, stored: DataFrame, key: Sequence[str] = KEY
 ) -> tuple[DataFrame, DataFrame]:
     """(new, skipped): records to fetch, and those an earlier run has stored."""
-    known, salted, on = _known(stored, records, key), _salted(records, key), [*key, "_salt"]
+    marked = mark_stored(records, stored, key)
     return (
-        salted.join(known, on, "left_anti").select(*records.columns),
-        salted.join(known, on, "left_semi").select(*records.columns),
+        marked.where(~F.col("already_stored")).drop("already_stored"),
+        marked.where("already_stored").drop("already_stored"),
     )
 
 
@@ -97,15 +83,14 @@ def with_stored(
 ) -> DataFrame:
     """Add what is stored under each record's key: `was_stored`, `stored_<name>`.
 
-    A narrow lookup, meant to run before any bytes are attached; NULL is a key too.
-    `stored` holds one row per key. As in the skip, the store is first cut to the keys
-    asked for; its few blank keys are repeated per salt to meet their many records.
+    A narrow lookup, meant to run before any bytes are attached; NULL is a key too. `stored` holds one row per key;
+    its few blank keys are repeated per salt to meet their many records.
     """
     columns = list(dict.fromkeys(["file_hash", "file_path", *carry]))
     keys = [f"_key_{c}" for c in key]
-    asked = new.select(*(F.col(c).alias(k) for c, k in zip(key, keys))).distinct()
-    every_salt = F.when(_any_blank(stored, key), F.sequence(F.lit(1), F.lit(SALTS)))
-    old = stored.join(asked, _same(key, keys), "left_semi").select(
+    salted, salts = _salted(new, key)
+    every_salt = F.when(any_blank(stored, key), F.sequence(F.lit(1), F.lit(salts)))
+    old = stored.select(
         *(F.col(c).alias(k) for c, k in zip(key, keys)),
         *(F.col(c).alias(f"stored_{c}") for c in columns),
         F.explode(F.coalesce(every_salt, F.array(F.lit(0)))).alias("_stored_salt"),
@@ -113,8 +98,7 @@ def with_stored(
     )
     on = _same([*key, "_salt"], [*keys, "_stored_salt"])
     return (
-        _salted(new, key)
-        .join(old, on, "left")
+        salted.join(old, on, "left")
         .withColumn("was_stored", F.coalesce("_found", F.lit(False)))
         .drop("_salt", "_stored_salt", "_found", *keys)
     )
@@ -155,42 +139,30 @@ def merge_set(
 ) -> DataFrame:
     """Field-wise upsert of a batch, in `order`, into one row per key (NULL is a key too).
 
-    Present fields overwrite, also with NULL; the `sticky` ones are present only where
-    `has_content`, and otherwise keep their last value.
+    Present fields overwrite, also with NULL; the `sticky` ones are present only where `has_content`, and otherwise
+    keep their last value.
 
-    The batch is folded to one row per key first, combining before the shuffle, so a
-    hot key (all NULL ones share one) costs each task a single row. The fold then meets
-    the store in plain joins that never need the store on the build side: it is
-    broadcast when small, and the store is scanned without a shuffle.
+    Store and batch are folded together in one grouped aggregate, a stored row before every row of the batch. Tasks
+    combine before the shuffle, so a hot key (all NULL ones share one) costs each of them a single row.
     """
     columns = stored.columns
     plain = [c for c in columns if c not in (*key, *sticky)]
-    keys = [f"_key_{c}" for c in key]
-    when = F.struct(*order)
+    kinds = dict(batch.dtypes)
+    nothing = [F.lit(None).cast(kinds[c]).alias(c) for c in order]
     content = F.coalesce(F.col(has_content), F.lit(False))
-    folded = batch.groupBy(*(F.col(c).alias(k) for c, k in zip(key, keys))).agg(
-        F.max_by(F.struct(*plain), when).alias("_plain"),
-        F.max_by(F.struct(*sticky), F.when(content, when)).alias("_sticky"),
-    )
 
-    def new(c: str) -> Column:
-        return F.col(f"_plain.{c}" if c in plain else f"_sticky.{c}")
-
-    def merged(c: str) -> Column:
-        if c in key:
-            return F.col(c)
-        present = F.col("_plain" if c in plain else "_sticky").isNotNull()
-        return F.when(present, new(c)).otherwise(F.col(c)).alias(c)
-
-    updated = stored.join(folded, _same(key, keys), "left").select(*(merged(c) for c in columns))
-    hits = [f"_hit_{c}" for c in key]
-    matched = (
-        stored.select(*key)
-        .join(folded.select(*keys), _same(key, keys), "left_semi")
-        .select(*(F.col(c).alias(h) for c, h in zip(key, hits)))
+    def as_rows(rows: DataFrame, when: Column, present: Column) -> DataFrame:
+        return rows.select(
+            *key, F.struct(*plain).alias("_plain"), F.struct(*sticky).alias("_sticky"), when.alias("_when"), present.alias("_present")
+        )
+
+    # A struct of NULL places comes first: nothing of the batch can come before what is stored.
+    old = as_rows(stored, F.struct(F.lit(0).alias("_batch"), *nothing), F.lit(True))
+    new = as_rows(batch, F.struct(F.lit(1).alias("_batch"), *order), content)
+    folded = old.unionByName(new).groupBy(*key).agg(
+        F.max_by("_plain", "_when").alias("_plain"),
+        F.max_by("_sticky", F.when(F.col("_present"), F.col("_when"))).alias("_sticky"),
+    )
+    return folded.select(
+        *(F.col(c) if c in key else F.col(f"_plain.{c}" if c in plain else f"_sticky.{c}").alias(c) for c in columns)
     )
-    inserted = folded.join(matched, _same(keys, hits), "left_anti").select(
-        *((F.col(k) if c in key else new(c)).alias(c)
-          for c, k in ((c, f"_key_{c}") for c in columns))
-    )
-    return updated.unionByName(inserted)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from calendar import monthrange
 from collections.abc import Sequence
 from datetime import date
 
@@ -12,10 +13,11 @@ from tidemark.functions.dates import day_param
 
 
 def check_range(start: date, end: date, months: int) -> None:
-    if months < 1:
-        raise ValueError("months must be at least 1")
-    if start >= end:
-        raise ValueError("start must be before end")
+    """The end is exclusive, so a range needs at least one day, and a window at least one month."""
+    if not start < end:
+        raise ValueError(f"nothing lies before {end} from {start} on")
+    if not months >= 1:
+        raise ValueError(f"a window of {months} months never ends")
 
 
 def date_range(spark: SparkSession, start: date, end: date, months: int = 1) -> DataFrame:
@@ -33,8 +35,8 @@ def partition_windows(requests: DataFrame, months: int = 1) -> DataFrame:
     which needs only the first month of 28, 29 and 30 days: the rule is evaluated
     within the row, with no shuffle or ordering. Rows without start < end give none.
     """
-    if months < 1:
-        raise ValueError("months must be at least 1")
+    if not months >= 1:
+        raise ValueError(f"a window of {months} months never ends")
     keys = [c for c in requests.columns if c not in ("start", "end")]
 
     first_month = F.trunc("start", "MM")
@@ -81,21 +83,49 @@ def with_params(windows: DataFrame) -> DataFrame:
     )
 
 
+def _shortest_months(start: date, end: date, months: int) -> dict[int, date]:
+    """The first month of 28, 29 and 30 days in which a window of the range starts."""
+    found, month = {}, start.year * 12 + start.month - 1
+    while month <= end.year * 12 + end.month - 1 and month // 12 <= date.max.year:
+        year, number = divmod(month, 12)
+        found.setdefault(monthrange(year, number + 1)[1], date(year, number + 1, 1))
+        month += months
+    return found
+
+
 def assign(records: DataFrame, on: str, start: date, end: date, months: int = 1) -> DataFrame:
-    """Stamp each record with the one window holding its date; others are left out.
+    """Stamp each record with the one window of [start, end) that holds its date; others are left out.
 
-    The windows are expanded to a calendar of days, so the range condition becomes an
-    equality and plans as a hash join. The calendar has one row per day between two
-    literal dates, which bounds the broadcast whatever the size of the records.
+    The window rule read backwards: the month of a day gives the number of the window that starts in or before it; where
+    that one starts only after the day, it is the window before. No join and no calendar: a projection.
     """
-    spark = records.sparkSession
-    calendar = partition_windows(date_range(spark, start, end, months), months).select(
-        "window_start", "window_end", "partition_date",
-        F.explode(F.sequence("window_start", "window_end")).alias("_day"),
-    )
-    return records.join(
-        F.broadcast(calendar), F.to_date(records[on]) == calendar["_day"], "inner"
-    ).drop("_day")
+    check_range(start, end, months)
+    shortest = _shortest_months(start, end, months)
+    first = date(start.year, start.month, 1)
+
+    def window_start(number: Column) -> Column:
+        month = F.add_months(F.lit(first), number * months)
+        cut = F.lit(31)
+        for days in (30, 29, 28):
+            if days in shortest:
+                cut = F.when(month >= F.lit(shortest[days]), days).otherwise(cut)
+        return F.date_add(month, F.least(F.lit(start.day), cut) - 1)
+
+    passed = (F.year("_day") - start.year) * 12 + F.month("_day") - start.month
+    number = F.floor(passed / months).cast("int")
+    kept = [c for c in records.columns if c not in ("window_start", "window_end", "partition_date")]
+    return (
+        records.withColumn("_day", F.to_date(F.col(on)))
+        .where((F.col("_day") >= F.lit(start)) & (F.col("_day") < F.lit(end)))
+        .withColumn("_number", number)
+        .withColumn("_number", F.when(window_start(F.col("_number")) > F.col("_day"), F.col("_number") - 1).otherwise(F.col("_number")))
+        .select(
+            *kept,
+            window_start(F.col("_number")).alias("window_start"),
+            F.date_sub(F.least(window_start(F.col("_number") + 1), F.lit(end)), 1).alias("window_end"),
+            window_start(F.col("_number")).alias("partition_date"),
+        )
+    )
 
 
 def span(windows: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -11,118 +11,131 @@ from pyspark.sql import functions as F
 from tidemark.functions import keys
 from tidemark.functions.dates import day_param
 from tidemark.functions.text import is_blank
-from tidemark.functions.urls import result_total
+from tidemark.functions.urls import doc_type, fetched, result_total
 from tidemark.operators import documents, listing, reconcile, upsert
-from tidemark.schemas import FILE_FIELDS, LANDING_METADATA, POINTER_FIELDS
-from tidemark.sources import tables
+from tidemark.operators.reconcile import event
+from tidemark.schemas import LANDING_METADATA, POINTER_FIELDS
+from tidemark.sources import cells, tables
 
 # Crawl order: bodies as listed, then windows, pages and cards.
 ORDER = ("body_order", "partition_date", "page", "position")
 
 
 Stage = Callable[[DataFrame, str], DataFrame]
+Lookup = Callable[[DataFrame], DataFrame]
 
 
-def requests(cards: DataFrame, stored: DataFrame, mode: str, stage: Stage) -> DataFrame:
-    """The records to fetch: first of its key, not stored yet. Records may share a URL.
+def named(cards: DataFrame) -> DataFrame:
+    """Cards with the `row` that names each: its place in the crawl."""
+    return cards.withColumn("row", F.concat_ws("-", *ORDER))
 
-    Everything here is narrow and happens before any document is touched. One lookup in
-    the store serves both the skip and the later change detection. `mode` 'refresh'
-    fetches stored records again.
+
+def firsts(cards: DataFrame, lookup: Lookup, stage: Stage) -> DataFrame:
+    """The first card of each key, with what the store holds under it.
+
+    Everything here is narrow and happens before any document is touched. `lookup` gives the stored records that may
+    have one of the keys; one join with them serves both the skip and the later change detection.
     """
+    first = stage(upsert.dedup_first(cards, ORDER), "firsts")
+    return stage(upsert.with_stored(first, lookup(first), carry=POINTER_FIELDS), "known")
+
+
+def requests(known: DataFrame, mode: str) -> DataFrame:
+    """The records to fetch. `mode` 'skip' leaves out those that are stored, 'refresh' fetches them again."""
     if mode not in ("skip", "refresh"):
         raise ValueError(f"mode must be skip or refresh, got {mode!r}")
-    firsts = stage(upsert.dedup_first(cards, ORDER), "firsts")
-    wanted = upsert.with_stored(firsts, stored, carry=POINTER_FIELDS)
-    if mode == "skip":
-        wanted = wanted.where(~F.col("was_stored") | is_blank("identifier"))
-    row = F.concat_ws("-", "body_order", "partition_date", "page", "position")
-    return stage(wanted.withColumn("file_row", row), "requests")
-
+    return known if mode == "refresh" else known.where(~F.col("was_stored") | is_blank("identifier"))
 
-def as_records(resolved: DataFrame, run_id: str, run_ts: Column) -> DataFrame:
-    """Keys, hash and change against the stored row; bytes stay only where to be written.
 
-    A projection: what is stored came along with the request, so no join sees the bytes.
+def owned(located: DataFrame) -> DataFrame:
+    """The responses to read, each with the record that lends it its place, and the hashes under which its records
+    have it already (where one of them has it nowhere, or under another path, `_low` is empty).
     """
-    has_content = F.col("content").isNotNull()
-    named = resolved.withColumns(
+    place = F.struct("partition_date", "body", "row", keys.landing_key().alias("file_path"))
+    in_place = F.col("was_stored") & F.col("stored_file_path").eqNullSafe(keys.landing_key())
+    held = F.coalesce(F.when(in_place, F.col("stored_file_hash")), F.lit(""))
+    wanted = documents.responses(located, F.min(place).alias("_place"), F.min(held).alias("_low"), F.max(held).alias("_high"))
+    return wanted.select(
+        *documents.RESPONSE, "copies", "_low", "_high",
+        F.col("_place.row").alias("file_row"), F.col("_place.file_path").alias("file_path"),
+        keys.body_slug("_place.body").alias("body_slug"), F.col("_place.partition_date").alias("partition_date"),
+    )
+
+
+def stored_contents(wanted: DataFrame, fetches: DataFrame) -> DataFrame:
+    """Rows of the files table: each response read, parsed and hashed once; bytes stay only where they are new."""
+    held = documents.examine(documents.contents(wanted, fetches))
+    kept = (F.col("_low") == F.col("_high")) & (F.col("_low") == F.col("file_hash"))
+    kind = doc_type("doc_url")
+    return (
+        held.withColumn("written", F.col("file_hash").isNotNull() & ~kept)
+        .withColumns(
+            {
+                "content": F.when(F.col("written"), F.col("content")),
+                "doc_type": kind,
+                "content_type": keys.content_type(keys.extension(kind)),
+            }
+        )
+        .drop("copies", "_low", "_high")
+    )
+
+
+def as_records(told: DataFrame, run_id: str, run_ts: Column) -> DataFrame:
+    """Keys, change against the stored row, and the pointer to the bytes, of records whose response was examined."""
+    has_content = F.col("file_hash").isNotNull()
+    record = told.withColumns(
         {
             "body_slug": keys.body_slug("body"),
             "file_path": F.when(has_content, keys.landing_key()),
-            "file_hash": keys.file_hash("content"),
-            "size": F.length("content").cast("bigint"),
             "content_type": F.when(has_content, keys.content_type(keys.extension("doc_type"))),
             "scraped_at": F.when(has_content, run_ts),
             "has_content": has_content,
         }
     )
-    compared = named.withColumns({"change": upsert.change(), "write_file": upsert.write_file()})
+    compared = record.withColumns({"change": upsert.change(), "write_file": upsert.write_file()})
     write = F.col("write_file")
     return compared.withColumns(
         {
-            "content": F.when(write, F.col("content")),
             "file_run": F.when(write, F.lit(run_id)).otherwise(F.col("stored_file_run")),
-            "file_row": F.when(write | ~F.col("has_content"), F.col("file_row")).otherwise(
-                F.col("stored_file_row")
-            ),
+            "file_row": F.when(write, F.col("_owner")).otherwise(F.col("stored_file_row")),
+            "file_day": F.when(write, F.col("_owner_day")).otherwise(F.col("stored_file_day")),
         }
-    )
+    ).drop("_owner", "_owner_day")
+
 
+def hop(rows: DataFrame, fetches: DataFrame, run_id: str, run_ts: Column, stage: Stage) -> DataFrame:
+    """Look up, read and store the documents of the rows; returns the rows with what became of them.
 
-def located(rows: DataFrame, fetches: DataFrame, stage: Stage, name: str) -> DataFrame:
-    """Records with the response that holds their document. The newest response of each
-    URL is stored first, so that a URL of very many records is a join that Spark splits.
+    Stage `run_id` stores the contents, one row of bytes per response however many rows share it. The newest response
+    of each URL is stored first, so that a URL of very many rows is a join that Spark splits.
     """
     urls = rows.where(F.col("doc_url").isNotNull()).select("doc_url")
-    latest = stage(documents.latest_fetches(fetches, urls), f"{name}_latest")
-    return stage(documents.locate(rows, fetches, latest), name)
+    latest = stage(documents.latest_fetches(fetches, urls), f"{run_id}_latest")
+    located = stage(documents.locate(rows, fetches, latest), f"{run_id}_located")
+    wanted = stage(owned(located), f"{run_id}_responses")
+    held = stage(stored_contents(wanted, fetches), run_id)
+    held = held.withColumns({"_owner": F.col("file_row"), "_owner_day": F.col("partition_date")})
+    return as_records(documents.outcomes(located, held, "_owner", "_owner_day"), run_id, run_ts)
 
 
 def build(wanted: DataFrame, fetches: DataFrame, run_id: str, run_ts: Column, stage: Stage) -> DataFrame:
     """The outcome of each request: 'scraped' or 'failed', attachments followed.
 
-    `stage(rows, name)` stores an intermediate result and returns it as read back, with
-    or without `content`, so that documents are joined, parsed and hashed exactly once.
+    `stage(rows, name)` stores an intermediate result and returns it as read back, with or without `content`.
     """
-    pages = documents.mark_shells(documents.deliver(located(wanted, fetches, stage, "located"), fetches))
-    direct = stage(as_records(pages, run_id, run_ts), run_id)
+    direct = stage(hop(wanted, fetches, run_id, run_ts, stage), f"{run_id}_direct")
     shells = direct.where(F.col("status") == "rerouted").select(*wanted.columns, "status", "attachment")
-    moved = located(documents.attachments(shells), fetches, stage, "attachments")
-    followed = documents.deliver(moved, fetches).withColumn("parse_error", F.lit(None).cast("string"))
     attached_run = f"{run_id}.attached"
-    attached = stage(as_records(followed, attached_run, run_ts), attached_run)
+    attached = hop(documents.attachments(shells), fetches, attached_run, run_ts, stage)
     return direct.where(F.col("status") != "rerouted").unionByName(attached)
 
 
-def metadata(stored: DataFrame, records: DataFrame) -> DataFrame:
-    """Stored metadata with the scraped records merged in."""
-    scraped = records.where(F.col("status") == "scraped")
-    return upsert.merge_set(stored, scraped, ORDER, sticky=(*FILE_FIELDS, *POINTER_FIELDS))
-
-
-def account(
-    grid: DataFrame, pages: DataFrame, cards: DataFrame, wanted: DataFrame, records: DataFrame
-) -> DataFrame:
-    """Reconciliation per planned cell. Skipped are the cards that became no request; a
-    request without an outcome is none of the three, and so shows as missing.
-    """
-    cell = list(reconcile.CELL)
+def account(grid: DataFrame, pages: DataFrame, told: DataFrame) -> DataFrame:
+    """Reconciliation per cell, from the listing pages and the ledger of cards."""
     found = pages.where((F.col("page") == 1) & (F.col("status") == "scraped")).select(
-        *cell, F.col("total").alias("found")
-    )
-    # One row per card, request or outcome; each counts under its own name.
-    card, request = F.lit("card").alias("status"), F.lit("request").alias("status")
-    told = (
-        cards.select(*cell, card)
-        .unionByName(wanted.select(*cell, request))
-        .unionByName(records.select(*cell, "status"))
-    )
-    counts = told.groupBy(*cell).agg(
-        F.count_if(F.col("status") == "scraped").alias("scraped"),
-        F.count_if(F.col("status") == "failed").alias("failed"),
-        (F.count_if(F.col("status") == "card") - F.count_if(F.col("status") == "request")).alias("skipped"),
+        *reconcile.CELL, F.col("total").alias("found")
     )
+    counts = reconcile.count_outcomes(told.withColumn("status", reconcile.as_status(F.col("reason"))))
     return reconcile.by_partition(grid, found, counts)
 
 
@@ -134,11 +147,33 @@ def read_listing(
     Only responses to searches take part: the prefix is pushed down to their scan.
     """
     searches = fetches.where(F.col("url").startswith(f"{base_url}?"))
-    newest = documents.locate(planned.withColumnRenamed("search_url", "doc_url"), searches)
-    pages = documents.deliver(stage(newest, f"{name}_located"), searches)
-    totals = pages.withColumn("total", result_total(F.col("content").cast("string")))
-    read = listing.read_cards(totals, url="doc_url").withColumnRenamed("doc_url", "search_url")
-    return stage(read, name)
+    located = stage(documents.locate(planned.withColumnRenamed("search_url", "doc_url"), searches), f"{name}_located")
+    held = documents.contents(documents.responses(located), searches)
+    totals = held.withColumn("total", result_total(F.col("content").cast("string")))
+    read = listing.read_cards(totals, url="doc_url").select(*documents.RESPONSE, "total", "cards", "listing_error")
+    pages = located.join(read.withColumn("_held", F.lit(True)), list(documents.RESPONSE), "left")
+    status = F.when(F.col("_held"), "scraped").otherwise("failed")
+    pages = pages.withColumn("status", status).withColumnRenamed("doc_url", "search_url")
+    return stage(pages.drop("_held", "version", "copies"), name)
+
+
+def crawl(
+    dimension: DataFrame, fetches: DataFrame, base_url: str, start: date, end: date, months: int, stage: Stage
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(grid, pages, cards) of a date range: the first page of each cell, and from its total the rest of them."""
+    grid = listing.plan_grid(dimension, start, end, months)
+    first = listing.with_search_url(grid.withColumn("page", F.lit(1).cast("bigint")), base_url)
+    first_pages = read_listing(first, fetches, base_url, stage, "listing_first")
+    sized = first_pages.where(F.col("status") == "scraped").select(
+        *grid.columns, "total", F.size("cards").alias("cards")
+    )
+    later = listing.plan_pages(sized).where(F.col("page") > 1).select(*grid.columns, "page")
+    later = listing.with_search_url(later, base_url)
+    pages = first_pages.unionByName(read_listing(later, fetches, base_url, stage, "listing_rest"))
+    cards = listing.parse_cards(pages).drop(
+        "search_url", "status", "http_status", "total", "window_start", "window_end", "from_param", "to_param"
+    )
+    return grid, pages, named(cards)
 
 
 def run(
@@ -156,61 +191,56 @@ def run(
 ) -> DataFrame:
     """One scrape of [start, end) into a landing zone; returns its reconciliation.
 
-    Each stage is written under the zone and read back, so a lost executor costs the
-    stage at hand, and a failed run can be repeated under the same `run_id`.
+    Each stage is written under the zone and read back, so a lost executor costs the stage at hand, and a failed run
+    can be repeated under the same `run_id`; its events then replace those of the failed attempt.
     """
     stamp = F.lit(run_ts) if run_ts else F.current_timestamp()
     work = f"{zone}/runs/{run_id}"
-    stored = tables.read_metadata(spark, zone, LANDING_METADATA)
-    tables.refuse_used_run(stored, (run_id, f"{run_id}.attached"))
+    contents = (run_id, f"{run_id}.attached")
+    tables.refuse_used_run(cells.read(spark, zone, LANDING_METADATA), contents)
+    attempt = tables.next_attempt(spark, zone, run_id)
 
     def keep(rows: DataFrame, name: str) -> DataFrame:
         rows.write.mode("overwrite").parquet(f"{work}/{name}")
         return spark.read.schema(rows.schema).parquet(f"{work}/{name}")
 
     def stage(rows: DataFrame, name: str) -> DataFrame:
-        if name not in (run_id, f"{run_id}.attached"):
+        if name not in contents:
             return keep(rows, name)
         path = f"{zone}/files/run_id={name}"
         tables.write_files(rows, path, rebalance=True)
         return spark.read.schema(rows.schema).parquet(path).drop("content")
 
-    dimension = listing.select_bodies(listing.bodies(spark), wanted)
-    grid = listing.plan_grid(dimension, start, end, months)
-    first = listing.with_search_url(grid.withColumn("page", F.lit(1).cast("bigint")), base_url)
-    first_pages = read_listing(first, fetches, base_url, keep, "listing_first")
-    sized = first_pages.where(F.col("status") == "scraped").select(
-        *grid.columns, "total", F.size("cards").alias("cards")
-    )
-    later = listing.plan_pages(sized).where(F.col("page") > 1).select(*grid.columns, "page")
-    later = listing.with_search_url(later, base_url)
-    later_pages = read_listing(later, fetches, base_url, keep, "listing_rest")
-    pages = first_pages.unionByName(later_pages)
-    cards = listing.parse_cards(pages).drop(
-        "search_url", "status", "total", "window_start", "window_end", "from_param", "to_param"
-    )
+    def lookup(asked: DataFrame) -> DataFrame:
+        return cells.read_for_keys(spark, zone, LANDING_METADATA, asked)
 
-    # Kept apart from the bytes, so that the merge is planned for the size of the records.
-    wanted_cards = requests(cards, stored, mode, stage)
-    records = keep(build(wanted_cards, fetches, run_id, stamp, stage), "records")
-    tables.write_metadata(metadata(stored, records), zone)
-
-    summary = keep(account(grid, pages, cards, wanted_cards, records), "summary")
-    told = run_started(grid, months, stamp)
-    for more in (
-        partition_found(first_pages, stamp),
-        failures(pages, records, stamp),
-        reconcile.events(summary, stamp),
-    ):
-        told = told.unionByName(more, allowMissingColumns=True)
-    tables.append_events(told, f"{zone}/events")
+    dimension = listing.select_bodies(listing.bodies(spark), wanted)
+    told = run_started(listing.plan_grid(dimension, start, end, months), months, stamp)
+    try:
+        grid, pages, cards = crawl(dimension, fetches, base_url, start, end, months, keep)
+        cards = keep(cards, "cards")
+        known = firsts(cards, lookup, keep)
+        asked = keep(requests(known, mode), "requests")
+        records = keep(build(asked, fetches, run_id, stamp, stage), "records")
+        outcomes = keep(reconcile.ledger(cards, known, records, skips=mode == "skip"), "ledger")
+        cells.upsert(spark, zone, LANDING_METADATA, records.where(F.col("status") == "scraped"), ORDER)
+        summary = keep(account(grid, pages, outcomes), "summary")
+        more = (
+            partition_found(pages, stamp),
+            failures(pages, records, stamp),
+            reconcile.events(summary, stamp),
+        )
+    except Exception as failure:
+        cause = F.lit(f"{type(failure).__name__}: {failure}"[:500]).alias("cause")
+        lost = spark.range(1).select(*event("run_failed", "error", stamp), cause)
+        tables.write_events(told.unionByName(lost, allowMissingColumns=True), zone, run_id, attempt)
+        raise
+    for rows in more:
+        told = told.unionByName(rows, allowMissingColumns=True)
+    tables.write_events(told, zone, run_id, attempt)
     return summary
 
 
-def _event(run_ts: Column, level: str, name: str) -> list[Column]:
-    return [run_ts.alias("timestamp"), F.lit(level).alias("level"), F.lit(name).alias("event")]
-
-
 def _day() -> Column:
     return F.col("partition_date").cast("string").alias("partition")
 
@@ -223,29 +253,40 @@ def run_started(grid: DataFrame, months: int, run_ts: Column) -> DataFrame:
         F.count_distinct("window_start").alias("windows"),
         F.sort_array(F.collect_set("body")).alias("bodies"),
     ).select(
-        *_event(run_ts, "info", "run_started"), "start", "end", "windows",
-        F.lit(months).alias("partition_months"), "bodies",
+        *event("run_started", "info", run_ts), "start", "end", "windows",
+        F.lit(months).cast("bigint").alias("partition_months"), "bodies",
     )
 
 
-def partition_found(first_pages: DataFrame, run_ts: Column) -> DataFrame:
-    listed = first_pages.where(F.col("status") == "scraped")
+def partition_found(pages: DataFrame, run_ts: Column) -> DataFrame:
+    listed = pages.where((F.col("page") == 1) & (F.col("status") == "scraped"))
     return listed.select(
-        *_event(run_ts, "info", "partition_found"), _day(), "body", F.col("total").alias("found")
+        *event("partition_found", "info", run_ts), _day(), "body", F.col("total").alias("found")
+    )
+
+
+def cause(error: Column) -> Column:
+    """Why a response could not be had: none stored, its HTTP status, or what reading it ran into."""
+    status = F.col("http_status")
+    return (
+        F.when(status.isNull(), "no response")
+        .when(~fetched(status), F.concat(F.lit("http "), status.cast("string")))
+        .otherwise(error)
     )
 
 
 def failures(pages: DataFrame, records: DataFrame, run_ts: Column) -> DataFrame:
-    """Warning events for listing pages and documents that could not be had."""
+    """Warning events for listing pages and documents that could not be had, with HTTP status and cause."""
     lost_pages = pages.where((F.col("status") == "failed") | F.col("listing_error").isNotNull())
     lost_records = records.where(F.col("status") == "failed")
+    status = F.col("http_status").alias("status")
     return lost_pages.select(
-        *_event(run_ts, "warning", "listing_failed"), _day(), "body", F.col("search_url").alias("url"),
-        F.col("listing_error").alias("error"),
+        *event("listing_failed", "warning", run_ts), _day(), "body", F.col("search_url").alias("url"),
+        status, cause(F.col("listing_error")).alias("cause"),
     ).unionByName(
         lost_records.select(
-            *_event(run_ts, "warning", "download_failed"), _day(), "body", "identifier", F.col("doc_url").alias("url"),
-            F.col("parse_error").alias("error"),
+            *event("download_failed", "warning", run_ts), _day(), "body", "identifier", F.col("doc_url").alias("url"),
+            status, cause(F.col("parse_error")).alias("cause"),
         ),
         allowMissingColumns=True,
     )

@@ -9,7 +9,6 @@ from tidemark.functions import keys
 from tidemark.functions.text import WHITESPACE, strip
 from tidemark.operators import audit, upsert
 from tidemark.queries.registry import load, query
-from tidemark.sources.staging import staged
 
 _BLANKS = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
 
@@ -70,31 +69,32 @@ def skip_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     _IDENTIFIED
-    + """SELECT count(DISTINCT nullif(identifier, '')) + count(DISTINCT CASE WHEN identifier = '' THEN 1 END)
-            + count(DISTINCT CASE WHEN identifier IS NULL THEN 1 END) AS stored_first,
-        count(*) FILTER (WHERE coalesce(identifier, '') = '') AS scraped_again, stored_first AS stored_again
-    FROM c"""
+    + """, f AS (
+        SELECT identifier FROM c WHERE identifier <> '' GROUP BY identifier
+        UNION ALL SELECT identifier FROM c WHERE coalesce(identifier, '') = ''
+    ), s1 AS (SELECT DISTINCT identifier FROM f),
+    again AS (SELECT f.identifier FROM f WHERE coalesce(identifier, '') = '' OR identifier NOT IN
+        (SELECT identifier FROM s1 WHERE identifier IS NOT NULL)),
+    s2 AS (SELECT identifier FROM s1 UNION SELECT identifier FROM again)
+    SELECT (SELECT count(*) FROM s1) AS stored_first, (SELECT count(*) FROM again) AS scraped_again,
+        (SELECT count(*) FROM s2) AS stored_again"""
 )
 def rerun_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second run over the same cards: only those without a key are taken again."""
     cards = _identified(load(spark, sf_dir, "orders")).withColumn("has_content", F.lit(False))
     order = ("published_on", "o_orderkey")
-    nothing = cards.drop("has_content").where(F.lit(False))
+    firsts = upsert.dedup_first(cards, order)
 
-    def run(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
-        new = staged(upsert.split_stored(upsert.dedup_first(cards, order), stored)[0])
-        return new, staged(upsert.merge_set(stored, new, order, sticky=("published_on",)))
+    def merged(stored: DataFrame, new: DataFrame) -> DataFrame:
+        return upsert.merge_set(stored, new, order, sticky=("published_on",))
 
-    _, first = run(nothing)
-    again, second = run(first)
-    count = F.count("*")
+    first = merged(cards.drop("has_content").where(F.lit(False)), firsts)
+    again, _ = upsert.split_stored(firsts, first)
+    counts = ((first, "stored_first"), (again, "scraped_again"), (merged(first, again), "stored_again"))
+    told = [rows.agg(F.count("*").alias("n")).select(F.lit(what).alias("what"), "n") for rows, what in counts]
     return (
-        first.agg(count.alias("n"))
-        .select(F.lit("stored_first").alias("what"), "n")
-        .unionByName(again.agg(count.alias("n")).select(F.lit("scraped_again").alias("what"), "n"))
-        .unionByName(second.agg(count.alias("n")).select(F.lit("stored_again").alias("what"), "n"))
-        .agg(*(F.max(F.when(F.col("what") == w, F.col("n"))).alias(w)
-               for w in ("stored_first", "scraped_again", "stored_again")))
+        told[0].unionByName(told[1]).unionByName(told[2])
+        .agg(*(F.max(F.when(F.col("what") == w, F.col("n"))).alias(w) for _, w in counts))
     )
 
 

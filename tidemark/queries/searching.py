@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from tidemark.functions.urls import result_total as total_of
 from tidemark.operators import listing, reconcile, windows
 from tidemark.queries.registry import load, query
-from tidemark.queries.windowing import FIRST, LAST, windows_sql
+from tidemark.queries.windowing import order_range, windows_sql
 
 BASE_URL = "https://search.example.org/decisions"
 
 _GRID = windows_sql(
     """SELECT DISTINCT o_orderpriority AS body_id, substr(o_orderpriority, 3) AS body,
-       substr(o_orderpriority, 1, 1)::int AS body_order, DATE '1995-01-01' AS s, DATE '2001-09-01' AS e
-       FROM orders""",
+       substr(o_orderpriority, 1, 1)::int AS body_order, (SELECT min(o_orderdate)::date FROM orders) AS s,
+       (SELECT max(o_orderdate)::date + 1 FROM orders) AS e FROM orders""",
     "body_id, body, body_order",
     1,
 )
@@ -46,13 +46,13 @@ def dimension(orders: DataFrame) -> DataFrame:
 
 
 def grid(orders: DataFrame) -> DataFrame:
-    return listing.plan_grid(dimension(orders), FIRST, LAST)
+    return listing.plan_grid(dimension(orders), *order_range(orders))
 
 
 def first_pages(orders: DataFrame) -> DataFrame:
     """The grid with each cell's result total and the cards on its first page."""
     totals = (
-        windows.assign(orders.select("o_orderdate", "o_orderpriority"), "o_orderdate", FIRST, LAST)
+        windows.assign(orders.select("o_orderdate", "o_orderpriority"), "o_orderdate", *order_range(orders))
         .groupBy(F.col("o_orderpriority").alias("body_id"), "partition_date")
         .agg(F.count("*").alias("total"))
     )
@@ -136,8 +136,8 @@ def result_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ACCOUNTS = (
     windows_sql(
-        """SELECT DISTINCT substr(o_orderpriority, 3) AS body, DATE '1995-01-01' AS s,
-           DATE '2002-01-01' AS e FROM orders""",
+        """SELECT DISTINCT substr(o_orderpriority, 3) AS body, (SELECT last_day(min(o_orderdate)::date) + 1 FROM orders) AS s,
+           (SELECT max(o_orderdate)::date + 1 FROM orders) AS e FROM orders""",
         "body",
         1,
     )
@@ -153,16 +153,21 @@ _ACCOUNTS = (
             count(*) FILTER (WHERE handled AND status = 'skipped') AS skipped
         FROM o GROUP BY ALL
     ), a AS (
-        SELECT w.ws AS partition_date, w.body, coalesce(found, 0) AS found, coalesce(scraped, 0) AS scraped,
-            coalesce(failed, 0) AS failed, coalesce(skipped, 0) AS skipped, c.body IS NULL AS listing_missing
-        FROM w LEFT JOIN c ON c.partition_date = w.ws AND c.body = w.body
+        SELECT coalesce(w.ws, c.partition_date) AS partition_date, coalesce(w.body, c.body) AS body,
+            coalesce(found, 0) AS found, coalesce(scraped, 0) AS scraped,
+            coalesce(failed, 0) AS failed, coalesce(skipped, 0) AS skipped, c.body IS NULL AS listing_missing,
+            w.body IS NULL AS unplanned
+        FROM w FULL JOIN c ON c.partition_date = w.ws AND c.body = w.body
     ), r AS (SELECT *, greatest(0, found - scraped - failed - skipped)::bigint AS missing FROM a)
     """
 )
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as records: found when of some value, handled when they have line items."""
+    """Orders as records: found when of some value, handled when they have line items.
+
+    The plan begins with the second month: what the first one has is there without having been planned.
+    """
     orders = load(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.to_date(F.date_trunc("MM", "o_orderdate")).alias("partition_date"),
@@ -175,7 +180,8 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("status"),
     )
     bodies = orders.select("body").distinct()
-    cells = listing.plan_grid(bodies, FIRST, date(2002, 1, 1))
+    first, end = order_range(load(spark, sf_dir, "orders"))
+    cells = listing.plan_grid(bodies, (first.replace(day=1) + timedelta(days=31)).replace(day=1), end)
     found = orders.groupBy(*reconcile.CELL).agg(
         F.count_if(F.col("o_totalprice") >= 5000).alias("found")
     )

@@ -12,13 +12,20 @@ Ten consecutive pages make one listing page; listing pages are dealt to twelve c
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import day_param
+from tidemark.functions.urls import search_url
 from tidemark.schemas import BODIES
 
 CARDS_PER_PAGE = 10
 CELLS = 12
+BASE_URL = "https://search.example.org/find"
+# The months of the cells.
+START, END = date(2024, 1, 1), date(2024, 4, 1)
 _NAMES = list(BODIES.values())
 
 
@@ -103,10 +110,11 @@ def listing_pages(pages: DataFrame) -> DataFrame:
                F.concat(F.lit('<span class="refNO">'), "identifier", F.lit("</span>"))).otherwise(""),
         F.lit("</li>"),
     )
-    totals = rows.groupBy("body", "partition_date").agg(F.count("*").alias("announced"))
     gathered = rows.groupBy(*place).agg(
         F.sort_array(F.collect_list(F.struct("position", card.alias("markup")))).alias("_cards")
     )
+    # One row per cell, of which there are twelve: the markup is not shuffled to meet them.
+    totals = F.broadcast(rows.groupBy("body", "partition_date").agg(F.count("*").alias("announced")))
     body = F.concat(
         F.lit("<html><body><ul>"),
         F.array_join(F.transform("_cards", lambda c: c["markup"]), "\n"),
@@ -117,6 +125,16 @@ def listing_pages(pages: DataFrame) -> DataFrame:
     )
 
 
+def searches(pages: DataFrame) -> DataFrame:
+    """The listing pages as responses to the searches that a plan over their months makes."""
+    number = F.element_at(F.array(*map(F.lit, BODIES)), F.col("body_order") + 1)
+    url = search_url(BASE_URL, day_param("partition_date"), day_param(F.last_day("partition_date")), number, F.col("page"))
+    return listing_pages(pages).select(
+        url.alias("url"), F.lit(200).alias("status"), F.col("content").alias("body"), F.lit(None).cast("timestamp").alias("fetched_at"),
+        "page", "body_order", "partition_date",
+    )
+
+
 SHELL_PAGE = (
     '<html><body><div class="content main">\n&nbsp;<!-- moved --></div>'
     '<div class="related-items related-file"><p><a class="button download" href="/files/{}.pdf">'

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,11 @@ from tidemark.functions.dates import date_status, parse_date
 from tidemark.operators import audit, windows
 from tidemark.queries.registry import load, query
 
-FIRST, LAST = date(1995, 1, 1), date(2001, 9, 1)
+def order_range(orders: DataFrame) -> tuple[date, date]:
+    """From the first order's day to the day after the last one's: one row, of which the driver makes the windows."""
+    on = F.to_date("o_orderdate")
+    first, last = orders.agg(F.min(on), F.max(on)).first()
+    return first, last + timedelta(days=1)
 
 
 def windows_sql(requests: str, keys: str, months: int) -> str:
@@ -123,18 +127,20 @@ def run_span(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def audit_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each customer's active span per year, read as windows: the gaps between them."""
+    return audit.windows(_yearly(load(spark, sf_dir, "orders")), by=["o_custkey"])
+
+
+def _yearly(orders: DataFrame) -> DataFrame:
     on = F.to_date("o_orderdate")
-    yearly = (
-        load(spark, sf_dir, "orders")
-        .groupBy("o_custkey", F.year(on).alias("_year"))
+    return (
+        orders.groupBy("o_custkey", F.year(on).alias("_year"))
         .agg(F.min(on).alias("window_start"), F.max(on).alias("window_end"))
         .drop("_year")
     )
-    return audit.windows(yearly, by=["o_custkey"])
 
 
 @query(
-    windows_sql("SELECT DATE '1995-01-01' AS s, DATE '2001-09-01' AS e, 0 AS k", "k", 1)
+    windows_sql("SELECT min(o_orderdate)::date AS s, max(o_orderdate)::date + 1 AS e, 0 AS k FROM orders", "k", 1)
     + """SELECT ws AS partition_date, (nx - 1)::date AS window_end, o_orderpriority, count(*) AS orders
          FROM w JOIN orders ON o_orderdate::date BETWEEN ws AND (nx - 1)::date
          GROUP BY ws, nx, o_orderpriority"""
@@ -142,12 +148,33 @@ def audit_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def assign_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders").select("o_orderdate", "o_orderpriority")
     return (
-        windows.assign(orders, "o_orderdate", FIRST, LAST)
+        windows.assign(orders, "o_orderdate", *order_range(orders))
         .groupBy("partition_date", "window_end", "o_orderpriority")
         .agg(F.count("*").alias("orders"))
     )
 
 
+@query(
+    """
+    WITH y AS (
+        SELECT o_custkey, min(o_orderdate)::date AS window_start, max(o_orderdate)::date AS window_end
+        FROM orders GROUP BY o_custkey, year(o_orderdate)
+    ), p AS (
+        SELECT *, lag(window_end) OVER (ORDER BY window_start, window_end) AS previous_end FROM y
+    )
+    SELECT window_start, window_end, previous_end, cast(window_start - previous_end - 1 AS integer) AS gap_days,
+        count(*) AS windows
+    FROM p WHERE previous_end IS NOT NULL AND window_start - previous_end - 1 <> 0 GROUP BY ALL
+    """
+)
+def audit_all_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The yearly spans of all customers as one sequence: nearly all overlap the one before."""
+    found = audit.windows(_yearly(load(spark, sf_dir, "orders")).drop("o_custkey"))
+    # Two findings may agree in all that they say.
+    by = ("window_start", "window_end", "previous_end", "gap_days")
+    return found.groupBy(*by).agg(F.sum("windows").alias("windows"))
+
+
 @query(
     """
     WITH t AS (

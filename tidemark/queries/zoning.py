@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import html, keys
 from tidemark.functions import urls as url_functions
-from tidemark.operators import audit, documents, listing
+from tidemark.operators import audit, documents, listing, reconcile
 from tidemark.plans import landing, transform
 from tidemark.queries import site
 from tidemark.queries.registry import load, query
 from tidemark.queries.site import SITE_SQL
-from tidemark.schemas import LANDING_METADATA
+from tidemark.schemas import FILES, LANDING_METADATA
+from tidemark.sources import reclaim
 from tidemark.sources.staging import staged
 
 
@@ -165,21 +166,68 @@ def parse_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     SITE_SQL
-    + """SELECT page_id, CASE WHEN doc_url IS NULL THEN 'scraped' WHEN lost THEN 'failed' ELSE 'scraped' END AS status,
-        CASE WHEN doc_url IS NOT NULL AND NOT lost AND NOT shell THEN sha256(html) END AS page_hash,
-        shell AS is_shell FROM cards"""
+    + """SELECT page_id, CASE WHEN doc_url IS NULL THEN 'scraped' WHEN lost THEN 'failed' WHEN shell THEN 'rerouted'
+            ELSE 'scraped' END AS status, CASE WHEN lost THEN 404 WHEN doc_url IS NOT NULL THEN 200 END AS http_status,
+        CASE WHEN doc_url IS NOT NULL AND NOT lost AND NOT shell THEN sha256(html) END AS file_hash,
+        CASE WHEN doc_url IS NOT NULL AND NOT lost AND NOT shell THEN strlen(html)::bigint END AS size,
+        CASE WHEN shell THEN attachment END AS attachment FROM cards"""
 )
 def resolve_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every record with its document, if it has a link and the link was delivered."""
+    """Every record with what became of its document; empty pages give up theirs and name the attachment."""
     pages = load(spark, sf_dir, "pages")
-    items = site.records(pages).select("page_id", "doc_url", "doc_type")
-    shell = F.coalesce(F.col("doc_url").contains("?page=2"), F.lit(False))
+    items = site.records(pages).select("page_id", "doc_url")
     return documents.resolve(items, site.fetches(pages)).select(
-        "page_id",
-        "status",
-        F.when(~shell, keys.file_hash("content")).alias("page_hash"),
-        shell.alias("is_shell"),
+        "page_id", "status", "http_status", "file_hash", "size", "attachment"
+    )
+
+
+_SHARED_SQL = """
+    WITH items AS (
+        SELECT 'https://docs.example.org/' || CASE l_returnflag WHEN 'N' THEN 0 ELSE l_partkey END AS doc_url FROM lineitem
+    ), served AS (
+        SELECT 'https://docs.example.org/' || doc_id AS doc_url, CASE WHEN doc_id % 5 = 3 THEN 503 ELSE 200 END AS http_status,
+            sha256(text) AS file_hash, strlen(text)::bigint AS size FROM documents
+    )
+"""
+
+
+def _shared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Line items as records, about half of them with one document, and the documents as responses."""
+    number = F.when(F.col("l_returnflag") == "N", F.lit(0)).otherwise(F.col("l_partkey"))
+    host = F.lit("https://docs.example.org/")
+    items = load(spark, sf_dir, "lineitem").select(F.concat(host, number.cast("string")).alias("doc_url"))
+    responses = load(spark, sf_dir, "documents").select(
+        F.concat(host, F.col("doc_id").cast("string")).alias("url"),
+        F.when(F.col("doc_id") % 5 == 3, 503).otherwise(200).alias("status"),
+        F.col("text").cast("binary").alias("body"),
+        F.lit(None).cast("timestamp").alias("fetched_at"),
     )
+    return items, responses
+
+
+@query(
+    _SHARED_SQL
+    + """SELECT doc_url, count(*) AS records, any_value(file_hash) AS file_hash, any_value(size) AS size
+        FROM items JOIN served USING (doc_url) WHERE http_status = 200 GROUP BY doc_url"""
+)
+def shared_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of bytes of very many records: one per response, also of the one that half of them share."""
+    items, fetches = _shared(spark, sf_dir)
+    wanted = documents.responses(documents.locate(items, fetches))
+    held = documents.contents(wanted, fetches)
+    return held.select("doc_url", "records", keys.file_hash("content").alias("file_hash"), F.length("content").cast("bigint").alias("size"))
+
+
+@query(
+    _SHARED_SQL
+    + """SELECT CASE WHEN http_status = 200 THEN 'scraped' ELSE 'failed' END AS status, http_status,
+            CASE WHEN http_status = 200 THEN file_hash END AS file_hash, count(*) AS records
+        FROM items LEFT JOIN served USING (doc_url) GROUP BY ALL"""
+)
+def shared_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of those records: the findings of each response come back to all that share it."""
+    items, fetches = _shared(spark, sf_dir)
+    return documents.resolve(items, fetches).groupBy("status", "http_status", "file_hash").agg(F.count("*").alias("records"))
 
 
 @query(
@@ -192,11 +240,8 @@ def shell_reroute(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = load(spark, sf_dir, "pages")
     items = site.records(pages).select("page_id", "doc_url", "doc_type")
     fetches = site.fetches(pages)
-    shells = staged(documents.mark_shells(documents.resolve(items, fetches)).drop("content"))
-    followed = documents.follow_attachment(shells, fetches)
-    return followed.select(
-        "page_id", "doc_url", "doc_type", "status", keys.file_hash("content").alias("file_hash")
-    )
+    followed = documents.follow_attachment(staged(documents.resolve(items, fetches)), fetches)
+    return followed.select("page_id", "doc_url", "doc_type", "status", "file_hash")
 
 
 _REQUESTS_SQL = (
@@ -210,6 +255,7 @@ _REQUESTS_SQL = (
         SELECT * FROM firsts WHERE identifier IS NULL OR identifier NOT IN (SELECT identifier FROM stored)
     ), records AS (
         SELECT *, CASE WHEN doc_url IS NULL THEN 'scraped' WHEN lost THEN 'failed' ELSE 'scraped' END AS status,
+            CASE WHEN lost THEN 404 WHEN doc_url IS NOT NULL THEN 200 END AS http_status,
             CASE WHEN shell THEN attachment ELSE doc_url END AS final_url,
             CASE WHEN shell THEN 'pdf' ELSE doc_type END AS final_type,
             doc_url IS NOT NULL AND NOT lost AS has_content,
@@ -220,13 +266,20 @@ _REQUESTS_SQL = (
 )
 
 
-def _cards(pages: DataFrame) -> DataFrame:
-    return listing.parse_cards(listing.read_cards(site.listing_pages(pages)))
+def _storing(*names: str) -> landing.Stage:
+    """Stages of which the named ones are stored, as a run stores all: what several later steps need is worked out once."""
+    return lambda rows, name: staged(rows.drop("content")) if name in names else rows
 
 
-def _landing(pages: DataFrame) -> DataFrame:
-    """A landing run over the site; records described with A to E are stored already."""
-    cards = staged(_cards(pages))
+def _crawled(spark: SparkSession, searches: DataFrame, *stored: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(grid, pages, cards) of a crawl of the site by its body dimension, months and search URLs."""
+    responses = searches.drop("page", "body_order", "partition_date")
+    stage = _storing("listing_first", *stored)
+    return landing.crawl(listing.bodies(spark), responses, site.BASE_URL, site.START, site.END, 1, stage)
+
+
+def _known(pages: DataFrame, cards: DataFrame) -> DataFrame:
+    """First cards of each key; records described with A to E are stored already."""
     early = site.records(pages).where(F.col("description") < "F").select("identifier").distinct()
     stored = early.select(
         *(
@@ -234,31 +287,89 @@ def _landing(pages: DataFrame) -> DataFrame:
             for f in LANDING_METADATA.fields
         )
     )
-
-    def stage(rows: DataFrame, _: str) -> DataFrame:
-        return staged(rows.drop("content"))
-
-    wanted = landing.requests(cards, stored, "skip", stage)
-    return landing.build(wanted, site.fetches(pages), "run", _stamp(), stage)
+    return landing.firsts(cards, lambda _: stored, lambda rows, _: rows)
 
 
 @query(
     _REQUESTS_SQL
-    + """SELECT body, partition_date, identifier, description, final_url AS doc_url, final_type AS doc_type, status,
-        CASE WHEN has_content THEN stem || final_type END AS file_path,
+    + """SELECT body, partition_date, page, position, identifier, description, final_url AS doc_url, final_type AS doc_type,
+        status, http_status, CASE WHEN has_content THEN stem || final_type END AS file_path,
         CASE WHEN has_content THEN sha256(html) END AS file_hash,
         CASE WHEN has_content THEN strlen(html)::bigint END AS size,
         CASE WHEN has_content THEN CASE final_type WHEN 'pdf' THEN 'application/pdf' ELSE 'text/html' END END AS content_type,
-        has_content AS write_file FROM records"""
+        CASE WHEN has_content THEN TIMESTAMP '2024-06-01 00:00:00' END AS scraped_at, has_content AS write_file,
+        CASE WHEN has_content THEN body_order || '-' || partition_date || '-' || page || '-' || position END AS file_row
+        FROM records"""
 )
 def landing_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing markup to landing records: skip, dedup, resolve, follow, key and hash."""
-    return _landing(load(spark, sf_dir, "pages")).select(
-        "body", "partition_date", "identifier", "description", "doc_url", "doc_type", "status",
-        "file_path", "file_hash", "size", "content_type", "write_file",
+    """A landing run over the site: planned searches to listing pages, cards, skip, dedup, resolve, follow, key and hash."""
+    pages = load(spark, sf_dir, "pages")
+    _, _, cards = _crawled(spark, site.searches(pages))
+    wanted = staged(landing.requests(_known(pages, cards), "skip"))
+    return landing.build(wanted, site.fetches(pages), "run", _stamp(), _storing("run_direct")).select(
+        "body", "partition_date", "page", "position", "identifier", "description", "doc_url", "doc_type", "status", "http_status",
+        "file_path", "file_hash", "size", "content_type", "scraped_at", "write_file", "file_row",
     )
 
 
+@query(
+    _REQUESTS_SQL
+    + """SELECT c.body, c.partition_date, c.page, c.position, c.identifier, CASE
+            WHEN coalesce(c.identifier, '') <> '' AND f.position IS NULL THEN 'repeated'
+            WHEN r.position IS NULL THEN 'stored' ELSE r.status END AS reason
+        FROM cards c LEFT JOIN firsts f USING (body, partition_date, page, position)
+        LEFT JOIN records r USING (body, partition_date, page, position)"""
+)
+def outcome_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every card of the site with the reason of what became of it."""
+    pages = load(spark, sf_dir, "pages")
+    _, _, cards = _crawled(spark, site.searches(pages))
+    cards = staged(cards)
+    known = staged(_known(pages, cards))
+    wanted = landing.requests(known, "skip").select("row", "doc_url")
+    # Attachments of the site are always there: the first hop decides.
+    told = documents.outcomes(
+        documents.locate(wanted, site.fetches(pages)),
+        documents.latest_fetches(site.fetches(pages), wanted.select("doc_url")).where("copies > 0").select(
+            *documents.RESPONSE, *(F.lit(None).cast(FILES[c].dataType).alias(c) for c in documents.FACTS)
+        ),
+    )
+    return reconcile.ledger(cards, known, told).select("body", "partition_date", "page", "position", "identifier", "reason")
+
+
+@query(
+    SITE_SQL
+    + """, listed AS (
+        SELECT DISTINCT body, partition_date, page, (partition_date, page) AS k, page > 1 AND (page + body_order) % 3 = 0 AS refused FROM cards
+    )
+    SELECT 'run_started' AS event, NULL::varchar AS body, NULL::varchar AS "partition", NULL::int AS status,
+        NULL::varchar AS cause, 1::bigint AS events
+    UNION ALL SELECT 'partition_found', body, partition_date::varchar, NULL, NULL, 1 FROM listed WHERE page = 1
+    UNION ALL SELECT 'listing_failed', body, partition_date::varchar, 503, 'http 503', count(*) FROM listed WHERE refused GROUP BY ALL"""
+)
+def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of a run that failed and was repeated: the second attempt's events count, the first one's do not."""
+    pages = load(spark, sf_dir, "pages")
+    # Some later listing pages answer 503.
+    refused = (F.col("page") > 1) & ((F.col("page") + F.col("body_order")) % 3 == 0)
+    searches = site.searches(pages).withColumn("status", F.when(refused, 503).otherwise(200))
+    grid, read, _ = _crawled(spark, searches, "listing_rest")
+    records = spark.createDataFrame([], "partition_date date, body string, identifier string, doc_url string, status string, http_status int, parse_error string")
+    started = landing.run_started(grid, 1, _stamp())
+    broken = started.unionByName(
+        spark.range(1).select(*reconcile.event("run_failed", "error", _stamp()), F.lit("disk full").alias("cause")), allowMissingColumns=True
+    )
+    done = started
+    for rows in (landing.partition_found(read, _stamp()), landing.failures(read, records, _stamp())):
+        done = done.unionByName(rows, allowMissingColumns=True)
+    log = None
+    for attempt, told in enumerate((broken, done), 1):
+        told = told.withColumns({"run_id": F.lit("r1"), "attempt": F.lit(attempt)})
+        log = told if log is None else log.unionByName(told, allowMissingColumns=True)
+    by = ("event", "body", "partition", "status", "cause")
+    return reconcile.last_attempts(log).groupBy(*by).agg(F.count("*").alias("events"))
+
+
 _RECORDS_SQL = (
     SITE_SQL
     + f""", landing AS (
@@ -288,15 +399,15 @@ def _zones(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     content = F.col("html").cast("binary")
     files = rows.where(~site.lost()).select(
-        path.alias("file_path"), content.alias("content"), F.octet_length("html").cast("bigint").alias("size")
-    )
+        path.alias("file_path"), F.when(site.is_shell(), "pdf").otherwise("html").alias("doc_type"),
+        content.alias("content"), F.octet_length("html").cast("bigint").alias("size"),
+    )
     return metadata, files
 
 
 def _clean(pages: DataFrame) -> DataFrame:
     metadata, files = _zones(pages)
-    attached = transform.attach_content(metadata, files, on={"file_path": "file_path"})
-    return transform.clean_records(attached, _stamp())
+    return transform.clean_records(metadata, transform.clean_contents(files), _stamp(), on={"file_path": "file_path"})
 
 
 @query(
@@ -356,19 +467,50 @@ def zone_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     _RECORDS_SQL
     + """, n AS (SELECT page_id, error FROM clean)
+    SELECT *, landing_only = 0 AND clean_only = 0 AND landing_files = clean_files AS parity, clean_bytes < landing_bytes AS shrunk FROM (
     SELECT count(*) AS landing_records, count(*) FILTER (WHERE error IS NULL) AS clean_records,
-        count(error) AS landing_only, 0::bigint AS clean_only,
+        (SELECT count(*) FROM landing WHERE page_id NOT IN (SELECT page_id FROM n WHERE error IS NULL)) AS landing_only,
+        (SELECT count(*) FROM n WHERE error IS NULL AND page_id NOT IN (SELECT page_id FROM landing)) AS clean_only,
         (SELECT count(*) FROM landing WHERE stored) AS landing_files,
         count(*) FILTER (WHERE error IS NULL) AS clean_files,
         (SELECT sum(strlen(html))::bigint FROM landing WHERE stored) AS landing_bytes,
-        (SELECT sum(strlen(content))::bigint FROM clean WHERE error IS NULL) AS clean_bytes,
-        false AS parity, true AS shrunk FROM n"""
+        (SELECT sum(strlen(content))::bigint FROM clean WHERE error IS NULL) AS clean_bytes
+        FROM n)"""
 )
 def audit_zone_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = load(spark, sf_dir, "pages")
-    metadata, files = _zones(pages)
-    clean = staged(_clean(pages).where(F.col("error").isNull()).select("page_id", "size"))
-    return audit.zone_parity(metadata, clean, files, clean, key="page_id")
+    size = F.when(~site.lost(), F.octet_length("html"))
+    landed = site.records(pages).select("page_id", size.alias("size"))
+    return audit.zone_parity(landed, _clean(pages).where(F.col("error").isNull()), key="page_id")
+
+
+@query(
+    """
+    WITH files AS (
+        SELECT source AS body_slug, 'first' AS run_id, doc_id, strlen(text)::bigint AS size FROM documents
+        UNION ALL SELECT source, 'second', d.doc_id, strlen(text)::bigint FROM documents d JOIN labels USING (doc_id) WHERE toxic = 1
+    ), pointers AS (
+        SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) THEN 'second' ELSE 'first' END AS run_id
+        FROM documents WHERE lang <> 'fr'
+    )
+    SELECT run_id, body_slug, count(*) AS records, sum(size)::bigint AS bytes, count(*) FILTER (WHERE p.doc_id IS NULL) AS dead_records,
+        coalesce(sum(size) FILTER (WHERE p.doc_id IS NULL), 0)::bigint AS dead_bytes
+    FROM files LEFT JOIN pointers p USING (run_id, doc_id) GROUP BY run_id, body_slug
+    """
+)
+def reclaimable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts stored by one run, the toxic ones again by a second; French records were dropped since."""
+    texts = load(spark, sf_dir, "documents").withColumnRenamed("source", "body_slug")
+    again = load(spark, sf_dir, "labels").where("toxic = 1").select("doc_id")
+    size = F.octet_length("text").cast("bigint").alias("size")
+    file_row = F.col("doc_id").cast("string").alias("file_row")
+    stored = [
+        rows.select(F.lit(run).alias("run_id"), "body_slug", file_row, size)
+        for run, rows in (("first", texts), ("second", texts.join(again, "doc_id")))
+    ]
+    newest = texts.where("lang <> 'fr'").join(again.withColumn("_again", F.lit(True)), "doc_id", "left")
+    records = newest.select(F.when(F.col("_again"), "second").otherwise("first").alias("file_run"), file_row)
+    return reclaim.reclaimable(reclaim.mark(stored[0].unionByName(stored[1]), reclaim.pointers(records)))
 
 
 @query(

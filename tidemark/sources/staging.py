@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame
 def staged(rows: DataFrame) -> DataFrame:
     """Checkpoint rows in the shared folder of the cluster (`spark.checkpoint.dir`).
 
-    Survives the loss of executors. A folder of our own is set only where the session
-    names none, as in a local test.
+    Survives the loss of executors. Only a local session, whose executors are this machine, gets a folder of our own
+    where it names none; on a cluster that is an error.
     """
     context = rows.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        configured = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tidemark-"))
+        folder = context.getConf().get("spark.checkpoint.dir") or rows.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tidemark-"))
     return rows.checkpoint()

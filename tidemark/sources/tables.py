@@ -1,13 +1,14 @@
-"""Zone tables on plain Parquet: run-partitioned files, versioned metadata, feeds, events.
+"""Zone tables on plain Parquet: contents by run, raw directories, feeds, events, views.
 
 Layout of a zone directory:
 
-    files/run_id=<run>/body_slug=<slug>/partition_date=<day>/   bytes, append-only by run
-    metadata/v=<n>/body_slug=<slug>/partition_date=<day>/       one snapshot per run
+    files/run_id=<run>/body_slug=<slug>/partition_date=<day>/   bytes, one row per response, append-only by run
+    metadata/                                                   see `sources.cells`
+    runs/<run>/                                                 stages of a run, read back by its later stages
+    events/run_id=<run>/attempt=<n>/                            JSON lines of each attempt at a run
 
-Bytes are written once and never rewritten or shuffled by an upsert; each metadata row
-points at its bytes (`file_run`, `file_row`). A snapshot counts once Spark's job commit
-has left its `_SUCCESS` file, and is never the path that is being read.
+Bytes are written once and never rewritten or shuffled by an upsert; each metadata row points at its bytes
+(`file_run`, `file_row`, `file_day`), and records that share a document point at the same row.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schemas import CLEAN_METADATA, FILES, LANDING_METADATA
+from tidemark.schemas import EVENTS, FILES
 
 CELL = ("body_slug", "partition_date")
 
@@ -33,6 +34,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(found)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names in a directory; none where it is missing."""
+    files, found = _hadoop_path(spark, path)
+    return [entry.getPath().getName() for entry in files.listStatus(found)] if files.exists(found) else []
+
+
+def drop(spark: SparkSession, path: str) -> bool:
+    """Delete a file or directory."""
+    files, found = _hadoop_path(spark, path)
+    return files.delete(found, True)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table that may not have been written yet: no rows, same schema."""
     if not exists(spark, path):
@@ -51,45 +64,12 @@ def read_directory(spark: SparkSession, path: str, pattern: str = "*") -> DataFr
     )
 
 
-def _committed_versions(spark: SparkSession, root: str) -> list[int]:
-    files, found = _hadoop_path(spark, root)
-    if not files.exists(found):
-        return []
-    names = [entry.getPath().getName() for entry in files.listStatus(found)]
-    return sorted(
-        int(name[2:])
-        for name in names
-        if name.startswith("v=") and exists(spark, f"{root}/{name}/_SUCCESS")
-    )
-
-
-def read_metadata(spark: SparkSession, zone: str, schema: T.StructType) -> DataFrame:
-    """The newest committed metadata snapshot of a zone."""
-    versions = _committed_versions(spark, f"{zone}/metadata")
-    if not versions:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{zone}/metadata/v={versions[-1]}")
-
-
 def refuse_used_run(metadata: DataFrame, run_ids: Sequence[str]) -> None:
     """Stop before a finished run's bytes, which metadata points at, are overwritten."""
     if metadata.where(F.col("file_run").isin(list(run_ids))).limit(1).count():
         raise ValueError(f"run {run_ids[0]!r} is part of the zone already, choose another run_id")
 
 
-def write_metadata(metadata: DataFrame, zone: str) -> int:
-    """Write the next snapshot; a half-written one of an earlier attempt is replaced."""
-    versions = _committed_versions(metadata.sparkSession, f"{zone}/metadata")
-    version = versions[-1] + 1 if versions else 1
-    (
-        metadata.hint("rebalance", *CELL)
-        .write.partitionBy(*CELL)
-        .mode("overwrite")
-        .parquet(f"{zone}/metadata/v={version}")
-    )
-    return version
-
-
 def write_files(rows: DataFrame, path: str, rebalance: bool) -> None:
     """Write one run's rows, replacing what a failed attempt of the same run left.
 
@@ -101,22 +81,22 @@ def write_files(rows: DataFrame, path: str, rebalance: bool) -> None:
 
 
 def read_files(spark: SparkSession, zone: str) -> DataFrame:
-    """Every stored version of every file of a zone; (run_id, file_row) is unique.
+    """Every stored row of bytes of a zone; (run_id, file_row) is unique.
 
-    A run also writes a row for each record without new bytes: one that failed has no
-    path, one whose bytes are unchanged points at an earlier run.
+    A run also writes a row for each response without new bytes: a shell, or bytes that are stored already.
     """
-    rows = read_or_empty(spark, f"{zone}/files", FILES)
-    has_bytes = F.col("file_path").isNotNull() & (F.col("file_run") == F.col("run_id"))
-    return rows.where(has_bytes).drop("file_run")
+    return read_or_empty(spark, f"{zone}/files", FILES).where("written").drop("written")
 
 
 def live_files(files: DataFrame, metadata: DataFrame) -> DataFrame:
-    """The versions that metadata points at. Narrow columns only are needed to decide."""
+    """One row per record that has a file: its path, and the bytes its pointer leads to.
+
+    Bytes that no record points at are left out. Only what is selected afterwards is read.
+    """
     pointers = metadata.where(F.col("file_row").isNotNull()).select(
-        F.col("file_run").alias("run_id"), "file_row"
+        F.col("file_run").alias("run_id"), "file_row", F.col("file_day").alias("partition_date"), "file_path", "identifier"
     )
-    return files.join(pointers, ["run_id", "file_row"], "left_semi")
+    return files.drop("file_path").join(pointers, ["run_id", "file_row", "partition_date"])
 
 
 def export_feed(records: DataFrame, path: str) -> None:
@@ -125,18 +105,21 @@ def export_feed(records: DataFrame, path: str) -> None:
     records.select(*fields).write.mode("overwrite").json(path)
 
 
-def append_events(events: DataFrame, path: str) -> None:
-    """Append run events as JSON lines; absent fields are left out of a line."""
-    events.write.mode("append").json(path)
+def next_attempt(spark: SparkSession, zone: str, run_id: str) -> int:
+    """The number of the next attempt at a run: one more than has left events."""
+    return 1 + max((int(n[8:]) for n in names_in(spark, f"{zone}/events/run_id={run_id}") if n.startswith("attempt=")), default=0)
 
 
-def register_views(spark: SparkSession, landing: str, clean: str) -> None:
-    """Temp views `landing_metadata`, `clean_metadata` and `files` (with its zone)."""
-    read_metadata(spark, landing, LANDING_METADATA).createOrReplaceTempView("landing_metadata")
-    read_metadata(spark, clean, CLEAN_METADATA).createOrReplaceTempView("clean_metadata")
-    both = (
-        read_files(spark, landing)
-        .withColumn("zone", F.lit("landing"))
-        .unionByName(read_files(spark, clean).withColumn("zone", F.lit("clean")))
-    )
-    both.createOrReplaceTempView("files")
+def write_events(events: DataFrame, zone: str, run_id: str, attempt: int) -> None:
+    """Events of one attempt at a run as JSON lines; absent fields are left out of a line.
+
+    Repeated, an attempt replaces what it wrote before.
+    """
+    events.write.mode("overwrite").json(f"{zone}/events/run_id={run_id}/attempt={attempt}")
+
+
+def read_events(spark: SparkSession, zone: str) -> DataFrame:
+    """All events of all attempts, each with its run_id and attempt; `reconcile.last_attempts` keeps those that count."""
+    if not exists(spark, f"{zone}/events"):
+        return spark.createDataFrame([], EVENTS)
+    return spark.read.schema(EVENTS).json(f"{zone}/events")

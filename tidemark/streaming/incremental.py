@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.upsert import merge_set
 from tidemark.plans.landing import ORDER
-from tidemark.schemas import FILE_FIELDS, LANDING_METADATA, POINTER_FIELDS
-from tidemark.sources import tables
+from tidemark.schemas import LANDING_METADATA
+from tidemark.sources import cells
 
 # A record as a landing run leaves it: the metadata, its place, and whether it has bytes.
 RECORDS = T.StructType(
@@ -35,14 +34,16 @@ def merge_arrivals(
 ) -> StreamingQuery:
     """Merge records that appear under `source` into a zone's metadata, then stop.
 
-    Each micro-batch is one field-wise upsert and one new snapshot. A batch that is
-    repeated after a failure merges to the same rows, so arrivals count once.
+    Each micro-batch is one field-wise upsert and one new version, which writes the cells it touches and lists the
+    others again. A batch that is repeated after a failure merges to the same rows, so arrivals count once.
     """
 
-    def merge(batch: DataFrame, _: int) -> None:
-        stored = tables.read_metadata(batch.sparkSession, zone, LANDING_METADATA)
-        merged = merge_set(stored, batch, order, sticky=(*FILE_FIELDS, *POINTER_FIELDS))
-        tables.write_metadata(merged, zone)
+    def merge(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        # Stored first: the upsert asks for the batch's keys and cells before it merges them.
+        path = f"{zone}/runs/arrivals/batch={number}"
+        batch.write.mode("overwrite").parquet(path)
+        cells.upsert(session, zone, LANDING_METADATA, session.read.schema(RECORDS).parquet(path), order)
 
     return (
         spark.readStream.schema(RECORDS)
