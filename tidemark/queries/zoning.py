@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
+import uuid
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,13 +11,14 @@ from pyspark.sql import functions as F
 from tidemark.functions import html, keys
 from tidemark.functions import urls as url_functions
 from tidemark.operators import audit, documents, listing, reconcile
-from tidemark.plans import landing, transform
+from tidemark.plans import landing, transform, zones
 from tidemark.queries import site
 from tidemark.queries.registry import load, query
 from tidemark.queries.site import SITE_SQL
-from tidemark.schemas import FILES, LANDING_METADATA
-from tidemark.sources import reclaim
-from tidemark.sources.staging import staged
+from tidemark.schemas import CLEAN_METADATA, FETCHES, FILES, LANDING_METADATA
+from tidemark.sources import cells, reclaim, tables
+from tidemark.sources.fetches import read_fetches
+from tidemark.sources.staging import shared_folder, staged
 
 
 def _stamp() -> Column:
@@ -546,3 +548,47 @@ def audit_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = site.records(load(spark, sf_dir, "pages"))
     link = F.when(site.padded(), F.regexp_replace("doc_url", "^https?://[^/]+", "")).otherwise(F.col("doc_url"))
     return audit.links(rows.withColumn("doc_url", link), [date(2024, 1, 1), date(2024, 2, 1)])
+
+
+_RUN_SQL = (
+    SITE_SQL
+    + f""", firsts AS (
+        SELECT *, body_order || '-' || partition_date || '-' || page || '-' || position AS file_row,
+            replace(lower(body), ' ', '-') AS slug, CASE WHEN shell THEN 'pdf' ELSE 'html' END AS kind
+        FROM cards WHERE identifier <> ''
+        QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY body_order, partition_date, page, position) = 1
+    ), stored AS (
+        SELECT *, CASE WHEN shell THEN 'r1.attached' ELSE 'r1' END AS run FROM firsts WHERE doc_url IS NOT NULL AND NOT lost
+    ), zones AS (
+        SELECT 'landing' AS zone, identifier, slug || '/' || partition_date || '/' || identifier || '.' || kind AS file_path,
+            html AS content, kind, run AS file_run, file_row FROM stored
+        UNION ALL
+        SELECT 'clean', identifier, slug || '/' || partition_date || '/' || replace(identifier, ' ', '') || '.' || kind,
+            CASE kind WHEN 'html' THEN {_CLEAN_SQL.format('html')} ELSE html END, kind, 'r1', run || '/' || file_row FROM stored
+    )
+    SELECT zone, identifier, file_path, sha256(content) AS file_hash, strlen(content)::bigint AS size,
+        CASE kind WHEN 'pdf' THEN 'application/pdf' ELSE 'text/html' END AS content_type, file_run, file_row FROM zones"""
+)
+
+
+@query(_RUN_SQL)
+def zone_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both stages run over the site into two new zones, and the files that their records lead to read back."""
+    folder = f"{shared_folder(spark)}/zones-{uuid.uuid4().hex}"
+    pages = load(spark, sf_dir, "pages")
+    searches = site.searches(pages).select(*FETCHES.fieldNames())
+    site.fetches(pages).unionByName(searches).write.parquet(f"{folder}/fetches")
+    where = {"landing": (f"{folder}/landing", LANDING_METADATA), "clean": (f"{folder}/clean", CLEAN_METADATA)}
+    zones.run_zones(
+        spark, read_fetches(spark, f"{folder}/fetches"), where["landing"][0], where["clean"][0], site.BASE_URL,
+        str(site.START), str(site.END), "r1", datetime(2024, 6, 1),
+    )
+    live = [
+        tables.live_files(tables.read_files(spark, zone), cells.read(spark, zone, schema)).select(
+            F.lit(name).alias("zone"), "identifier", "file_path", keys.file_hash("content").alias("file_hash"), "size",
+            "content_type", F.col("run_id").alias("file_run"), "file_row",
+        )
+        for name, (zone, schema) in where.items()
+    ]
+    # Records without an identifier share one row of metadata, which is not for SQL.
+    return live[0].unionByName(live[1]).where(F.col("identifier") != "")
