@@ -107,14 +107,37 @@ def test_language_model(docs, texts, none):
 
 
 def test_language_model_sums_to_one():
-    ranked = np.arange(maxent.FREQUENT, 0, -1).astype(float)
-    model, rng = maxent.Model(ranked, 50), np.random.default_rng(0)
-    model.to_class += rng.normal(size=model.to_class.shape)
-    model.to_word += rng.normal(size=model.to_word.shape)
-    history = np.array([3 * maxent.SYMBOLS + 7])
-    classes = np.exp(model.log_softmax(model.to_class, model.features(history)))[0]
-    inner = [np.exp(model.log_softmax(model.to_word, model.word_features(history, np.array([k])))).sum() for k in range(maxent.CLASSES)]
-    assert np.isclose(classes.sum(), 1) and np.allclose(inner, 1)
+    rng = np.random.default_rng(0)
+    keys = np.sort(rng.choice(1 << 40, 5000, False))
+    known = maxent.Vocabulary(keys, rng.permutation(5000), rng.integers(1, 50, 5000), 200_000, 9000)
+    model = maxent.Model(known)
+    hashed = [np.full(5001, 77, np.uint64)] * 3
+    ranks = np.append(np.arange(5000), maxent.HELD)
+    # The start is the add-one unigram; moved, it still is a distribution over the held words and the rest of them.
+    start = np.exp(model.log_probability(ranks, hashed))
+    by_rank = np.empty(5000)
+    by_rank[known.ranks] = known.counts
+    assert np.allclose(start[:-1], (by_rank + 1) / (200_000 + 9000 + 1)) and np.isclose(start[-1], known.rest / 209_001)
+    model.table[:] = rng.normal(size=model.table.shape)
+    every = np.append(np.arange(maxent.HELD), maxent.HELD)
+    assert np.isclose(np.exp(model.log_probability(every, [np.full(len(every), 5, np.uint64)] * 3)).sum(), 1)
+
+
+def test_language_model_beats_the_base_on_held_out_texts(spark, sf_dir):
+    rows = maxent.score(spark.read.parquet(f"{sf_dir}/documents.parquet")).where("held_out")
+    got = rows.agg(*(F.sum(c).alias(c) for c in ("n_tokens", "base_score", "score"))).first()
+    assert got["score"] / got["n_tokens"] > got["base_score"] / got["n_tokens"] + 0.05
+
+
+def test_language_model_rounds_and_nothing_to_learn_from(spark, docs, texts):
+    """A second round is a move along the gradient of what the first one has made: it fits the training rows better."""
+    fit = [maxent.score(docs, rounds=r).where("NOT held_out").agg(F.sum("score")).first()[0] for r in (0, 1, 2)]
+    assert fit[0] < fit[1] < fit[2]
+    base = maxent.score(docs, rounds=0).collect()
+    assert all(np.isclose(r["score"], r["base_score"]) for r in base)
+    out = [(i, t) for i, t in texts if i is not None and zlib.crc32(str(i).encode()) % 7 == 2]
+    rows = maxent.score(spark.createDataFrame(out, "doc_id long, text string")).collect()
+    assert len(rows) == len(out) and all(r["train_tokens"] == r["n_known"] == 0 and r["score"] == r["base_score"] == 0 for r in rows)
 
 
 def test_votes(spark, docs, labels, sf_dir, texts, none):
@@ -284,23 +307,20 @@ def test_near_texts_of_one_base(spark):
     assert sorted((r.doc_id, r.component_id) for r in found) == [(i, low[i]) for i in range(len(rows))]
 
 
-def test_language_model_learns_rare_words(spark):
-    """Words far from the most frequent ones, held and not held, are told from their histories; all words sum to one."""
-    rows = [(i, " ".join(f"n{j}" for j in range(400))) for i in range(6)]
-    rows += [(100 + i, " ".join(f"a{k} b{k}" for k in range(700, 1000))) for i in range(40)]
+def test_language_model_learns_from_histories(spark):
+    """Words far from the most frequent ones are told from what stands before them; the same words in disorder are not."""
+    rng = random.Random(3)
+    words = [f"{x}{k}" for k in range(700, 1000) for x in "ab"]
+    mixed = rng.sample(words, len(words))
+    rows = [(i, " ".join(f"n{j}" for j in range(400))) for i in range(6)] + [(100 + i, " ".join(words)) for i in range(40)]
     train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 7 != 2]
-    docs = spark.createDataFrame([*train, (8, "a900 b900"), (9, "a900 b901")], "doc_id long, text string")
-    before, after = ({r["doc_id"]: r for r in maxent.score(docs, k).where("doc_id < 10").collect()} for k in (0, 5))
-    assert abs(before[8]["score"] - before[9]["score"]) < 0.3
-    assert after[8]["score"] - after[9]["score"] > 0.5
-    known = maxent.Vocabulary(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 0, 0, 300)
-    leaves = known.leaves(np.arange(300))
-    assert known.digits == 3 and leaves.min() >= maxent.FREQUENT and len(np.unique(leaves)) > 250
-    model, rng = maxent.Model(np.arange(maxent.FREQUENT, 0, -1).astype(float), 50, 1), np.random.default_rng(0)
-    model.to_class += rng.normal(size=model.to_class.shape)
-    model.to_word += rng.normal(size=model.to_word.shape)
-    every = np.arange(maxent.FREQUENT + 16)
-    assert np.isclose(np.exp(model.log_probability(np.full(len(every), 7 * maxent.SYMBOLS + 70_000), every)).sum(), 1, atol=1e-4)
+    out = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    docs = spark.createDataFrame([*train, (out[0], " ".join(words)), (out[1], " ".join(mixed))], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in maxent.score(docs).where("held_out").collect()}
+    told, lost = (got[i]["score"] / got[i]["n_tokens"] for i in out)
+    base = got[out[0]]["base_score"] / got[out[0]]["n_tokens"]
+    assert np.isclose(got[out[0]]["base_score"], got[out[1]]["base_score"])
+    assert told > base + 2 and told > lost + 2
 
 
 def test_chat_marks_within_texts():

@@ -1,24 +1,24 @@
 """Language-model scoring by a hashed maximum-entropy model with a class-factored softmax.
 
-Every word of the training corpus is in a class of classes: the HELD most frequent words by rank, sixteen classes at each of LEVELS
-levels; all others behind one more class at the root, by digits of their hash, as many digits as their number needs. Each step down
-is a softmax whose weights are sums over features of the history: a bias, the word before (n-gram), the word before that (skip)
-and the pair, hashed with the step's node into one table that grows with the corpus. Rarer words that share all digits are told
-apart by their counts.
-
-Each task of the counting pass writes how often each (h2, h1, word) occurs in its documents. Every round of training lets the
-tasks compute gradient and curvature over these events, all of them; the sums, one row per touched feature, are added up on Spark
-and update the weights. Scoring works on arrays: each distinct event of a slice is scored once, then gathered.
+The HELD most frequent words stand by rank in classes of classes, sixteen children to a node and LEVELS levels; all other words
+are one more class at the root, and are told apart by their counts. Each step down is a softmax over the children of a
+node. Its weights are sums over features of the history, hashed into the rows that the node has in the feature table: the word
+before (n-gram), the word before that (skip), and the pair. Before training every step has the shares of the add-one
+counts, so that the model starts as the unigram it is compared with.
+
+Training: every task counts, over all tokens of its documents, what each feature row has observed and what the model expects
+of it; the sums of all tasks are added up on Spark, and each weight moves along the scaled gradient, the logarithm of
+observed over expected counts (both with PRIOR more tokens as the start has them). Scoring works on arrays of all tokens of a slice.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,20 +26,24 @@ from tidemark.functions.shipping import ship_package
 from tidemark.llm.staging import written
 from tidemark.llm.words import Words, mix, slices, split_words
 
-#: Children of a node, levels of the held words, and held words: those whose counts and ranks every task has.
-CLASSES = MEMBERS = 16
-LEVELS = 4
-HELD = MEMBERS**LEVELS
-#: Rows of the feature table for a corpus of n tokens: this many times the square root of n.
-ROWS_PER_ROOT = 32
-ROUNDS = 5
-
-FREQUENT = HELD
-#: Inner nodes of the held words below the root.
-NODES = (MEMBERS**LEVELS - MEMBERS) // (MEMBERS - 1)
-SYMBOLS = 1 << 31  # more than there are symbols; the last is the start of a text
-START = SYMBOLS - 1
+#: Children of a node, levels of nodes, and held words: those whose counts and ranks every task has. The last child of
+#: the root stands for all other words.
+MEMBERS, LEVELS = 16, 4
+HELD = (MEMBERS - 1) * MEMBERS ** (LEVELS - 1)
+#: Rows of the feature table for a corpus of n tokens: this many times the square root of n, within these bounds: the table is
+#: broadcast, 32 bytes a row.
+ROWS_PER_ROOT, LEAST_ROWS, MOST_ROWS = 64, 1 << 17, 1 << 21
+#: How far a row moves towards its observed counts: of the word before, the one before that, and the pair.
+RATES = (0.6, 0.4, 0.6)
+#: Tokens of the start that every row is taken to have seen besides its own.
+PRIOR = 32.0
+ROUNDS = 1
+
 END = int(np.uint64(0x5E17D06E5E17D06E).view(np.int64))
+START = np.uint64(0x57A27057A27057A2)
+_MIXED = np.uint64(0xD6E8FEB86659FD93)
+#: Tokens handled at once within a slice.
+_CHUNK = 1 << 16
 
 
 def token_keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, Words]:
@@ -73,268 +77,216 @@ def word_counts(training: DataFrame) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """Counts of the HELD most frequent words by sorted key, the symbol of each, and the corpus's sums."""
+    """The HELD most frequent words by sorted key, the rank and count of each, and the corpus's sums."""
 
     keys: np.ndarray
+    ranks: np.ndarray
     counts: np.ndarray
-    symbols: np.ndarray
     tokens: int
     distinct: int
-    rest_tokens: int
-    rest_distinct: int
 
     @property
-    def digits(self) -> int:
-        """Steps of rarer words below their class: enough for one leaf per word, up to what a symbol can hold."""
-        return next((d for d in range(1, 7) if MEMBERS**d >= self.rest_distinct), 7)
-
-    def leaves(self, keys: np.ndarray) -> np.ndarray:
-        """Symbols of words that are not held, by the first digits of their hash."""
-        return FREQUENT + (mix(keys.view(np.uint64)) >> np.uint64(64 - 4 * self.digits)).astype(np.int64)
+    def rest(self) -> int:
+        """Tokens of the words that are not held, one more for each such word, and one for all that were never seen."""
+        return self.tokens - int(self.counts.sum()) + self.distinct - len(self.keys) + 1
 
     def look(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Symbol and count of each key; count -1 for a word that is not held."""
-        others = self.leaves(keys)
+        """Rank and count of each key; HELD and -1 for a word that is not held."""
         if not len(self.keys):
-            return others, np.full(len(keys), -1)
+            return np.full(len(keys), HELD), np.full(len(keys), -1)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         known = self.keys[at] == keys
-        return np.where(known, self.symbols[at], others), np.where(known, self.counts[at], -1)
+        return np.where(known, self.ranks[at], HELD), np.where(known, self.counts[at], -1)
 
 
-def vocabulary(counts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
-    """The vocabulary, and the counts of its symbols by rank."""
+def vocabulary(counts: DataFrame) -> Vocabulary:
     sums = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     top = counts.orderBy(F.desc("c"), "key").limit(HELD).toPandas()  # HELD rows at most
     keys, n = top["key"].to_numpy(np.int64), top["c"].to_numpy(np.int64)
     order = np.argsort(keys)
-    ranked = np.zeros(FREQUENT)
-    ranked[: min(len(n), FREQUENT)] = n[:FREQUENT]
-    tokens, distinct = sums["n"] or 0, sums["v"]
-    rest = (tokens - int(ranked.sum()), max(0, distinct - FREQUENT))
-    return Vocabulary(keys[order], n[order], order.astype(np.int64), tokens, distinct, *rest), ranked
-
-
-def _histories(symbol: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    first = np.append(True, text[1:] != text[:-1])
-    one = np.where(first, START, np.append(START, symbol[:-1]))
-    two = np.where(first | np.append(True, first[:-1]), START, np.concatenate([[START, START], symbol[:-2]])[: len(symbol)])
-    return one, two
-
-
-def _order(history: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by history and symbol, and where each distinct pair begins in it."""
-    order = np.lexsort((symbol, history))
-    h, s = history[order], symbol[order]
-    return order, np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (s[1:] != s[:-1]))[: len(order)])
+    return Vocabulary(keys[order], order.astype(np.int64), n[order], sums["n"] or 0, sums["v"])
 
 
-def events(training: DataFrame, known: Vocabulary) -> DataFrame:
-    """history, symbol, n: written by task, without a shuffle."""
-    share = training.sparkSession.sparkContext.broadcast(known)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 << 20):
-            keys, text, _ = token_keys(batch)
-            symbol, _ = share.value.look(keys)
-            one, two = _histories(symbol, text)
-            history = two * SYMBOLS + one
-            order, new = _order(history, symbol)
-            n = np.diff(np.append(new, len(order)))
-            yield pa.record_batch(
-                {
-                    "history": pa.array(history[order][new]), "symbol": pa.array(symbol[order][new].astype(np.int32)),
-                    "n": pa.array(n.astype(np.int32)),
-                }
-            )
-
-    return written(training.select("text").mapInArrow(run, "history long, symbol int, n int"), "events")
-
-
-_MIXED = np.uint64(0xD6E8FEB86659FD93)
+def histories(keys: np.ndarray, text: np.ndarray) -> list[np.ndarray]:
+    """Hash of each feature's history per token: the word before, the one before that, both; START stands before a text."""
+    keys = keys.view(np.uint64)
+    first = np.append(True, text[1:] != text[:-1])[: len(text)]
+    one = np.where(first, START, np.append(START, keys[:-1])[: len(keys)])
+    second = first | np.append(True, first[:-1])[: len(first)]
+    two = np.where(second, START, np.concatenate([[START, START], keys[:-2]]).astype(np.uint64)[: len(keys)])
+    near = mix(one * _MIXED + np.uint64(1))
+    return [near, mix(two * _MIXED + np.uint64(2)), mix(near * _MIXED + two)]
 
 
 class Model:
-    """Weights by feature row: `to_class` over the root's classes and that of rarer words, `to_word` over the children of a node."""
-
-    def __init__(self, ranked: np.ndarray, rest: int, digits: int = 1):
-        self.digits = digits
-        rows = max(1 << 12, int(ROWS_PER_ROOT * np.sqrt(ranked.sum() + rest)))
-        self.to_class = np.zeros((1 + rows // 8, CLASSES + 1), np.float32)
-        self.to_word = np.zeros((NODES + rows, MEMBERS), np.float32)
-        self.to_class[0] = np.log(np.append(ranked.reshape(CLASSES, -1).sum(1), rest) + 1)
-        low = 0
-        for level in range(1, LEVELS):
-            grid = ranked.reshape(MEMBERS**level, MEMBERS, -1).sum(2)
-            self.to_word[low : low + len(grid)] = np.log(grid + 1)
-            low += len(grid)
-
-    def features(self, history: np.ndarray) -> np.ndarray:
-        two, one = (x.astype(np.uint64) for x in np.divmod(history, SYMBOLS))
-        size = np.uint64(len(self.to_class) - 1)
-        first = mix(one * _MIXED + np.uint64(1))
-        hashed = (first, mix(two * _MIXED + np.uint64(2)), mix(first * _MIXED + two))
-        return np.stack([np.zeros(len(one), np.int64), *(1 + (x % size).astype(np.int64) for x in hashed)], 1)
-
-    def word_features(self, history: np.ndarray, which: np.ndarray) -> np.ndarray:
-        two, one = (x.astype(np.uint64) for x in np.divmod(history, SYMBOLS))
-        size = np.uint64(len(self.to_word) - NODES)
-        node = mix(which.astype(np.uint64) + np.uint64(1))
-        first = mix(node + one * _MIXED + np.uint64(1))
-        hashed = (node, first, mix(node + two * _MIXED + np.uint64(2)), mix(first * _MIXED + two))
-        rows = np.stack([NODES + (x % size).astype(np.int64) for x in hashed], 1)
-        rows[:, 0] = np.where(which < NODES, which, rows[:, 0])  # the biases of held words' nodes are their own
-        return rows
-
-    @staticmethod
-    def log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        z = sum(weights[rows[:, k]] for k in range(rows.shape[1]))
+    """The start's shares by node, and the feature table with the rows that each node has in it per feature."""
+
+    def __init__(self, known: Vocabulary):
+        leaves = np.zeros(MEMBERS**LEVELS)
+        leaves[known.ranks] = known.counts + 1
+        leaves[HELD] = known.rest
+        grids = [leaves.reshape(MEMBERS**k, MEMBERS, -1).sum(2) for k in range(LEVELS)]
+        # Below the root only the classes of held words have nodes.
+        grids = [grids[0], *(g[: (MEMBERS - 1) * MEMBERS ** (k - 1)] for k, g in enumerate(grids) if k)]
+        self.first = np.cumsum([0, *map(len, grids)])
+        mass = np.concatenate(grids)
+        whole = mass.sum(1, keepdims=True)
+        self.share = np.where(whole > 0, mass / np.where(whole > 0, whole, 1), 1 / MEMBERS)
+        with np.errstate(divide="ignore"):
+            self.start = np.log(self.share).astype(np.float32).clip(-80)
+        rows = min(MOST_ROWS, max(LEAST_ROWS, int(ROWS_PER_ROOT * np.sqrt(known.tokens))))
+        # A node's rows are in proportion to its tokens, at least one per feature.
+        size = np.maximum(1, rows / len(RATES) * whole[:, 0] / max(1.0, whole.sum())).astype(np.int64)
+        self.size = size.astype(np.uint64)
+        self.begin = np.cumsum(size) - size
+        self.rows = int(size.sum())
+        self.table = np.zeros((self.rows * len(RATES), MEMBERS), np.float16)
+
+    def node_of(self, row: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.begin, row % self.rows, side="right") - 1
+
+    def steps(self, rank: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """From the root down: which of the tokens take a step here, their node, and the child taken."""
+        held = np.flatnonzero(rank < HELD)
+        for k in range(LEVELS):
+            chosen = np.arange(len(rank)) if k == 0 else held
+            own = rank[chosen]
+            yield chosen, self.first[k] + (own >> 4 * (LEVELS - k)), (own >> 4 * (LEVELS - 1 - k)) & (MEMBERS - 1)
+
+    def places(self, node: np.ndarray, hashed: list[np.ndarray]) -> list[np.ndarray]:
+        """The table row of each feature."""
+        begin, size = self.begin[node], self.size[node]
+        return [k * self.rows + begin + (h % size).astype(np.int64) for k, h in enumerate(hashed)]
+
+    def log_softmax(self, node: np.ndarray, places: list[np.ndarray]) -> np.ndarray:
+        z = self.start[node]
+        for place in places:
+            z = z + self.table[place]
         z -= z.max(1, keepdims=True)
         return z - np.log(np.exp(z).sum(1, keepdims=True))
 
-    def steps(self, symbol: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray | None, np.ndarray]]:
-        """From the root down: which of the symbols take a step here, their node (None is the root), and the child taken."""
-        yield np.arange(len(symbol)), None, np.minimum(symbol // MEMBERS ** (LEVELS - 1), CLASSES)
-        held, rare = np.flatnonzero(symbol < FREQUENT), np.flatnonzero(symbol >= FREQUENT)
-        rank, leaf = symbol[held], symbol[rare] - FREQUENT
-        for level in range(1, LEVELS):
-            above = rank >> 4 * (LEVELS - level)
-            yield held, (MEMBERS**level - MEMBERS) // (MEMBERS - 1) + above, (rank >> 4 * (LEVELS - 1 - level)) & 15
-        for level in range(self.digits):
-            above = leaf >> 4 * (self.digits - level)
-            yield rare, NODES + (MEMBERS**level - 1) // (MEMBERS - 1) + above, (leaf >> 4 * (self.digits - 1 - level)) & 15
-
-    def runs(self, history: np.ndarray, symbol: np.ndarray) -> Iterator[tuple]:
-        """For each step: its symbols, children, weights, the run of equal (history, node) of each, the runs' starts and feature rows."""
-        for chosen, node, child in self.steps(symbol):
-            if not len(chosen):
-                continue
-            own = history[chosen]
-            fresh = np.append(True, own[1:] != own[:-1])
-            if node is not None:
-                fresh[1:] |= node[1:] != node[:-1]
-            start = np.flatnonzero(fresh)
-            rows = self.features(own[start]) if node is None else self.word_features(own[start], node[start])
-            yield chosen, child, self.to_class if node is None else self.to_word, np.cumsum(fresh) - 1, start, rows
-
-    def log_probability(self, history: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """Natural logarithm for each event; that of a rarer word is its leaf's. Best sorted by history and symbol."""
-        out = np.zeros(len(symbol))
-        for chosen, child, weights, where, _, rows in self.runs(history, symbol):
-            out[chosen] += self.log_softmax(weights, rows)[where, child]
+    def log_probability(self, rank: np.ndarray, hashed: list[np.ndarray]) -> np.ndarray:
+        """Natural logarithm of each token's share; for a word that is not held that of all of them."""
+        out = np.zeros(len(rank))
+        for low in range(0, len(rank), _CHUNK):
+            part = slice(low, low + _CHUNK)
+            for chosen, node, child in self.steps(rank[part]):
+                own = self.log_softmax(node, self.places(node, [h[part][chosen] for h in hashed]))
+                out[part][chosen] += own[np.arange(len(chosen)), child]
         return out
 
-    def update(self, row: np.ndarray, step: np.ndarray) -> None:
-        """Adds the step of each row; those of `to_word` follow those of `to_class`."""
-        root = row < len(self.to_class)
-        self.to_class[row[root]] += step[root]
-        self.to_word[row[~root] - len(self.to_class)] += step[~root, :MEMBERS]
-
-
-def _scatter(out: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    for k in range(rows.shape[1]):
-        order = np.argsort(rows[:, k])
-        named = rows[order, k]
-        starts = np.flatnonzero(np.append(True, named[1:] != named[:-1]))
-        out[named[starts]] += np.add.reduceat(values[order], starts, axis=0)
-
-
-def gradient(model: Model, sums: dict[bool, np.ndarray], history: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> None:
-    """Adds to sums, by whether it is the root, each row's observed minus expected counts and beside them the expected ones."""
-    for chosen, child, weights, where, start, rows in model.runs(history, symbol):
-        times, width = n[chosen].astype(float), weights.shape[1]
-        expected = np.exp(model.log_softmax(weights, rows)) * np.add.reduceat(times, start)[:, None]
-        observed = np.bincount(where * width + child, times, len(start) * width).reshape(-1, width)
-        values = np.concatenate([observed - expected, expected], 1).astype(np.float32)
-        _scatter(sums[weights is model.to_class], rows, values)
-
-
-_WIDTH = CLASSES + 1
-
-
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The step of each row: along the summed gradient, scaled by curvature and the number of active features."""
-    row, sums = np.zeros(0, np.int64), np.zeros((0, 2 * _WIDTH))
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    for batch in [*batches, None]:
-        if batch is not None:
-            own = np.frombuffer(b"".join(batch.column("sums").to_pylist()), "<f4").reshape(-1, 2 * _WIDTH)
-            held.append((batch.column("row").to_numpy(), own))
-        if held and (batch is None or sum(len(r) for r, _ in held) > 1 << 16):
-            every, values = np.concatenate([row, *(r for r, _ in held)]), np.concatenate([sums, *(v for _, v in held)])
-            order = np.argsort(every, kind="stable")
-            starts = np.flatnonzero(np.append(True, every[order][1:] != every[order][:-1])[: len(every)])
-            row, sums, held = every[order][starts], np.add.reduceat(values[order], starts, axis=0) if len(starts) else sums, []
-    if len(row):
-        step = np.clip(0.25 * sums[:, :_WIDTH] / (sums[:, _WIDTH:] + 2.0), -1.0, 1.0).astype("<f4")
-        yield pa.record_batch({"row": pa.array(row), "step": pa.array([x.tobytes() for x in step], pa.binary())})
-
-
-def train(found: DataFrame, ranked: np.ndarray, rest: int, rounds: int = ROUNDS, digits: int = 1) -> Model:
-    """Rounds of updates, each from the sums of all tasks' gradients over all events."""
-    model = Model(ranked, rest, digits)
-    context = found.sparkSession.sparkContext
-    # One task per core: each ships its sums once.
-    found = found.coalesce(context.defaultParallelism)
-    for _ in range(rounds):
-        share = context.broadcast(model)
-
-        def run(batches: Iterator[pa.RecordBatch], share=share) -> Iterator[pa.RecordBatch]:
-            model, held, size = share.value, [], 0
-            sums: dict[bool, np.ndarray] = {}
-            for batch in itertools.chain(batches, [None]):
-                if batch is not None and batch.num_rows:
-                    held.append([batch.column(c).to_numpy() for c in ("history", "symbol", "n")])
-                    size += batch.num_rows
-                if held and (batch is None or size > 1 << 17):
-                    for root, weights in ((True, model.to_class), (False, model.to_word)):
-                        sums.setdefault(root, np.zeros((len(weights), 2 * weights.shape[1])))
-                    history, symbol, n = (np.concatenate(x) for x in zip(*held, strict=True))
-                    gradient(model, sums, history, symbol.astype(np.int64), n)
-                    held, size = [], 0
-            for root, own in sums.items():
-                width = own.shape[1] // 2
-                touched = np.flatnonzero(own[:, width:].any(1))
-                for low in range(0, len(touched), 1 << 14):
-                    at = touched[low : low + (1 << 14)]
-                    whole = np.zeros((len(at), 2, _WIDTH), "<f4")
-                    whole[:, :, :width] = own[at].reshape(-1, 2, width)
-                    row = at if root else at + len(model.to_class)
-                    yield pa.record_batch({"row": pa.array(row), "sums": pa.array([x.tobytes() for x in whole], pa.binary())})
-
-        parts = found.mapInArrow(run, "row long, sums binary").repartition("row")
-        rows = parts.mapInArrow(_added, "row long, step binary").toPandas()  # one row per row of the tables at most
+    def gather(self, observed: np.ndarray, expected: np.ndarray | None, rank: np.ndarray, hashed: list[np.ndarray]) -> None:
+        """Add what the rows observe; where it is not the start's, also what the model expects of them."""
+        for low in range(0, len(rank), _CHUNK):
+            part = slice(low, low + _CHUNK)
+            for chosen, node, child in self.steps(rank[part]):
+                places = self.places(node, [h[part][chosen] for h in hashed])
+                shares = None if expected is None else np.exp(self.log_softmax(node, places)).astype(np.float32)
+                for place in places:
+                    np.add.at(observed, place * MEMBERS + child, 1)
+                    if shares is not None:
+                        np.add.at(expected, place, shares)
+
+    def moves(self, row: np.ndarray, observed: np.ndarray, expected: np.ndarray | None) -> np.ndarray:
+        """How far each weight of the rows goes. At the start a row expects the shares of its node, for its tokens."""
+        prior = PRIOR * self.share[self.node_of(row)]
+        if expected is None:
+            expected = observed.sum(1, keepdims=True) * prior / PRIOR
+        rate = np.array(RATES)[row // self.rows][:, None]
+        tiny = 1e-30  # a child that no word has is neither observed nor expected
+        return rate * np.log((observed + prior + tiny) / (expected + prior + tiny))
+
+
+_ROWS_OUT = 1 << 13
+
+
+def train(training: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> Model:
+    """Rounds of updates, each from the sums over all tokens of all tasks."""
+    model = Model(known)
+    context = training.sparkSession.sparkContext
+    # One task per core: each ships its sums once, and reads its documents slice by slice.
+    texts = training.select("text").coalesce(context.defaultParallelism)
+    for number in range(rounds):
+        share = context.broadcast((model, known))
+
+        def run(batches: Iterator[pa.RecordBatch], share=share, number=number) -> Iterator[pa.RecordBatch]:
+            model, known = share.value
+            observed = np.zeros(model.table.size, np.int32)
+            expected = np.zeros(model.table.shape, np.float32) if number else None
+            for batch in slices(batches, "text", 4 << 20):
+                keys, text, _ = token_keys(batch)
+                model.gather(observed, expected, known.look(keys)[0], histories(keys, text))
+            observed = observed.reshape(-1, MEMBERS)
+            touched = np.flatnonzero(observed.any(1))
+            for low in range(0, len(touched), _ROWS_OUT):
+                row = touched[low : low + _ROWS_OUT]
+                columns = {"row": pa.array(row), "seen": _cells(observed[row].astype("<i4"))}
+                columns["due"] = pa.nulls(len(row), pa.binary()) if expected is None else _cells(expected[row].astype("<f4"))
+                yield pa.record_batch(columns)
+
+        def add(batches: Iterator[pa.RecordBatch], share=share, number=number) -> Iterator[pa.RecordBatch]:
+            """Rows of one number follow each other: each run of them is summed, the last one with the next batch."""
+            model, (held, seen, due) = share.value[0], (np.zeros(0, np.int64), np.zeros((0, MEMBERS)), np.zeros((0, MEMBERS)))
+            for batch in _and_none(batches):
+                if batch is not None:
+                    held = np.concatenate([held, batch.column("row").to_numpy()])
+                    seen = np.concatenate([seen, _values(batch.column("seen"), "<i4")])
+                    if number:
+                        due = np.concatenate([due, _values(batch.column("due"), "<f4")])
+                if not len(held):
+                    continue
+                starts = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
+                row, sums = held[starts], np.add.reduceat(seen, starts)
+                owed = np.add.reduceat(due, starts) if number else None
+                done = len(row) if batch is None else len(row) - 1
+                if done:
+                    step = model.moves(row[:done], sums[:done], None if owed is None else owed[:done]).astype("<f2")
+                    yield pa.record_batch({"row": pa.array(row[:done]), "step": _cells(step)})
+                held, seen = row[done:], sums[done:]
+                due = owed[done:] if number else due
+
+        sums = texts.mapInArrow(run, "row long, seen binary, due binary").repartition("row").sortWithinPartitions("row")
+        rows = sums.mapInArrow(add, "row long, step binary").toPandas()  # MOST_ROWS a feature at most
         if len(rows):
-            step = np.frombuffer(b"".join(rows["step"]), "<f4").reshape(-1, _WIDTH)
-            model.update(rows["row"].to_numpy(np.int64), step)
+            model.table[rows["row"].to_numpy(np.int64)] += np.frombuffer(b"".join(rows["step"]), "<f2").reshape(-1, MEMBERS)
         share.unpersist()
     return model
 
 
+def _cells(values: np.ndarray) -> pa.Array:
+    return pa.FixedSizeBinaryArray.from_buffers(
+        pa.binary(values.dtype.itemsize * MEMBERS), len(values), [None, pa.py_buffer(np.ascontiguousarray(values).tobytes())]
+    ).cast(pa.binary())
+
+
+def _values(column: pa.Array, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, MEMBERS).astype(float)
+
+
+def _and_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
 def score_slice(model: Model, known: Vocabulary, batch: pa.RecordBatch) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
-    """Per text: n_tokens, known, base, score but for the share of rarer words in their leaf. Per text and rarer word: text, key, n."""
-    keys, text, words = token_keys(batch)
+    """Per text: n_tokens, known, base, score but for the share of other words in their class. Per text and other word: text, key, n."""
+    keys, text, _ = token_keys(batch)
     rows = batch.num_rows
-    symbol, count = known.look(keys)
-    one, two = _histories(symbol, text)
-    history = two * SYMBOLS + one
-    order, new = _order(history, symbol)
-    log = np.empty(len(order))
-    log[order] = np.repeat(model.log_probability(history[order][new], symbol[order][new]), np.diff(np.append(new, len(order))))
+    rank, count = known.look(keys)
+    log = model.log_probability(rank, histories(keys, text))
     held = count >= 0
     base = np.where(held, np.log10((np.maximum(count, 0) + 1) / (known.tokens + known.distinct + 1)), 0.0)
     total = lambda x: np.bincount(text, x, rows)
     per_text = {
-        "n_tokens": np.bincount(text, minlength=rows), "known": total(held).astype(np.int64),
-        "base": total(base), "score": total(log / np.log(10)),
+        "n": np.bincount(text, minlength=rows), "known": total(held).astype(np.int64), "base": total(base),
+        "score": total(log / np.log(10)),
     }
     rare = np.flatnonzero(~held)
     order = rare[np.lexsort((keys[rare], text[rare]))]
-    new = np.flatnonzero(np.append(True, (keys[order][1:] != keys[order][:-1]) | (text[order][1:] != text[order][:-1])))
-    if not len(order):
-        new = new[:0]
-    n = np.diff(np.append(new, len(order)))
-    return per_text, {"text": text[order][new], "key": keys[order][new], "leaf": symbol[order][new], "n": n}
+    new = np.append(True, (keys[order][1:] != keys[order][:-1]) | (text[order][1:] != text[order][:-1]))[: len(order)]
+    at = np.flatnonzero(new)
+    n = np.diff(np.append(at, len(order)))
+    return per_text, {"text": text[order][at], "key": keys[order][at], "n": n}
 
 
 def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -342,70 +294,55 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
     Learns from the rows whose crc32(doc_id) mod 7 is not 2 (a null id is among them). base_score is the add-one unigram log10
     probability, score the model's. A null text counts as empty: one token, the end. Words are told apart by 64-bit hashes.
-    Rows of equal doc_id and text have equal results, one row each; other columns are ignored. With nothing to
-    learn from, all tokens are unknown.
+    Every row has its own result, repeated ones too; other columns are ignored. With nothing to learn from, all tokens
+    are unknown and score is base_score.
     """
     ship_package()
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     training = docs.where(~held_out())
     counts = word_counts(training)
-    known, ranked = vocabulary(counts)
-    model = train(events(training, known), ranked, known.rest_tokens, rounds, known.digits)
-    share = spark.sparkContext.broadcast((model, known))
+    known = vocabulary(counts)
+    share = spark.sparkContext.broadcast((train(training, known, rounds), known))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = share.value
+        (model, known), part, done = share.value, TaskContext.get().partitionId(), 0
         for batch in slices(batches, "text", 2 << 20):
-            ids, mark = batch.column("doc_id"), batch.column("mark")
             texts, rare = score_slice(model, known, batch)
             rows, more = batch.num_rows, len(rare["n"])
             yield pa.record_batch(
                 {
-                    "doc_id": ids, "mark": mark, "key": pa.nulls(rows, pa.int64()), "leaf": pa.nulls(rows, pa.int64()),
-                    "n": pa.array(texts["n_tokens"], pa.int64()),
-                    "known": pa.array(texts["known"]), "base": pa.array(texts["base"]), "score": pa.array(texts["score"]),
+                    "part": pa.array(np.full(rows, part, np.int64)), "at": pa.array(np.arange(done, done + rows)),
+                    "doc_id": batch.column("doc_id"), "key": pa.nulls(rows, pa.int64()),
+                    **{name: pa.array(values) for name, values in texts.items()},
                 }
             )
             if more:
-                at = pa.array(rare["text"])
                 yield pa.record_batch(
                     {
-                        "doc_id": ids.take(at), "mark": mark.take(at), "key": pa.array(rare["key"]), "leaf": pa.array(rare["leaf"]),
-                        "n": pa.array(rare["n"], pa.int64()),
-                        "known": pa.nulls(more, pa.int64()), "base": pa.nulls(more, pa.float64()), "score": pa.nulls(more, pa.float64()),
+                        "part": pa.array(np.full(more, part, np.int64)), "at": pa.array(rare["text"] + done),
+                        "doc_id": pa.nulls(more, batch.column("doc_id").type), "key": pa.array(rare["key"]),
+                        "n": pa.array(rare["n"]), "known": pa.nulls(more, pa.int64()),
+                        "base": pa.nulls(more, pa.float64()), "score": pa.nulls(more, pa.float64()),
                     }
                 )
+            done += rows
 
-    schema = f"doc_id {kind}, mark int, key long, leaf long, n long, known long, base double, score double"
-    marked = docs.withColumn("mark", F.hash("text"))
-    parts = written(marked.mapInArrow(run, schema), "scored")
-    whole = parts.where("key IS NULL").drop("key", "leaf")
-
-    def leaf_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = share.value[1]
-        for batch in batches:
-            symbol, held = known.look(batch.column("key").to_numpy())
-            rarer = held < 0
-            yield pa.record_batch({"leaf": pa.array(symbol[rarer]), "c": batch.column("c").filter(pa.array(rarer))})
-
-    # The words of a leaf, and one that was never seen.
-    leaves = counts.mapInArrow(leaf_of, "leaf long, c long").groupBy("leaf").agg(F.sum(F.col("c") + 1).alias("whole"))
+    schema = f"part long, at long, doc_id {kind}, key long, n long, known long, base double, score double"
+    parts = written(docs.mapInArrow(run, schema), "scored")
+    whole = parts.where("key IS NULL").drop("key")
     c = F.coalesce("c", F.lit(0))
-    rare = parts.where("key IS NOT NULL").select("doc_id", "mark", "key", "leaf", "n").join(counts, "key", "left").join(leaves, "leaf", "left")
-    rare = rare.select(
-        "doc_id", "mark", F.lit(None).cast("long").alias("n"), F.when(c > 0, F.col("n")).otherwise(F.lit(0)).alias("known"),
+    rare = parts.where("key IS NOT NULL").select("part", "at", "key", "n").join(counts, "key", "left").select(
+        "part", "at", F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("long").alias("n"),
+        F.when(c > 0, F.col("n")).otherwise(F.lit(0)).alias("known"),
         (F.col("n") * F.log10((c + 1) / F.lit(float(known.tokens + known.distinct + 1)))).alias("base"),
-        (F.col("n") * F.log10((c + 1) / (F.coalesce("whole", F.lit(0)) + 1))).alias("score"),
-    )
-    summed = whole.union(rare).groupBy("doc_id", "mark").agg(
-        F.count("n").alias("rows"), F.sum("n").alias("n"), F.sum("known").alias("known"),
-        F.sum("base").alias("base"), F.sum("score").alias("score"),
+        (F.col("n") * F.log10((c + 1) / F.lit(float(known.rest)))).alias("score"),
     )
-    each = summed.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    each = whole.unionByName(rare).groupBy("part", "at").agg(
+        F.max("doc_id").alias("doc_id"), *(F.sum(x).alias(x) for x in ("n", "known", "base", "score"))
+    )
     return each.select(
-        "doc_id", held_out().alias("held_out"), (F.col("n") / F.col("rows")).cast("long").alias("n_tokens"),
-        (F.col("known") / F.col("rows")).cast("long").alias("n_known"), F.lit(known.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") / F.col("rows")).alias("base_score"), (F.col("score") / F.col("rows")).alias("score"),
+        "doc_id", held_out().alias("held_out"), F.col("n").alias("n_tokens"), F.col("known").alias("n_known"),
+        F.lit(known.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score",
     )
