@@ -37,7 +37,7 @@ _LOWER_VALUES = _VALUES[_LOWER]
 
 def powers(base: np.uint64, n: int, name: str) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64; kept for the next call."""
-    if len(_powers.get(name, ())) < n:
+    if name not in _powers or len(_powers[name]) < n:
         steps = np.full(max(n, SLICE_BYTES + 1), base, np.uint64)
         steps[0] = 1
         kept = np.multiply.accumulate(steps)
