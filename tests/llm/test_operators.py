@@ -111,7 +111,7 @@ def test_language_model_sums_to_one():
     keys = np.sort(rng.choice(1 << 40, 5000, False))
     known = maxent.Vocabulary(keys, rng.permutation(5000), rng.integers(1, 50, 5000), 200_000, 9000)
     model = maxent.Model(known)
-    hashed = [np.full(5001, 77, np.uint64)] * 3
+    hashed = [np.full(5001, 77 << 40, np.uint64)] * 3
     ranks = np.append(np.arange(5000), maxent.HELD)
     # The start is the add-one unigram; moved, it still is a distribution over the held words and the rest of them.
     start = np.exp(model.log_probability(ranks, hashed))
@@ -120,7 +120,7 @@ def test_language_model_sums_to_one():
     assert np.allclose(start[:-1], (by_rank + 1) / (200_000 + 9000 + 1)) and np.isclose(start[-1], known.rest / 209_001)
     model.table[:] = rng.normal(size=model.table.shape)
     every = np.append(np.arange(maxent.HELD), maxent.HELD)
-    assert np.isclose(np.exp(model.log_probability(every, [np.full(len(every), 5, np.uint64)] * 3)).sum(), 1)
+    assert np.isclose(np.exp(model.log_probability(every, [np.full(len(every), 5 << 50, np.uint64)] * 3)).sum(), 1)
 
 
 def test_language_model_beats_the_base_on_held_out_texts(spark, sf_dir):

@@ -133,7 +133,7 @@ class Model:
         whole = mass.sum(1, keepdims=True)
         self.share = np.where(whole > 0, mass / np.where(whole > 0, whole, 1), 1 / MEMBERS)
         with np.errstate(divide="ignore"):
-            self.start = np.log(self.share).astype(np.float32).clip(-80)
+            self.start = np.log(self.share).astype(np.float32).clip(-60)
         rows = min(MOST_ROWS, max(LEAST_ROWS, int(ROWS_PER_ROOT * np.sqrt(known.tokens))))
         # A node's rows are in proportion to its tokens, at least one per feature.
         size = np.maximum(1, rows / len(RATES) * whole[:, 0] / max(1.0, whole.sum())).astype(np.int64)
@@ -145,46 +145,54 @@ class Model:
     def node_of(self, row: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.begin, row % self.rows, side="right") - 1
 
-    def steps(self, rank: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """From the root down: which of the tokens take a step here, their node, and the child taken."""
-        held = np.flatnonzero(rank < HELD)
+    def steps(self, rank: np.ndarray, hashed: list[np.ndarray]) -> Iterator[tuple]:
+        """From the root down: which of the tokens take a step here, their node, the child taken, and their histories."""
+        chosen, own = np.arange(len(rank)), hashed
         for k in range(LEVELS):
-            chosen = np.arange(len(rank)) if k == 0 else held
-            own = rank[chosen]
-            yield chosen, self.first[k] + (own >> 4 * (LEVELS - k)), (own >> 4 * (LEVELS - 1 - k)) & (MEMBERS - 1)
+            if k == 1:
+                chosen = np.flatnonzero(rank < HELD)
+                rank, own = rank[chosen], [h[chosen] for h in hashed]
+            yield chosen, self.first[k] + (rank >> 4 * (LEVELS - k)), (rank >> 4 * (LEVELS - 1 - k)) & (MEMBERS - 1), own
 
     def places(self, node: np.ndarray, hashed: list[np.ndarray]) -> list[np.ndarray]:
-        """The table row of each feature."""
-        begin, size = self.begin[node], self.size[node]
-        return [k * self.rows + begin + (h % size).astype(np.int64) for k, h in enumerate(hashed)]
-
-    def log_softmax(self, node: np.ndarray, places: list[np.ndarray]) -> np.ndarray:
+        """The table row of each feature: the upper half of the hash, taken as a fraction of the node's rows."""
+        begin, size, half = self.begin[node], self.size[node], np.uint64(32)
+        return [begin + ((h >> half) * size >> half).astype(np.int64) + k * self.rows for k, h in enumerate(hashed)]
+
+    def weights(self, node: np.ndarray, places: list[np.ndarray]) -> np.ndarray:
+        """Logarithm of each child's share but for their common sum. They stay within what a float32 can hold the power of:
+        the start is at most 0, and a row moves by the logarithm of counts.
+        """
         z = self.start[node]
         for place in places:
-            z = z + self.table[place]
-        z -= z.max(1, keepdims=True)
-        return z - np.log(np.exp(z).sum(1, keepdims=True))
+            z += self.table[place]
+        return z
 
     def log_probability(self, rank: np.ndarray, hashed: list[np.ndarray]) -> np.ndarray:
         """Natural logarithm of each token's share; for a word that is not held that of all of them."""
         out = np.zeros(len(rank))
         for low in range(0, len(rank), _CHUNK):
             part = slice(low, low + _CHUNK)
-            for chosen, node, child in self.steps(rank[part]):
-                own = self.log_softmax(node, self.places(node, [h[part][chosen] for h in hashed]))
-                out[part][chosen] += own[np.arange(len(chosen)), child]
+            for chosen, node, child, own in self.steps(rank[part], [h[part] for h in hashed]):
+                z = self.weights(node, self.places(node, own))
+                taken = z[np.arange(len(child)), child]
+                out[part][chosen] += taken - np.log(np.exp(z, out=z).sum(1))
         return out
 
     def gather(self, observed: np.ndarray, expected: np.ndarray | None, rank: np.ndarray, hashed: list[np.ndarray]) -> None:
         """Add what the rows observe; where it is not the start's, also what the model expects of them."""
         for low in range(0, len(rank), _CHUNK):
             part = slice(low, low + _CHUNK)
-            for chosen, node, child in self.steps(rank[part]):
-                places = self.places(node, [h[part][chosen] for h in hashed])
-                shares = None if expected is None else np.exp(self.log_softmax(node, places)).astype(np.float32)
+            for _, node, child, own in self.steps(rank[part], [h[part] for h in hashed]):
+                places = self.places(node, own)
+                if expected is not None:
+                    shares = np.exp(self.weights(node, places))
+                    shares /= shares.sum(1, keepdims=True)
                 for place in places:
-                    np.add.at(observed, place * MEMBERS + child, 1)
-                    if shares is not None:
+                    cell = np.sort(place * MEMBERS + child)
+                    new = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])[: len(cell)])
+                    observed[cell[new]] += np.diff(np.append(new, len(cell))).astype(observed.dtype)
+                    if expected is not None:
                         np.add.at(expected, place, shares)
 
     def moves(self, row: np.ndarray, observed: np.ndarray, expected: np.ndarray | None) -> np.ndarray:
