@@ -249,14 +249,14 @@ def train(training: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> Model
                 done = len(row) if batch is None else len(row) - 1
                 if done:
                     step = model.moves(row[:done], sums[:done], None if owed is None else owed[:done]).astype("<f2")
-                    yield pa.record_batch({"row": pa.array(row[:done]), "step": _cells(step)})
+                    yield pa.record_batch({"rows": pa.array([row[:done].astype("<i8").tobytes()]), "steps": pa.array([step.tobytes()])})
                 held, seen = row[done:], sums[done:]
                 due = owed[done:] if number else due
 
         sums = texts.mapInArrow(run, "row long, seen binary, due binary").repartition("row").sortWithinPartitions("row")
-        rows = sums.mapInArrow(add, "row long, step binary").toPandas()  # MOST_ROWS a feature at most
-        if len(rows):
-            model.table[rows["row"].to_numpy(np.int64)] += np.frombuffer(b"".join(rows["step"]), "<f2").reshape(-1, MEMBERS)
+        # MOST_ROWS of them at most, thousands to a record.
+        for rows, steps in zip(*sums.mapInArrow(add, "rows binary, steps binary").toArrow().columns, strict=True):
+            model.table[np.frombuffer(rows.as_buffer(), "<i8")] += np.frombuffer(steps.as_buffer(), "<f2").reshape(-1, MEMBERS)
         share.unpersist()
     return model
 
