@@ -266,6 +266,9 @@ def test_packing(docs, texts, none):
         held[1].extend(ids)
     assert ordered(rows) == want
     assert packing.pack(none).count() == 0
+    # The tokens of the first pass are cut where they lie.
+    plan = packing.pack(docs, ids=False)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
 
 
 def test_byte_bpe(docs, texts, none):

@@ -68,15 +68,15 @@ def pack(docs: DataFrame, path: str = VOCABULARY, length: int = SEQUENCE, end: i
     tokens = encoded(docs, path, end)
     # One row per task of the first pass, not per document.
     totals = sorted(tuple(r) for r in tokens.groupBy("part").agg(F.sum("doc_tokens")).collect())
-    bases = zip([p for p, _ in totals], accumulate((n for _, n in totals), initial=0), strict=False)
-    # A local table: Spark sees its size and broadcasts it only under its threshold.
-    base = docs.sparkSession.createDataFrame(list(bases), "part long, base long")
+    # Each task of the second pass has them all and adds them itself: the tokens stay where they were written.
+    bases = dict(zip([p for p, _ in totals], accumulate((n for _, n in totals), initial=0), strict=False))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "ids"):
             docs_, rows, crcs, parts = batch.column("doc_id"), [], [], []
-            columns = (batch.column(n).to_pylist() for n in ("ids", "doc_tokens", "begin"))
-            for at, (raw, size, begin) in enumerate(zip(*columns, strict=True)):
+            columns = (batch.column(n).to_pylist() for n in ("ids", "doc_tokens", "part", "in_part"))
+            for at, (raw, size, part, in_part) in enumerate(zip(*columns, strict=True)):
+                begin = bases[part] + in_part
                 own = np.frombuffer(raw, f"<u{len(raw) // size}").astype("<u4").tobytes()
                 first = -(begin % length)
                 for start in range(first, size, length):
@@ -94,5 +94,4 @@ def pack(docs: DataFrame, path: str = VOCABULARY, length: int = SEQUENCE, end: i
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    located = tokens.join(base, "part").select("doc_id", "ids", "doc_tokens", (F.col("base") + F.col("in_part")).alias("begin"))
-    return located.mapInArrow(cut, schema + (", ids binary" if ids else ""))
+    return tokens.mapInArrow(cut, schema + (", ids binary" if ids else ""))
