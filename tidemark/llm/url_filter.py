@@ -131,7 +131,9 @@ def train(labelled: DataFrame, buckets: int = BUCKETS, steps: int = STEPS, bound
     )
     every = labelled.sparkSession.range(buckets + 1).select(F.col("id").cast("int").alias("b")).join(places, "b", "left")
     held = every.agg(F.sort_array(F.collect_list(F.struct("b", "at"))).alias("held"))
-    one = told.withColumn("k", F.lit(1)).join(held.withColumn("k", F.lit(1)), "k")
+    # Two rows made one.
+    both = told.unionByName(held, allowMissingColumns=True)
+    one = both.agg(*(F.first(c, ignorenulls=True).alias(c) for c in ("seen", "held")))
     n = F.greatest(F.size("seen"), F.lit(1))
 
     def step(w: Column, _: Column) -> Column:
