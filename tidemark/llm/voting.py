@@ -204,11 +204,15 @@ def _scored(docs: DataFrame, labels: DataFrame, bound: int, carry: bool) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, basis, labelled, label = share.value
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(map(with_text, batches) if carry else batches, "text", 2 << 20):
             scores = vote(_project(batch, idf, basis), labelled, label)
             out = {"doc_id": batch.column("doc_id"), "score": pa.array(scores)}
             yield pa.record_batch(out | ({"row": batch.column("row")} if carry else {}))
 
+    def with_text(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """The text is that within the row: it travels once."""
+        return batch.append_column("text", batch.column("row").field("text"))
+
     # Packed away, other columns keep out of the way of names used here.
-    columns = ["doc_id", "text", *([F.struct("*").alias("row")] if carry else [])]
+    columns = ["doc_id", F.struct("*").alias("row") if carry else "text"]
     return docs.select(*columns).mapInArrow(run, f"doc_id {kind}, score double{row}")
