@@ -351,7 +351,8 @@ def test_packing_added_tokens(spark):
 
 
 def test_near_vectors_in_pairs(spark, monkeypatch):
-    """Pairs near the threshold, each alone among many vectors and beside one large group, are all found."""
+    """Pairs near the threshold, each alone among many vectors and beside one large group, are all found, and by the descent alone:
+    with few cells to start from, the audit fails without rounds."""
     rng = np.random.default_rng(8)
     one = rng.normal(size=(1500, 24))
     one /= np.linalg.norm(one, axis=1)[:, None]
@@ -363,16 +364,22 @@ def test_near_vectors_in_pairs(spark, monkeypatch):
     unit = x / np.linalg.norm(x, axis=1)[:, None]
     link = unit @ unit.T >= 0.9
     np.fill_diagonal(link, False)
-    monkeypatch.setattr(descent, "MEET", 256, raising=False)
-    got = descent.near_duplicates(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")).collect()
+    monkeypatch.setattr(descent, "CELL", 24)
+    monkeypatch.setattr(descent, "TABLES", 3)
+    vectors = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    got = descent.near_duplicates(vectors).collect()
     assert [r["n_links"] for r in sorted(got)] == link.sum(1).tolist()
     assert all(r["component_id"] <= r["vec_id"] - 1500 for r in got if 1500 <= r["vec_id"] < 3000)
+    monkeypatch.setattr(descent, "ROUNDS", (0, 0))
+    with pytest.raises(RuntimeError, match="audited"):
+        descent.near_duplicates(vectors)
 
 
-def test_near_vectors_tables():
-    for n in (10, 2000, 50_000, 10**7):
-        bits, count = descent.tables(n, 0.9)
-        assert n / 2**bits <= descent.MEET and (1 - (1 - np.arccos(0.9) / np.pi) ** bits) ** count <= descent.MISS
+def test_near_vectors_empty(spark):
+    none = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert descent.near_duplicates(none).count() == 0
+    alone = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, None)], none.schema)
+    assert sorted(map(tuple, descent.near_duplicates(alone).collect())) == [(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True)]
 
 
 def test_votes_sample_is_bounded(spark):
