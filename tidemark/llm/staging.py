@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only where none is set, as in tests."""
+    """The session's checkpoint folder; a temporary one only in a local session that sets none, as in tests, else an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         folder = current.get() if current.isDefined() else None
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="stages-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
