@@ -389,3 +389,23 @@ def test_votes_sample_is_bounded(spark):
     chosen = voting.sample(docs, labels, 100).collect()
     assert len(chosen) == len({r["doc_id"] for r in chosen}) > 10
     assert all(r["text"] in [t for i, t in rows if i == r["doc_id"]] and r["quality"] == r["doc_id"] % 2 for r in chosen)
+
+
+def test_parity_bitmaps_never_rule_out_similar_sets(spark):
+    random.seed(11)
+    rows = []
+    for size in (1, 3, 40, 400, 5000):
+        base = [random.getrandbits(64) for _ in range(size)]
+        for gone in (0, 1, size // 20, size // 10, size // 2):
+            other = base[gone:] + [random.getrandbits(64) for _ in range(gone // 2)]
+            rows.append((base, other))
+    table, similar = [], []
+    for x, y in rows:
+        bits = [minhash.parity(np.array(sorted(z), np.uint64)) for z in (x, y)]
+        apart = sum(((a ^ b) & (2**64 - 1)).bit_count() for a, b in zip(*bits, strict=True))
+        assert apart <= len(set(x) ^ set(y))
+        table.append((*bits, len(x), len(y)))
+        similar.append(100 * len(set(x) & set(y)) >= 85 * len(set(x) | set(y)))
+    frame = spark.createDataFrame(table, "x array<long>, y array<long>, nx long, ny long").coalesce(1)
+    may = [r[0] for r in frame.select(minhash.may_be_alike("x", "y", F.col("nx"), F.col("ny"), (85, 100))).collect()]
+    assert all(m for m, s in zip(may, similar, strict=True) if s) and any(similar) and not all(may)

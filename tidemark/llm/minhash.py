@@ -3,9 +3,9 @@
 Two permutations make the whole signature: the first scatters the shingles, the second is applied to the result shifted
 round by k steps for coordinate k. Documents with the same shingle set are one class; classes that agree in a band share a
 bucket. First every class is compared with the smallest of its buckets; then, wherever a bucket still holds several
-components, with those of other components there that have a common shingle far enough in front among their rarest. So no
-link between candidates that matters is left out, a bucket of many copies costs one comparison each, and copies of one
-text that are each too far from the others are not compared in pairs.
+components, with those of other components there that have a common shingle far enough in front among their rarest and whose
+parity bitmaps do not rule a link out. So no link between candidates that matters is left out, a bucket of many copies costs
+one comparison each, and copies of one text that are each too far from the others are not compared in pairs.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.shipping import ship_package
@@ -29,6 +29,9 @@ BANDS, ROWS = 42, 8
 #: Words of a shingle, and the least similarity of linked documents.
 SHINGLE, SIMILARITY = 5, (85, 100)
 
+#: 64-bit words of a set's parity bitmap.
+PARITY = 16
+
 _STEP = np.uint32(0x9E3779B1)
 
 
@@ -69,6 +72,19 @@ def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray]]:
         yield int(row), np.unique(part)
 
 
+def parity(x: np.ndarray) -> list[int]:
+    """Bitmap of the parities of how many shingles fall on each bit: two sets differ in at least as many shingles as bitmaps in bits."""
+    odd = np.bincount((x % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
+def may_be_alike(x: str, y: str, nx: Column, ny: Column, similarity: tuple[int, int]) -> Column:
+    """False only where the bitmaps x and y of sets of nx and ny shingles show more differences than similar sets have."""
+    least, whole = similarity
+    differences = sum((F.bit_count(F.col(x)[k].bitwiseXOR(F.col(y)[k])) for k in range(PARITY)), F.lit(0))
+    return (least + whole) * differences <= (whole - least) * (nx + ny)
+
+
 def mark():
     """Hash of a row's text, which tells apart rows of one doc_id."""
     return F.xxhash64(F.coalesce("text", F.lit("")))
@@ -124,11 +140,12 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> D
 
 
 def alike_in_size(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) whose sets are not too different in size to be similar; that needs no set."""
+    """The pairs (a, b) whose sets are not too different in size and bitmap to be similar; that needs no set."""
     least, whole = similarity
-    sized = sets.select("node", "size")
-    both = pairs.join(sized.toDF("a", "na"), "a").join(sized.toDF("b", "nb"), "b")
-    return both.where(whole * F.least("na", "nb") >= least * F.greatest("na", "nb")).select("a", "b")
+    sized = sets.select("node", "size", "parity")
+    both = pairs.join(sized.toDF("a", "na", "pa"), "a").join(sized.toDF("b", "nb", "pb"), "b")
+    near = may_be_alike("pa", "pb", F.col("na"), F.col("nb"), similarity)
+    return both.where((whole * F.least("na", "nb") >= least * F.greatest("na", "nb")) & near).select("a", "b")
 
 
 def meetings(mixed: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -136,7 +153,8 @@ def meetings(mixed: DataFrame, sets: DataFrame, similarity: tuple[int, int]) ->
 
     The shingles of a set are put in order, those that fewest sets have first. Of two sets with `need` common shingles,
     the first common one has at least need - 1 others behind it in both. So only the foremost shingles of a set are
-    joined, which copies with edits of their own mostly have alone, and no pair that is similar enough is left out.
+    joined, which copies with edits of their own mostly have alone, and of two sets that meet there the bitmaps are compared
+    before a pair is made. No pair that is similar enough is left out by either.
     """
     least, whole = similarity
     ship_package()
@@ -154,16 +172,17 @@ def meetings(mixed: DataFrame, sets: DataFrame, similarity: tuple[int, int]) ->
     behind = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("n"), F.desc("shingle")))
     heads = (
         each.join(often, "shingle").withColumn("left", behind)
-        .join(sets.select("node", "size"), "node")
+        .join(sets.select("node", "size", "parity"), "node")
         .where(whole * F.col("left") >= least * F.col("size"))
         .join(mixed, "node")
     )
-    heads = written(heads.select("shingle", "node", "component", "buckets", "size", "left"), "foremost-shingles")
+    heads = written(heads.select("shingle", "node", "component", "buckets", "size", "parity", "left"), "foremost-shingles")
     x, y = heads.alias("x"), heads.alias("y")
     common = F.least("x.left", "y.left")
     can = (
         (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
         & ((least + whole) * common >= least * (F.col("x.size") + F.col("y.size")))
+        & may_be_alike("x.parity", "y.parity", F.col("x.size"), F.col("y.size"), similarity)
         & F.arrays_overlap("x.buckets", "y.buckets")
     )
     return x.join(y, can).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
@@ -207,13 +226,14 @@ def marked(
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            found = [(hashlib.md5(x.tobytes()).digest(), len(x), x.tobytes()) for _, x in _sets(batch, size)]
+            found = [(hashlib.md5(x.tobytes()).digest(), len(x), parity(x), x.tobytes()) for _, x in _sets(batch, size)]
             if found:
-                node, n, x = zip(*found, strict=True)
-                yield pa.record_batch({"node": pa.array(node, pa.binary()), "size": pa.array(n, pa.int64()), "set": pa.array(x, pa.binary())})
+                kinds = (pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary())
+                columns = [pa.array(c, kind) for c, kind in zip(zip(*found, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "size", "parity", "set"])
 
     texts = docs.select("doc_id", "text").join(chosen.select("doc_id").distinct(), "doc_id").select("text")
-    sets = texts.mapInArrow(gather, "node binary, size long, set binary")
+    sets = texts.mapInArrow(gather, "node binary, size long, parity array<long>, set binary")
     sets = written(sets.dropDuplicates(["node"]), "shingle-sets")
 
     ordered = (F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
