@@ -200,7 +200,9 @@ def test_near_vectors(spark):
     assert ordered(map(tuple, got)) == ordered(want)
 
 
-def test_repeated_bytes(docs, texts, none):
+@pytest.mark.parametrize("crowd", [1, suffixes.CROWD])
+def test_repeated_bytes(docs, texts, none, crowd, monkeypatch):
+    monkeypatch.setattr(suffixes, "CROWD", crowd)
     raw = [(t or "").encode() for _, t in texts]
     count = collections.Counter(t[i : i + 60] for t in raw for i in range(len(t) - 59))
     want = []
@@ -409,3 +411,25 @@ def test_parity_bitmaps_never_rule_out_similar_sets(spark):
     frame = spark.createDataFrame(table, "x array<long>, y array<long>, nx long, ny long").coalesce(1)
     may = [r[0] for r in frame.select(minhash.may_be_alike("x", "y", F.col("nx"), F.col("ny"), (85, 100))).collect()]
     assert all(m for m, s in zip(may, similar, strict=True) if s) and any(similar) and not all(may)
+
+
+def test_maximal_repeats_against_every_pair():
+    random.seed(3)
+    alike = lambda a, b: next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))  # noqa: E731, B905
+    some = 0
+    for _ in range(600):
+        letters = random.choice([b"ab", b"a\0", b"abc"])
+        say = lambda n: bytes(random.choice(letters) for _ in range(random.randint(0, n)))  # noqa: B023, E731
+        before, after = say(10), say(10)
+        contexts = {(say(4) + before[random.randint(0, len(before)) :], b"#" + after[: random.randint(0, 10)] + say(4), 1) for _ in range(12)}
+        contexts, length = sorted(contexts), random.randint(2, 12)
+        for i, spans in enumerate(suffixes.maximal_repeats(contexts, length)):
+            pairs = {
+                (alike(contexts[i][0][::-1], b[::-1]), alike(contexts[i][1], a)) for j, (b, a, _) in enumerate(contexts) if j != i
+            }
+            pairs = {(x, y) for x, y in pairs if x + y >= length}
+            # Of what it shares with the others, what no other repeat contains.
+            want = {(-x, y) for x, y in pairs if not any((u, v) != (x, y) and u >= x and v >= y for u, v in pairs)}
+            assert sorted(spans) == sorted(want)
+            some += len(spans) > 1
+    assert some

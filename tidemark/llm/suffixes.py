@@ -8,7 +8,7 @@ the left, where they agree it goes on. So each interval gives maximal repeats wi
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,37 +39,77 @@ def common(a: bytes, b: bytes) -> int:
     return low
 
 
-def intervals(prefixes: list[int]) -> Iterator[tuple[int, int, int]]:
-    """(depth, first, last) of every interval of the tree, from the common prefixes of sorted neighbours."""
-    stack: list[tuple[int, int]] = []
-    for i, depth in enumerate([*prefixes, -1]):
-        first = i
+class Aligned:
+    """Byte strings as numbers of one width: a common prefix is read off one exclusive or."""
+
+    def __init__(self, strings: list[bytes]):
+        self.width = max(map(len, strings))
+        self.size = list(map(len, strings))
+        self.number = [int.from_bytes(s.ljust(self.width, b"\0")) for s in strings]
+
+    def common(self, i: int, j: int) -> int:
+        """Length of the common prefix of strings i and j."""
+        equal = self.width - (((self.number[i] ^ self.number[j]).bit_length() + 7) >> 3)
+        return min(equal, self.size[i], self.size[j])
+
+    def neighbours(self, order: list[int]) -> list[int]:
+        return [self.common(i, j) for i, j in zip(order, order[1:], strict=False)]
+
+    def reach(self, order: list[int]) -> dict[int, int]:
+        """Of each string in a sorted order: its longest prefix that another one has."""
+        shared = self.neighbours(order)
+        return {i: max(before, after) for i, before, after in zip(order, [0, *shared], [*shared, 0], strict=True)}
+
+
+Visit = Callable[[int, list[int], int], list[int]]
+
+
+def scan(order: list[int], prefixes: list[int], visit: Visit) -> None:
+    """Visit every interval of the tree, inner ones first, as (depth, members, depth of the interval around it).
+
+    `prefixes` are those of sorted neighbours. Members that visit does not return are left out of the intervals around.
+    """
+    stack: list[tuple[int, list[int]]] = []
+    for member, depth in zip(order, [*prefixes, -1], strict=True):
+        members = [member]
         while stack and stack[-1][0] > depth:
-            deep, first = stack.pop()
-            yield deep, first, i
-        if depth >= 0 and (not stack or stack[-1][0] < depth):
-            stack.append((depth, first))
+            deep, inside = stack.pop()
+            inside += members
+            around = max(depth, stack[-1][0] if stack else -1)
+            members = visit(deep, inside, around) if len(inside) > 1 else inside
+        if stack and stack[-1][0] == depth:
+            stack[-1][1].extend(members)
+        elif depth >= 0:
+            stack.append((depth, members))
 
 
 def maximal_repeats(contexts: list[tuple[bytes, bytes, int]], length: int) -> list[list[tuple[int, int]]]:
-    """Per context (before, after, copies): spans around the anchor, of `length` bytes or more, that another one shares."""
-    reverse = [before[::-1] for before, _, _ in contexts]
-    rank = [0] * len(contexts)
-    for place, i in enumerate(sorted(range(len(contexts)), key=reverse.__getitem__)):
-        rank[i] = place
-    order = sorted(range(len(contexts)), key=lambda i: contexts[i][1])
-    prefixes = [common(contexts[i][1], contexts[j][1]) for i, j in zip(order, order[1:], strict=False)]
-    found: list[set[tuple[int, int]]] = [set() for _ in contexts]
-    for depth, first, last in intervals(prefixes):
-        members = sorted(order[first : last + 1], key=rank.__getitem__)
-        order[first : last + 1] = members  # sorted runs for the interval around this one
-        ahead = [common(reverse[i], reverse[j]) for i, j in zip(members, members[1:], strict=False)]
-        # Left extension: how far each member goes on like its closest one.
-        for k, member in enumerate(members):
-            left = max(ahead[k - 1] if k else 0, ahead[k] if k < len(ahead) else 0)
-            if left + depth >= length:
-                found[member].add((-left, depth))
-    return [sorted(spans) for spans in found]
+    """Per context (before, after, copies): spans around the anchor, of `length` bytes or more, that another one shares.
+
+    What a context shares with any other on each side bounds what it shares with one of them on both. By that bound, contexts are
+    left out of the tree, and members out of the intervals around the last one that can give them a repeat.
+    """
+    found: list[list[tuple[int, int]]] = [[] for _ in contexts]
+    before, after = [c[0][::-1] for c in contexts], [c[1] for c in contexts]
+    left, right = Aligned(before), Aligned(after)
+    backward, order = sorted(range(len(contexts)), key=before.__getitem__), sorted(range(len(contexts)), key=after.__getitem__)
+    behind, ahead = left.reach(backward), right.reach(order)
+    order = [i for i in order if behind[i] + ahead[i] >= length]
+    rank = dict(zip(backward, range(len(backward)), strict=True))
+
+    def visit(depth: int, members: list[int], around: int) -> list[int]:
+        members.sort(key=rank.__getitem__)
+        # Left extension: how far each member goes on like its closest one. Where that is no further than in an interval inside
+        # this one, the repeat is part of the one found there.
+        for member, extent in left.reach(members).items():
+            own = found[member]
+            if extent + depth >= length and not (own and own[-1][0] <= -extent):
+                own.append((-extent, depth))
+        return [m for m in members if behind[m] + around >= length]
+
+    if order:
+        scan(order, right.neighbours(order), visit)
+    return found
 
 
 def byte_units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
