@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Remove the shuffle files of a query when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder; a temporary one only in a local session that sets none, as in tests, else an error."""
@@ -25,9 +28,15 @@ def shared_folder(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table of the shared folder: lineage ends here, and a lost executor costs no earlier stage.
 
-    The files are those of one run and go with the checkpoint folder.
+    The shuffle files it took are removed once the table is there, not when the driver next collects garbage. The table's files are
+    those of one run and go with the checkpoint folder.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
