@@ -331,3 +331,23 @@ def test_a_hot_document_is_joined_once(spark, tmp_path):
     assert sorted((r["n"], r["status"]) for r in found.collect()) == sorted(
         [(n, "scraped") for n, u in rows if n != 98] + [(98, "failed")]
     )
+
+
+def test_records_of_a_hot_document_take_no_shuffle(spark, monkeypatch):
+    """What is known of a URL of very many records goes to them; those of other URLs, without one or without a response, stay whole."""
+    monkeypatch.setattr(documents, "CROWD", 500)
+    rows = [(f"u{i}", 503 if i == 1 else 200, f"b{i}".encode(), None) for i in range(40)]
+    stored = spark.createDataFrame(rows, FETCHES)
+    hot = spark.range(30_000).select(F.element_at(F.array(*map(F.lit, ("u0", "u1", "no"))), (F.col("id") % 3 + 1).cast("int")).alias("doc_url"))
+    items = hot.unionByName(spark.createDataFrame([(f"u{i}",) for i in range(2, 60)] * 3 + [(None,)] * 700, "doc_url string"))
+    want = {("u0", "scraped"): 10_000, ("u1", "failed"): 10_000, ("no", "failed"): 10_000, (None, "scraped"): 700}
+    want |= {(f"u{i}", "scraped" if i < 40 else "failed"): 3 for i in range(2, 60)}
+    located = documents.locate(items, stored)
+    one_by_one = documents.outcomes(located, documents.examine(documents.contents(documents.responses(located), stored)))
+    for found in (documents.resolve(items, stored), one_by_one):
+        assert {(r["doc_url"], r["status"]): r["count"] for r in found.groupBy("doc_url", "status").count().collect()} == want
+    assert documents.requested(items, stored).where("doc_url = 'u0'").first()["records"] == 10_000
+    # Rows that a shuffle deals out by URL: those of the hot ones are not among them.
+    told = documents.to_records(items.where("doc_url IS NOT NULL"), documents.latest_fetches(stored, items.select("doc_url")), ["doc_url"])
+    plan = plan_of(told)
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and told.count() == 30_174

@@ -6,16 +6,21 @@ parsed and hashed for the response alone, and only what was found out comes back
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import html, keys
 from tidemark.functions.urls import doc_type, fetched
+from tidemark.sources.staging import staged
 
 # What names a response among the stored ones.
 RESPONSE = ("doc_url", "version")
 # What examining a response finds out.
 FACTS = ("file_hash", "size", "attachment", "parse_error")
+# Records of one key beyond which its row is broadcast to them; at most one in so many records is such a key.
+CROWD = 50_000
 
 
 def _versions(fetches: DataFrame) -> DataFrame:
@@ -46,17 +51,37 @@ def latest_fetches(fetches: DataFrame, urls: DataFrame) -> DataFrame:
     )
 
 
+def to_records(records: DataFrame, found: DataFrame, key: Sequence[str], crowded: DataFrame | None = None) -> DataFrame:
+    """Records, whose key is never NULL, with the columns of `found`, which has a row per key: a left join.
+
+    What a key of very many records has in `found` goes to where these lie, so that they meet in no task; all others take
+    a shuffle. Spark splits a hot key by its bytes, of which rows that are alike have next to none in a shuffle. `found` and
+    `crowded` (the hot keys, else counted here) are read twice.
+    """
+    if crowded is None:
+        crowded = records.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > CROWD).select(*key)
+    columns = [*records.columns, *(c for c in found.columns if c not in key)]
+    near = records.join(F.broadcast(crowded.join(found, list(key), "left")), list(key)).select(*columns)
+    rest = records.join(F.broadcast(crowded), list(key), "left_anti").join(found, list(key), "left")
+    return near.unionByName(rest.select(*columns))
+
+
 def locate(items: DataFrame, fetches: DataFrame, latest: DataFrame | None = None) -> DataFrame:
     """Add which response holds each record's document (`version`, `copies`, `http_status`); narrow.
 
-    Give `latest` (latest_fetches of their URLs) as a stored table where one URL may hold much of the records: Spark
-    splits such a join only where nothing is aggregated in its own stage.
+    `latest` (latest_fetches of their URLs) may be given as a stored table; it is read more than once.
     """
     linked = items.where(F.col("doc_url").isNotNull())
     if latest is None:
         latest = latest_fetches(fetches, linked.select("doc_url"))
     unlinked = items.where(F.col("doc_url").isNull())
-    return linked.join(latest, "doc_url", "left").unionByName(unlinked, allowMissingColumns=True)
+    return to_records(linked, latest, ["doc_url"]).unionByName(unlinked, allowMissingColumns=True)
+
+
+def requested(items: DataFrame, fetches: DataFrame) -> DataFrame:
+    """The URLs of the records, located, one row each with its number of `records`: counted before anything is joined."""
+    urls = items.where(F.col("doc_url").isNotNull()).groupBy("doc_url").agg(F.count("*").alias("records"))
+    return urls.join(latest_fetches(fetches, urls.select("doc_url")), "doc_url", "left")
 
 
 def responses(located: DataFrame, *facts: Column) -> DataFrame:
@@ -109,22 +134,37 @@ def outcomes(located: DataFrame, examined: DataFrame, *more: str) -> DataFrame:
     'scraped', also for a record that has no URL; 'rerouted' for one whose page is a shell; 'failed' where the newest
     response is missing or not a success. No bytes are touched.
     """
-    facts = examined.select(*RESPONSE, *FACTS, *more, F.lit(True).alias("_held"))
-    linked = located.where(F.col("doc_url").isNotNull())
+    answered = F.col("doc_url").isNotNull() & F.col("version").isNotNull()
+    told = to_records(located.where(answered), _facts(examined, *more), RESPONSE)
+    return _judged(told.unionByName(located.where(~answered), allowMissingColumns=True))
+
+
+def _facts(examined: DataFrame, *more: str) -> DataFrame:
+    return examined.select(*RESPONSE, *FACTS, *more, F.lit(True).alias("_held"))
+
+
+def _judged(told: DataFrame) -> DataFrame:
     status = (
-        F.when(F.col("_held").isNull(), "failed")
+        F.when(F.col("doc_url").isNull(), "scraped")
+        .when(F.col("_held").isNull(), "failed")
         .when(F.col("attachment").isNotNull(), "rerouted")
         .otherwise("scraped")
     )
-    told = linked.join(facts, list(RESPONSE), "left").withColumn("status", status).drop("_held")
-    unlinked = located.where(F.col("doc_url").isNull()).withColumn("status", F.lit("scraped"))
-    return told.unionByName(unlinked, allowMissingColumns=True).drop("version", "copies")
+    return told.withColumn("status", status).drop("_held", "version", "copies")
 
 
 def resolve(items: DataFrame, fetches: DataFrame) -> DataFrame:
-    """Every record with what became of its document: `status`, `http_status` and FACTS, without bytes."""
-    located = locate(items, fetches)
-    return outcomes(located, examine(contents(responses(located), fetches)))
+    """Every record with what became of its document: `status`, `http_status` and FACTS, without bytes.
+
+    That is found out by URL and stored, one row each, and comes back to the records in one join.
+    """
+    asked = requested(items, fetches)
+    held = examine(contents(asked.where(F.col("copies") > 0), fetches))
+    told = staged(_judged(asked.join(_facts(held), list(RESPONSE), "left")))
+    crowded = told.where(F.col("records") > CROWD).select("doc_url")
+    linked = to_records(items.where(F.col("doc_url").isNotNull()), told.drop("records"), ["doc_url"], crowded)
+    unlinked = items.where(F.col("doc_url").isNull()).withColumn("status", F.lit("scraped"))
+    return linked.unionByName(unlinked, allowMissingColumns=True)
 
 
 def attachments(shells: DataFrame) -> DataFrame:
