@@ -215,8 +215,7 @@ def _shared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def shared_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of bytes of very many records: one per response, also of the one that half of them share."""
     items, fetches = _shared(spark, sf_dir)
-    wanted = documents.responses(documents.locate(items, fetches))
-    held = documents.contents(wanted, fetches)
+    held = documents.contents(documents.requested(items, fetches).where(F.col("copies") > 0), fetches)
     return held.select("doc_url", "records", keys.file_hash("content").alias("file_hash"), F.length("content").cast("bigint").alias("size"))
 
 
