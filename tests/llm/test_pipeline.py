@@ -2,12 +2,17 @@
 
 import glob
 import os
+import tracemalloc
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
+from tidemark.llm import voting
 from tidemark.llm.queries import QUERIES, SQL
+from tidemark.llm.staging import written
+from tidemark.llm.words import split_words
 
 
 def test_stages(spark, sf_dir):
@@ -47,3 +52,31 @@ def test_near_duplicates_keep_one_row_of_each_group(spark, sf_dir):
     assert [x for x in kept if x[0] != 3] == [(1, a), (2, b), (4, d)]
     assert len([x for x in kept if x[0] == 3]) == 1
     assert got.where("doc_id IS NULL").count() == 2 and got.where("doc_id > 4").count() == 2
+
+
+def test_shapes_take_memory_by_the_block():
+    """What a task holds for the shapes of its words does not grow with the text it is handed."""
+    words = split_words(pa.array([f"Word{k} of-the 12,{k}" for k in range(2000)] + ["", None, "a"]))
+    whole = voting.shape_hashes(words, len(words.start))
+    assert (voting.shape_hashes(words, 7) == whole).all() and (voting.shape_hashes(words) == whole).all()
+    assert len(voting.shape_hashes(split_words(pa.array(["", None])))) == 0
+    long = split_words(pa.array(["some Words and 12 numbers " * 80_000]))
+    tracemalloc.start()
+    voting.shape_hashes(long)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6
+
+
+def test_written_hands_python_bounded_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch({"n": pa.array([batch.num_rows])})
+
+    texts = spark.range(0, 2000, 1, 1).selectExpr("repeat('x', 1000) AS text")
+    rows = written(texts.mapInArrow(sizes, "n long"), "sizes", 100_000).collect()
+    assert sum(r["n"] for r in rows) == 2000 and max(r["n"] for r in rows) <= 200
+    assert spark.conf.get(key) == before

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.shipping import ship_package
 from tidemark.llm.components import components
 from tidemark.llm.staging import written
-from tidemark.llm.words import Words, mix, slices, split_words
+from tidemark.llm.words import Words, buffer, mix, slices, split_words
 
 #: Bands and rows of the signature: a pair at similarity 0.85 is missed with a chance of two in a million, and documents that share
 #: a third of their shingles, as by one common passage, meet in a band with a chance of one in six thousand.
@@ -29,6 +29,9 @@ BANDS, ROWS = 42, 8
 #: Words of a shingle, and the least similarity of linked documents.
 SHINGLE, SIMILARITY = 5, (85, 100)
 
+#: Bytes of texts or shingle sets that a task is handed at once; a larger row is handed alone.
+BATCH_BYTES = 4 << 20
+
 #: 64-bit words of a set's parity bitmap.
 PARITY = 16
 
@@ -117,7 +120,7 @@ def signed(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
             )
 
     schema = f"doc_id {kind}, mark long, n_shingles long, node binary, bands array<long>"
-    return written(docs.select("doc_id", "text", mark().alias("mark")).mapInArrow(run, schema), "signatures")
+    return written(docs.select("doc_id", "text", mark().alias("mark")).mapInArrow(run, schema), "signatures", BATCH_BYTES)
 
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -125,7 +128,7 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> D
     least, whole = similarity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "x"):
             keep = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -161,12 +164,12 @@ def meetings(mixed: DataFrame, sets: DataFrame, similarity: tuple[int, int]) ->
     own = mixed.select("node").join(sets, "node")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for node, x in zip(batch.column("node").to_pylist(), batch.column("set").to_pylist(), strict=True):
-                x = np.frombuffer(x, np.int64)
-                yield pa.record_batch({"node": pa.array([node] * len(x), pa.binary()), "shingle": pa.array(x)})
+        for batch in slices(batches, "set"):
+            data, offsets = buffer(batch.column("set"))
+            node = np.repeat(np.arange(batch.num_rows), np.diff(offsets) // 8)
+            yield pa.record_batch({"node": batch.column("node").take(pa.array(node)), "shingle": pa.array(np.frombuffer(data.tobytes(), np.int64))})
 
-    each = written(own.select("node", "set").mapInArrow(listed, "node binary, shingle long"), "mixed-shingles")
+    each = written(own.select("node", "set").mapInArrow(listed, "node binary, shingle long"), "mixed-shingles", BATCH_BYTES)
     often = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
     # `left`: shingles from here to the end of the order. Those that one set alone has come first, meet nothing, and go.
     behind = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("n"), F.desc("shingle")))
@@ -234,12 +237,12 @@ def marked(
 
     texts = docs.select("doc_id", "text").join(chosen.select("doc_id").distinct(), "doc_id").select("text")
     sets = texts.mapInArrow(gather, "node binary, size long, parity array<long>, set binary")
-    sets = written(sets.dropDuplicates(["node"]), "shingle-sets")
+    sets = written(sets.dropDuplicates(["node"]), "shingle-sets", BATCH_BYTES)
 
     ordered = (F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
     star = crowded.where("node != center").select("node", F.col("center").alias("other")).select(*ordered).distinct()
     star = written(star, "star-pairs")
-    links = written(similar(alike_in_size(star, sets, similarity), sets, similarity), "links")
+    links = written(similar(alike_in_size(star, sets, similarity), sets, similarity), "links", BATCH_BYTES)
     groups = components(links)
     # Where a bucket still holds several components, its classes are compared with those of other components.
     labelled = crowded.join(groups, "node", "left").select(
@@ -250,7 +253,7 @@ def marked(
     mixed = mixed.groupBy("node", "component").agg(F.collect_list("bucket").alias("buckets"))
     rest = written(meetings(written(mixed, "mixed-classes"), sets, similarity), "rest-pairs")
     more = similar(rest.join(star, ["a", "b"], "left_anti"), sets, similarity)
-    links = written(links.union(more), "links")
+    links = written(links.union(more), "links", BATCH_BYTES)
     groups = components(links)
     members = named.select("doc_id", "node").join(groups, "node", "left").select(
         "doc_id", "node", F.coalesce("component", "node").alias("component")

@@ -24,6 +24,8 @@ TERMS, DIMENSIONS, LABELLED, VOTES = 1 << 14, 48, 5000, 15
 #: Weight of word terms beside shape terms.
 WORD_WEIGHT = 0.5
 CUT = 0.3
+#: Words whose shapes are worked out at once.
+SHAPED = 1 << 14
 
 _HALF = TERMS // 2
 _SHAPE = np.arange(256)
@@ -33,17 +35,25 @@ _SHAPE[48:58] = 48
 _SHAPE_VALUE = mix(np.arange(1, 257, dtype=np.uint64))[_SHAPE]
 
 
-def shape_hashes(words: Words) -> np.ndarray:
-    """Hash of each word's run of character kinds, equal neighbours taken once; 1 for a word equal to the one before."""
-    kinds = _SHAPE[words.data]
-    size = words.end - words.start
-    at = spread(words.start, size)
+def shape_hashes(words: Words, block: int = SHAPED) -> np.ndarray:
+    """Hash of each word's run of character kinds, equal neighbours taken once; 1 for a word equal to the one before.
+
+    Worked out for so many words at a time, as it takes some fifty bytes of memory for one of text.
+    """
+    starts = range(0, max(len(words.start), 1), block)
+    return np.concatenate([_shapes(words.data, words.start[k : k + block], words.end[k : k + block]) for k in starts])
+
+
+def _shapes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    size = end - start
+    at = spread(start, size)
+    kinds = _SHAPE[data[at]]
     begins = np.cumsum(size) - size
-    fresh = np.append(True, kinds[at][1:] != kinds[at][:-1])
+    fresh = np.append(True, kinds[1:] != kinds[:-1])
     fresh[begins] = True
     run = np.cumsum(fresh)
     place = (run - run[begins].repeat(size)).astype(np.uint64)
-    value = np.where(fresh, mix(_SHAPE_VALUE[words.data[at]] + place), np.uint64(0))
+    value = np.where(fresh, mix(_SHAPE_VALUE[data[at]] + place), np.uint64(0))
     return np.add.reduceat(value, begins) if len(begins) else np.zeros(0, np.uint64)
 
 
