@@ -1,5 +1,9 @@
+import tracemalloc
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import html, markup
 
@@ -147,3 +151,16 @@ def test_no_rule_stops_at_a_byte():
         assert html.attachment_url(page, "https://files.example/q") == "https://files.example/base/a.pdf"
         page = b"<html><body>" + gap + b'\x01<div class="content">text</div></body></html>'
         assert html.attachment_url(page, URL) is None
+
+
+def test_a_batch_of_pages_is_not_held_as_objects():
+    """Rows of a batch become Python objects a piece at a time; NULL, empty and very long pages are like any other."""
+    pages = [b"<body>" + b"x" * 5000 + b"</body>"] * 3000 + [None, b"", b"<body>" + b"y" * 3_000_000 + b"</body>", b"<body>z"]
+    batch = pa.array(pages, pa.binary())
+    tracemalloc.start()
+    found = html._by_row(html.clean_page, T.BinaryType(), batch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.field(0).to_pylist() == [None if p is None else html.clean_page(p) for p in pages]
+    assert found.field(1).null_count == len(pages) and len(html._by_row(html.clean_page, T.BinaryType(), batch[:0])) == 0
+    assert peak < 15e6

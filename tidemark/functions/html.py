@@ -9,6 +9,7 @@ from __future__ import annotations
 from urllib.parse import urljoin, urlparse
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tidemark.functions import markup
 from tidemark.functions.shipping import ship_package
 
+# Pages that are handled at once, so that a batch of ten thousand is not in memory several times over.
+PIECE_BYTES, PIECE_ROWS = 1 << 20, 500
+
 CARD = T.StructType(
     [
         T.StructField("position", T.IntegerType()),
@@ -110,6 +114,25 @@ def _joined(base, href):
 
 
 def _by_row(function, value_type, *columns):
+    """The outcome of each row; pages are Python objects, and results lists, for a piece of the batch at a time."""
+    outcome = to_arrow_type(_outcome(value_type))
+    pieces = (_outcomes(function, outcome, [c.slice(at, n) for c in columns]) for at, n in _pieces(columns[0]))
+    return pa.concat_arrays([pa.array([], outcome), *pieces])
+
+
+def _pieces(pages):
+    """(start, rows) of runs of about PIECE_BYTES; a longer page is alone."""
+    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(pages), 0).cast(pa.int64())).to_numpy()
+    at = 0
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        stop = max(int(ends.searchsorted(before + PIECE_BYTES, side="right")), at + 1)
+        stop = min(stop, at + PIECE_ROWS)
+        yield at, stop - at
+        at = stop
+
+
+def _outcomes(function, outcome, columns):
     results, errors = [], []
     for row in zip(*(column.to_pylist() for column in columns)):
         result = error = None
@@ -120,10 +143,7 @@ def _by_row(function, value_type, *columns):
                 error = f"{type(failure).__name__}: {failure}"
         results.append(result)
         errors.append(error)
-    return pa.StructArray.from_arrays(
-        [pa.array(results, to_arrow_type(value_type)), pa.array(errors, pa.string())],
-        names=["value", "error"],
-    )
+    return pa.StructArray.from_arrays([pa.array(results, outcome[0].type), pa.array(errors, outcome[1].type)], fields=list(outcome))
 
 
 def clean_html(content: Column, tag: str = "div", css_class: str = "content") -> Column:
