@@ -107,7 +107,7 @@ def hop(rows: DataFrame, fetches: DataFrame, run_id: str, run_ts: Column, stage:
     """Look up, read and store the documents of the rows; returns the rows with what became of them.
 
     Stage `run_id` stores the contents, one row of bytes per response however many rows share it. The newest response
-    of each URL is stored first, so that a URL of very many rows is a join that Spark splits.
+    of each URL is stored first, as it is read more than once.
     """
     urls = rows.where(F.col("doc_url").isNotNull()).select("doc_url")
     latest = stage(documents.latest_fetches(fetches, urls), f"{run_id}_latest")
